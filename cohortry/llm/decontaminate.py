@@ -105,8 +105,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, *, text: str = "te
     hit = F.when(F.col("item_ids").isNotNull(), F.struct("start", "length"))
     grouped = met.groupBy("doc_id", "digest").agg(
         F.max("n_words").cast("long").alias("n_words"),
-        F.array_sort(F.collect_set(hit)).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("item_ids"),
+        F.sort_array(F.collect_set(hit)).alias("hits"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("item_ids"),
         F.sum(F.when(F.col("kind") == ALWAYS, 1).otherwise(0)).alias("_copies"),
     )
     covered = F.aggregate(
@@ -124,7 +124,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, *, text: str = "te
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    names = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
+    names = F.array_join(F.sort_array(F.transform("item_ids", lambda i: i.cast("string"))), ",")
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 

@@ -82,7 +82,7 @@ def jaccard_links(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
 
     each = base.select(F.col("node.a").alias("doc"), F.explode("first").alias("shingle"))
     common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = each.join(common, "shingle").groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("df", "shingle"))).alias("shared"))
+    shared = each.join(common, "shingle").groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("df", "shingle"))).alias("shared"))
     # shingles of the share that no other row has; a repeated document has none
     alone = F.col("m") - F.coalesce(F.size("shared"), F.lit(0))
     kept = classes.join(shared, F.col("node.a") == F.col("doc"), "left").withColumn("alone", F.when(F.col("shared").isNull(), F.col("m")).otherwise(alone))
@@ -97,7 +97,7 @@ def jaccard_links(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     # the part of the longer prefix that others may have: by frequency in the share, then by hash outside it
     room = prefix_size(F.col("n"), percent) + 1 - F.col("alone")
     inside = F.slice("shared", 1, room)
-    outside = F.when(room > F.size("shared"), F.slice(F.array_sort(F.filter("shingles", lambda s: ~early(s))), 1, room - F.size("shared")))
+    outside = F.when(room > F.size("shared"), F.slice(F.sort_array(F.filter("shingles", lambda s: ~early(s))), 1, room - F.size("shared")))
     heads = sets.select("node", "n", (F.col("alone") / F.col("n")).alias("odd"), F.transform(inside, lambda s: s["shingle"]).alias("inside"), F.coalesce(outside, F.array().cast("array<bigint>")).alias("outside"), F.aggregate(inside, F.lit(0).cast("bigint"), lambda t, s: t + s["df"]).alias("scan"), room.alias("room"))
     heads = heads.select("node", "n", "odd", "scan", "room", F.concat("inside", "outside").alias("head"))
     edge = _boundary(heads, percent)
