@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cohortry.llm import bpe_codec, decontaminate, jaccard_join, pii, quality_rules, secret_scan, token_counts
+from cohortry.llm import bpe_codec, decontaminate, html_text, jaccard_join, pii, quality_rules, secret_scan, token_counts
 
-_MODULES = (decontaminate, token_counts, quality_rules, jaccard_join, pii, secret_scan, bpe_codec)
+_MODULES = (decontaminate, token_counts, quality_rules, jaccard_join, pii, secret_scan, html_text, bpe_codec)
 
 
 def queries() -> dict:
