@@ -57,3 +57,9 @@ def words_of(text: Column, gap: str) -> Column:
     """The pieces between runs of the characters of class ``gap``; null has none."""
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{gap}+", "")
     return F.filter(F.split(trimmed, f"{gap}+"), lambda w: w != "")
+
+
+def settled(condition: Column) -> Column:
+    """``condition``, made such that the optimizer does not copy what it is computed from into a filter below: that would
+    compute nested array expressions once for each element."""
+    return F.when(F.monotonically_increasing_id() >= 0, condition)

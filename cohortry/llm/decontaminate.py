@@ -55,9 +55,9 @@ def item_windows(benchmark: DataFrame, text: str, item_id: str, window: int) ->
 def decontaminate(documents: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Words of documents that lie in a window of ``window`` consecutive benchmark words.
 
-    An item of fewer words is one window; one without words has none. Returns doc_id, n_words, hits (array of
-    start and length, in words, of each occurrence), n_hit (words covered) and item_ids, one row for each row of
-    ``documents``. Null and empty texts have no words and no hits. Rows with equal id and text are repeated in the
+    An item of fewer words is one window; one without words has none. Returns doc_id, digest (xxhash64 of the text),
+    n_words, hits (array of start and length, in words, of each occurrence), n_hit (words covered) and item_ids, one row
+    for each row of ``documents``. Null and empty texts have no words and no hits. Rows with equal id and text are repeated in the
     result; other columns of the inputs are not read, so they cannot clash. A null item id marks words but is not listed.
     An empty benchmark hits nothing.
 
@@ -119,7 +119,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, *, text: str = "te
         lambda s: s["total"],
     )
     repeated = grouped.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return repeated.select("doc_id", "n_words", "hits", covered.alias("n_hit"), "item_ids")
+    return repeated.select("doc_id", "digest", "n_words", "hits", covered.alias("n_hit"), "item_ids")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,6 +168,25 @@ def jaccard_groups(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     return out.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
+def one_of_each(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", k: int = 4, percent: int = 85) -> DataFrame:
+    """``df`` with one row of each component of linked documents: the one of the least id, of these any one.
+
+    Rows without words stay. All columns stay. Only rows that go, and rows that are repeated, are marked and joined.
+    """
+    members, links = jaccard_links(df, text=text, doc_id=doc_id, k=k, percent=percent)
+    labels = components(links, "left", "right")
+    counted = members.where("n > 0").groupBy("id", "node").agg(F.count(F.lit(1)).alias("rows"))
+    parts = counted.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    kept = parts.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "node")).alias("kept"))
+    marks = parts.join(kept, "component").withColumn("stays", (F.col("kept.node") == F.col("node")) & F.col("kept.id").eqNullSafe(F.col("id")))
+    marks = staged(marks.where(~F.col("stays") | (F.col("rows") > 1)).select(F.col("id").alias("_id"), F.col("node").alias("_mark"), "stays"), "marks")
+    words = words_of(ascii_lower(F.col(text)), GAP)
+    held = df.withColumn("_words", words).withColumn("_node", F.struct(F.xxhash64(F.lit(1), "_words").alias("a"), F.xxhash64(F.lit(2), "_words").alias("b"))).drop("_words")
+    met = held.join(F.broadcast(marks) if small(marks) else marks, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("_mark")), "left")
+    alone = met.where(F.col("stays").isNull()).select(df.columns)
+    return alone.unionByName(met.where("stays").dropDuplicates([doc_id, "_node"]).select(df.columns))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.llm.binning import binned, quantile_edges, sums_by_bin
-from cohortry.llm.common import staged, table, words_of
+from cohortry.llm.common import settled, staged, table, words_of
 
 GAP = r"[\x20\x09-\x0D]"
 #: Labelled documents that the rules are learned from, by hash of their id; all if there are fewer.
@@ -182,7 +182,7 @@ def quality_rules(df: DataFrame, rules: list[Rule], text: str = "text") -> DataF
     first = F.lit(None).cast("int")
     for k in range(len(rules), 0, -1):
         first = F.when(rules[k - 1].column(), k).otherwise(first)
-    return measured(df, text).withColumn("rule", first).withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+    return measured(df, text).withColumn("rule", first).withColumn("kept", settled(~F.col("base_failed") & F.col("rule").isNull()))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
