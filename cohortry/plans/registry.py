@@ -1,11 +1,439 @@
-"""Queries of the evidence operators and their SQL twins."""
+"""Queries of the evidence operators and their SQL twins, by the operator's number in the survey."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortry.functions import scalars as fn
+from cohortry.operators import checks, counting, hierarchy, intervals, ranking, rules
+from cohortry.plans import adapters as ad
+
+_QUERIES: dict = {}
+_ORACLE: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        _QUERIES[name] = f
+        if sql:
+            _ORACLE[name] = sql
+        return f
+
+    return add
+
 
 def queries() -> dict:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLE)
+
+
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Reads and the genes that they overlap; genes are 19 rows, a fixed number."""
+    met = ad.reads(spark, d).join(F.broadcast(ad.genes(spark)), (F.col("start") < F.col("r_end")) & (F.col("end") > F.col("r_start")))
+    return met.withColumn("bases", intervals.overlap_bases(F.col("start"), F.col("end"), F.col("r_start"), F.col("r_end")))
+
+
+def _assigned(spark: SparkSession, d: str) -> DataFrame:
+    return ranking.largest_overlap(_pairs(spark, d), ["sample_id", "fragment_id", "read_id", "flag"], "gene", "bases")
+
+
+@query("j12_interval_overlap", f"WITH {ad.OVERLAPS} SELECT sample_id, gene, count(*) AS pairs, CAST(sum(bases) AS BIGINT) AS bases FROM pairs GROUP BY sample_id, gene")
+def j12(spark, d):
+    left = ad.reads(spark, d).withColumn("island", F.lit(0))
+    met = intervals.overlap_join(left, ad.genes(spark).withColumn("island", F.lit(0)), ["island"], width=3_000)
+    bases = intervals.overlap_bases(F.col("start"), F.col("end"), F.col("r_start"), F.col("r_end"))
+    return met.groupBy("sample_id", "gene").agg(F.count(F.lit(1)).alias("pairs"), F.sum(bases).cast("long").alias("bases"))
+
+
+@query("w1_largest_overlap", f"WITH {ad.OVERLAPS} SELECT read_id, gene, bases FROM assigned")
+def w1(spark, d):
+    return _assigned(spark, d).select("read_id", "gene", "bases")
+
+
+@query("w2_largest_overlap_no_ties", f"WITH {ad.OVERLAPS} SELECT read_id, min(gene) AS gene FROM (SELECT *, rank() OVER (PARTITION BY read_id ORDER BY bases DESC) AS k FROM sums) AS x WHERE k = 1 GROUP BY read_id HAVING count(*) = 1")
+def w2(spark, d):
+    return ranking.largest_overlap(_pairs(spark, d), ["read_id"], "gene", "bases", tie="drop").select("read_id", "gene")
+
+
+@query("a1_reads_per_gene", f"WITH {ad.OVERLAPS} SELECT g.gene, count(a.read_id) AS reads FROM genes AS g LEFT JOIN assigned AS a USING (gene) GROUP BY g.gene")
+def a1(spark, d):
+    counts = _assigned(spark, d).groupBy("gene").agg(F.count(F.lit(1)).alias("reads"))
+    return counting.zero_filled(counts, ad.genes(spark).select("gene"), ["gene"], "reads")
+
+
+@query("a2_genes_detected", f"WITH {ad.OVERLAPS} SELECT sample_id, count(*) FILTER (n >= 1) AS at_1, count(*) FILTER (n >= 2) AS at_2, count(*) FILTER (n >= 3) AS at_3 FROM (SELECT sample_id, gene, count(*) AS n FROM assigned GROUP BY sample_id, gene) AS x GROUP BY sample_id")
+def a2(spark, d):
+    n = _assigned(spark, d).groupBy("sample_id", "gene").agg(F.count(F.lit(1)).alias("n"))
+    return n.groupBy("sample_id").agg(*[F.count_if(F.col("n") >= k).alias(f"at_{k}") for k in (1, 2, 3)])
+
+
+SWEEP = """ev2 AS (SELECT sample_id, start AS pos, 1 AS step FROM reads UNION ALL SELECT sample_id, "end", -1 FROM reads),
+steps AS (SELECT sample_id, pos, sum(step) AS step FROM ev2 GROUP BY sample_id, pos),
+segs AS (SELECT * FROM (SELECT sample_id, pos AS seg_start, lead(pos) OVER (PARTITION BY sample_id ORDER BY pos) AS seg_end, CAST(sum(step) OVER (PARTITION BY sample_id ORDER BY pos) AS BIGINT) AS depth FROM steps) AS x WHERE depth > 0 AND seg_end IS NOT NULL)"""
+
+
+@query("a4_depth_segments", f"WITH {ad.READS}, {SWEEP} SELECT sample_id, seg_start, seg_end, depth FROM segs")
+def a4(spark, d):
+    return intervals.depth_segments(ad.reads(spark, d), ["sample_id"]).select("sample_id", "seg_start", "seg_end", "depth")
+
+
+@query("a3_breadth", f"WITH {ad.READS}, {SWEEP} SELECT sample_id, " + ", ".join(f"CAST(sum(CASE WHEN depth >= {k} THEN seg_end - seg_start ELSE 0 END) AS BIGINT) / {ad.ISLAND} AS breadth_{k}x" for k in (1, 2, 3)) + " FROM segs GROUP BY sample_id")
+def a3(spark, d):
+    return intervals.breadth(intervals.depth_segments(ad.reads(spark, d), ["sample_id"]), ["sample_id"], ad.ISLAND, [1, 2, 3])
+
+
+@query("a5_binned_depth", f"WITH {ad.READS}, {SWEEP}, cut AS (SELECT sample_id, seg_start, seg_end, depth, unnest(range(seg_start // 500, (seg_end - 1) // 500 + 1)) AS bin FROM segs) SELECT sample_id, bin, CAST(sum((least(seg_end, (bin + 1) * 500) - greatest(seg_start, bin * 500)) * depth) AS BIGINT) AS depth_sum FROM cut GROUP BY sample_id, bin")
+def a5(spark, d):
+    return intervals.binned_depth(intervals.depth_segments(ad.reads(spark, d), ["sample_id"]), ["sample_id"], 500)
+
+
+@query("a40_weighted_depth", f"WITH {ad.READS}, {SWEEP}, cut AS (SELECT sample_id, depth, greatest(least(seg_end, 40000) - greatest(seg_start, 10000), 0) AS w FROM segs) SELECT sample_id, CAST(sum(w * depth) AS BIGINT) / CAST(sum(w) AS BIGINT) AS weighted_depth FROM cut WHERE w > 0 GROUP BY sample_id")
+def a40(spark, d):
+    return intervals.weighted_depth(intervals.depth_segments(ad.reads(spark, d), ["sample_id"]), ["sample_id"], 10_000, 40_000)
+
+
+@query("a6_union_length", f"WITH {ad.READS}, {ad.UNIONS} SELECT * FROM unions")
+def a6(spark, d):
+    return intervals.union_length(ad.reads(spark, d), ["sample_id"])
+
+
+@query("a7_supporting_contigs", f"WITH {ad.READS}, c AS (SELECT sample_id, contig, greatest(start, 5000) AS start, least(\"end\", 45000) AS \"end\" FROM reads), k AS (SELECT * FROM c WHERE \"end\" > start), u AS (SELECT sample_id, contig, CAST(sum(greatest(\"end\" - greatest(start, coalesce(prev, start)), 0)) AS BIGINT) AS n FROM (SELECT *, max(\"end\") OVER (PARTITION BY sample_id, contig ORDER BY start, \"end\" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM k) AS x GROUP BY sample_id, contig) SELECT sample_id, count(*) AS parts, CAST(sum(n) AS BIGINT) AS bases FROM u WHERE n >= 2000 GROUP BY sample_id")
+def a7(spark, d):
+    return intervals.supporting(ad.reads(spark, d), ["sample_id"], "contig", 2_000, 5_000, 45_000)
+
+
+@query("a8_four_countings", f"WITH {ad.OVERLAPS} SELECT sample_id, gene, count(*) AS raw, count(*) FILTER (flag & 1024 = 0) AS dup_marked, count(DISTINCT fragment_id) AS fragment, count(DISTINCT CASE WHEN flag & 1024 = 0 THEN fragment_id END) AS dup_collapsed FROM assigned GROUP BY sample_id, gene")
+def a8(spark, d):
+    return counting.four_countings(_assigned(spark, d).withColumn("dup", fn.flagged(F.col("flag"), 1024)), ["sample_id", "gene"], "fragment_id", "dup")
+
+
+@query("a9_position_duplicates", f"WITH {ad.READS}, k AS (SELECT * FROM reads WHERE flag & 2308 = 0) SELECT sample_id, count(*) AS records, count(DISTINCT (contig, flag & 16, start)) AS positions, count(*) - count(DISTINCT (contig, flag & 16, start)) AS duplicates FROM k GROUP BY sample_id")
+def a9(spark, d):
+    kept = ad.reads(spark, d).where(~fn.flagged(F.col("flag"), 2308)).withColumn("strand", F.col("flag").bitwiseAND(F.lit(16)))
+    return counting.position_duplicates(kept, ["sample_id"], ["contig", "strand", "start"])
+
+
+@query("a12_gene_sample_pivot", f"WITH {ad.OVERLAPS} SELECT sample_id, " + ", ".join(f"count(*) FILTER (gene = 'g{i:02d}') AS g{i:02d}" for i in range(1, 20)) + " FROM assigned GROUP BY sample_id")
+def a12(spark, d):
+    n = _assigned(spark, d).groupBy("sample_id", "gene").agg(F.count(F.lit(1)).alias("n"))
+    return counting.pivoted(n, ["sample_id"], "gene", [f"g{i:02d}" for i in range(1, 20)], "n")
+
+
+METRICS = ["click", "purchase", "view", "signup", "logout"]
+
+
+@query("a15_metrics_wide", f"WITH {ad.EVENTS}, e AS (SELECT sample_id, metric, min(value) AS lo, max(value) AS hi FROM ev GROUP BY sample_id, metric) SELECT sample_id, " + ", ".join(f"max(CASE WHEN metric = '{m}' AND lo = hi THEN lo END) AS {m}" for m in METRICS) + " FROM e GROUP BY sample_id")
+def a15(spark, d):
+    return counting.eav_wide(ad.events(spark, d), ["sample_id"], "metric", "value", METRICS)[0]
+
+
+@query("a15_metric_conflicts", f"WITH {ad.EVENTS} SELECT sample_id, metric, min(value) AS low, max(value) AS high, count(*) AS rows FROM ev GROUP BY sample_id, metric HAVING min(value) <> max(value)")
+def a15c(spark, d):
+    return counting.eav_wide(ad.events(spark, d), ["sample_id"], "metric", "value", METRICS)[1]
+
+
+@query("a16_five_numbers", f"WITH {ad.READS} SELECT sample_id, CAST(min(nm) AS DOUBLE) AS low, quantile_cont(nm, 0.25) AS q1, quantile_cont(nm, 0.5) AS median, quantile_cont(nm, 0.75) AS q3, CAST(max(nm) AS DOUBLE) AS high FROM reads GROUP BY sample_id")
+def a16(spark, d):
+    return counting.five_numbers(ad.reads(spark, d), ["sample_id"], "nm")
+
+
+@query("a16_threshold_shares", f"WITH {ad.READS} SELECT sample_id, CAST(count(*) FILTER (nm * 100 > 2 * (\"end\" - start)) AS DOUBLE) / count(*) AS above_2, CAST(count(*) FILTER (nm * 100 > 5 * (\"end\" - start)) AS DOUBLE) / count(*) AS above_5 FROM reads GROUP BY sample_id")
+def a16s(spark, d):
+    size = F.col("end") - F.col("start")
+    return ad.reads(spark, d).groupBy("sample_id").agg(*[(F.count_if(F.col("nm") * 100 > k * size) / F.count(F.lit(1))).alias(f"above_{k}") for k in (2, 5)])
+
+
+@query("a18_nearest_rank", f"WITH {ad.READS} SELECT sample_id, score AS quantile FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY score) - 1 AS i, count(*) OVER (PARTITION BY sample_id) AS n FROM reads) AS x WHERE i = CAST(floor(0.9 * (n - 1)) AS BIGINT)")
+def a18(spark, d):
+    return counting.nearest_rank(ad.reads(spark, d), ["sample_id"], "score", 0.9)
+
+
+@query("a19_best_score_by_carrier", f"WITH {ad.READS} SELECT fragment_id, contig, max(score) AS best, min_by(read_id, struct_pack(s := -score, o := ordinal)) AS read_id FROM reads GROUP BY fragment_id, contig")
+def a19(spark, d):
+    return ad.reads(spark, d).groupBy("fragment_id", "contig").agg(F.max("score").alias("best"), F.min_by("read_id", F.struct(-F.col("score"), "ordinal")).alias("read_id"))
+
+
+@query("a20_single_record", f"WITH {ad.READS} SELECT fragment_id, read_id, score FROM (SELECT *, row_number() OVER (PARTITION BY fragment_id ORDER BY flag & 256, score DESC, ordinal) AS r FROM reads) AS x WHERE r = 1")
+def a20(spark, d):
+    return ranking.first_by(ad.reads(spark, d), ["fragment_id"], [F.col("flag").bitwiseAND(F.lit(256)), F.col("score").desc(), F.col("ordinal")]).select("fragment_id", "read_id", "score")
+
+
+BEST = f"{ad.READS}, b AS (SELECT fragment_id, contig, max(score) AS score FROM reads GROUP BY fragment_id, contig)"
+
+
+@query("w5_carrier_ranking", f"WITH {BEST}, k AS (SELECT *, row_number() OVER (PARTITION BY fragment_id ORDER BY score DESC, contig) AS r, lead(score) OVER (PARTITION BY fragment_id ORDER BY score DESC, contig) AS nx, max(score) OVER (PARTITION BY fragment_id) AS tp FROM b) SELECT fragment_id, max(CASE WHEN r = 1 THEN contig END) AS top, max(CASE WHEN r = 1 THEN score END) AS top_score, count(*) FILTER (tp - score <= 2) AS within_margin, string_agg(CASE WHEN tp - score <= 2 THEN CAST(contig AS VARCHAR) END, ';' ORDER BY CAST(contig AS VARCHAR)) AS tied, max(CASE WHEN r = 1 THEN score - nx END) AS delta FROM k GROUP BY fragment_id")
+def w5(spark, d):
+    best = ad.reads(spark, d).groupBy("fragment_id", "contig").agg(F.max("score").alias("score"))
+    return ranking.top_and_runner_up(best, ["fragment_id"], "contig", "score", 2)
+
+
+@query("r10_carrier_verdict", f"WITH {BEST}, k AS (SELECT *, max(score) OVER (PARTITION BY fragment_id) AS tp FROM b), f AS (SELECT fragment_id, count(*) FILTER (tp - score <= 2) AS n, min(contig) FILTER (tp = score) AS contig FROM k GROUP BY fragment_id), c AS (SELECT contig, count(*) AS aligned, count(*) FILTER (n = 1) AS attributed FROM f GROUP BY contig) SELECT contig, aligned, attributed, CASE WHEN aligned < 10 THEN 'UNDETERMINED' WHEN attributed * 2 >= aligned THEN 'ATTRIBUTED' WHEN attributed > 0 THEN 'MIXED' ELSE 'AMBIGUOUS' END AS verdict FROM c")
+def r10(spark, d):
+    top = w5(spark, d)
+    c = top.groupBy(F.col("top").alias("contig")).agg(F.count(F.lit(1)).alias("aligned"), F.count_if(F.col("within_margin") == 1).alias("attributed"))
+    return c.withColumn("verdict", rules.cascade([(F.col("aligned") < 10, "UNDETERMINED"), (F.col("attributed") * 2 >= F.col("aligned"), "ATTRIBUTED"), (F.col("attributed") > 0, "MIXED")], "AMBIGUOUS"))
+
+
+@query("w3_best_hit", f"WITH {ad.READS}, h AS (SELECT fragment_id, part % 19 AS gene, mapq AS e, score, \"end\" - start AS len FROM reads), t AS (SELECT *, rank() OVER (PARTITION BY fragment_id ORDER BY e, score DESC, len DESC) AS k FROM h) SELECT fragment_id, CASE WHEN count(DISTINCT gene) = 1 THEN min(gene) END AS gene, count(DISTINCT gene) AS labels, CASE WHEN count(DISTINCT gene) = 1 THEN 'assigned' ELSE 'ambiguous' END AS status FROM t WHERE k = 1 GROUP BY fragment_id")
+def w3(spark, d):
+    hits = ad.reads(spark, d).select("fragment_id", (F.col("part") % 19).alias("gene"), "mapq", "score", (F.col("end") - F.col("start")).alias("len"))
+    return ranking.best_hit(hits, ["fragment_id"], "gene", [F.col("mapq"), F.col("score").desc(), F.col("len").desc()])
+
+
+@query("w4_first_best_gene", f"WITH {ad.READS} SELECT fragment_id, min_by(part % 19, struct_pack(e := mapq, o := ordinal)) AS gene FROM reads GROUP BY fragment_id")
+def w4(spark, d):
+    return ad.reads(spark, d).groupBy("fragment_id").agg(F.min_by(F.col("part") % 19, F.struct("mapq", "ordinal")).alias("gene"))
+
+
+@query("w6_best_per_contig", f"WITH {ad.READS} SELECT sample_id, contig, read_id, score FROM (SELECT *, row_number() OVER (PARTITION BY sample_id, contig ORDER BY \"end\" - start DESC, nm, mapq DESC, fragment_id, ordinal) AS r FROM reads) AS x WHERE r = 1")
+def w6(spark, d):
+    return ranking.first_by(ad.reads(spark, d), ["sample_id", "contig"], [(F.col("end") - F.col("start")).desc(), F.col("nm"), F.col("mapq").desc(), F.col("fragment_id"), F.col("ordinal")]).select("sample_id", "contig", "read_id", "score")
+
+
+RECRUIT = "CASE WHEN mapq < 20 THEN 'rejected' WHEN start >= 5000 AND \"end\" <= 45000 THEN 'island_internal' WHEN \"end\" <= 5000 OR start >= 45000 THEN 'flank_only' ELSE 'boundary_spanning' END"
+
+
+@query("w7_fragment_class", f"WITH {ad.READS}, c AS (SELECT fragment_id, {RECRUIT} AS class FROM reads) SELECT fragment_id, CASE min(CASE class WHEN 'island_internal' THEN 1 WHEN 'boundary_spanning' THEN 2 WHEN 'flank_only' THEN 3 ELSE 4 END) WHEN 1 THEN 'island_internal' WHEN 2 THEN 'boundary_spanning' WHEN 3 THEN 'flank_only' ELSE 'rejected' END AS class FROM c GROUP BY fragment_id")
+def w7(spark, d):
+    return ranking.precedence(_recruited(spark, d), ["fragment_id"], "class", ["island_internal", "boundary_spanning", "flank_only", "rejected"])
+
+
+def _recruited(spark, d):
+    s, e = F.col("start"), F.col("end")
+    c = rules.cascade([(F.col("mapq") < 20, "rejected"), ((s >= 5_000) & (e <= 45_000), "island_internal"), ((e <= 5_000) | (s >= 45_000), "flank_only")], "boundary_spanning")
+    return ad.reads(spark, d).withColumn("class", c)
+
+
+@query("h8_recruitment_census", f"WITH {ad.READS} SELECT sample_id, {RECRUIT} AS class, count(*) AS reads, count(DISTINCT fragment_id) AS fragments FROM reads GROUP BY ALL")
+def h8(spark, d):
+    return _recruited(spark, d).groupBy("sample_id", "class").agg(F.count(F.lit(1)).alias("reads"), F.countDistinct("fragment_id").alias("fragments"))
+
+
+@query("w10_mate_slots", f"WITH {ad.READS}, s AS (SELECT *, row_number() OVER (PARTITION BY fragment_id, mate ORDER BY ordinal) AS n FROM reads), h AS (SELECT fragment_id, max(CASE WHEN mate = 1 THEN 1 ELSE 0 END) AS a, max(CASE WHEN mate = 2 THEN 1 ELSE 0 END) AS b FROM reads GROUP BY fragment_id) SELECT read_id, CASE WHEN n = 1 AND a = 1 AND b = 1 AND mate IN (1, 2) THEN 'pair' ELSE 'single' END AS slot FROM s JOIN h USING (fragment_id)")
+def w10(spark, d):
+    return ranking.paired(ad.reads(spark, d), ["fragment_id"], "mate", [F.col("ordinal")]).select("read_id", "slot")
+
+
+@query("w11_systematic_sample", f"WITH {ad.READS}, p AS (SELECT sample_id, read_id, row_number() OVER (PARTITION BY sample_id ORDER BY fragment_id, ordinal) - 1 AS i, greatest(CAST(ceil(count(*) OVER (PARTITION BY sample_id) / 50.0) AS BIGINT), 1) AS k FROM reads) SELECT sample_id, read_id FROM p WHERE i % k = 0 AND i // k < 50")
+def w11(spark, d):
+    return ranking.every_kth(ad.reads(spark, d), ["sample_id"], [F.col("fragment_id"), F.col("ordinal")], 50).select("sample_id", "read_id")
+
+
+@query("w12_hashed_sample", "SELECT o_orderpriority, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5(concat(o_orderkey, 's1')), o_orderkey) AS r FROM orders) AS x WHERE r <= 20")
+def w12(spark, d):
+    return ranking.hashed_sample(ad.table(spark, d, "orders"), ["o_orderpriority"], "o_orderkey", "s1", 20).select("o_orderpriority", "o_orderkey")
+
+
+@query("w14_top_taxa", f"WITH {ad.READS}, n AS (SELECT sample_id, part % 50 AS taxon, count(*) AS reads FROM reads GROUP BY ALL) SELECT sample_id, taxon, reads, place FROM (SELECT *, CAST(row_number() OVER (PARTITION BY sample_id ORDER BY reads DESC, taxon) AS INTEGER) AS place FROM n) AS x WHERE place <= 5")
+def w14(spark, d):
+    n = ad.reads(spark, d).groupBy("sample_id", (F.col("part") % 50).alias("taxon")).agg(F.count(F.lit(1)).alias("reads"))
+    return ranking.top_n(n, ["sample_id"], [F.col("reads").desc(), F.col("taxon")], 5)
+
+
+TIER = "CASE WHEN reads = 0 THEN 'negative' WHEN reads >= 100 AND genes >= 10 AND breadth >= 0.15 THEN 'extensive_island' WHEN reads >= 30 AND genes >= 8 AND breadth >= 0.075 THEN 'broad_island' WHEN reads >= 5 AND genes >= 3 AND breadth >= 0.01 THEN 'multi_gene' ELSE 'localized_indeterminate' END"
+EVIDENCE = f"{ad.OVERLAPS}, {ad.UNIONS}, evidence AS (SELECT sample_id, reads, genes, coalesce(union_bases, 0) / {ad.ISLAND} AS breadth FROM (SELECT sample_id, count(*) AS reads, count(DISTINCT gene) AS genes FROM assigned GROUP BY sample_id) AS x LEFT JOIN unions USING (sample_id))"
+
+
+def _evidence(spark, d):
+    n = _assigned(spark, d).groupBy("sample_id").agg(F.count(F.lit(1)).alias("reads"), F.countDistinct("gene").alias("genes"))
+    u = intervals.union_length(ad.reads(spark, d), ["sample_id"])
+    return n.join(u, "sample_id", "left").select("sample_id", "reads", "genes", (F.coalesce("union_bases", F.lit(0)) / ad.ISLAND).alias("breadth"))
+
+
+@query("r1_evidence_tier", f"WITH {EVIDENCE} SELECT sample_id, reads, genes, breadth, {TIER} AS tier FROM evidence")
+def r1(spark, d):
+    return _evidence(spark, d).withColumn("tier", rules.read_tier(F.col("reads"), F.col("genes"), F.col("breadth")))
+
+
+@query("r5_evidence_outcome", f"WITH {EVIDENCE} SELECT sample_id, CASE WHEN {TIER} = 'negative' THEN 'negative' ELSE 'positive' END AS outcome FROM evidence")
+def r5(spark, d):
+    return r1(spark, d).select("sample_id", rules.outcome(F.col("tier")).alias("outcome"))
+
+
+@query("r7_structural_call", f"WITH {EVIDENCE} SELECT sample_id, CASE WHEN breadth >= 0.9 THEN 'near_complete' WHEN breadth >= 0.75 THEN 'mostly_complete' WHEN breadth >= 0.2 THEN 'partial' WHEN breadth >= 0.05 THEN 'fragment' WHEN breadth > 0 THEN 'trace' ELSE 'absent' END AS call FROM evidence")
+def r7(spark, d):
+    return _evidence(spark, d).select("sample_id", rules.structural_call(F.col("breadth")).alias("call"))
+
+
+@query("g3_rank_ancestor", f"WITH RECURSIVE {ad.TREE} SELECT node, arg_min(ancestor, distance) AS found FROM closure JOIN tree AS t ON t.node = ancestor AND t.rank = 'genus' GROUP BY closure.node".replace("SELECT node, arg_min", "SELECT closure.node, arg_min"))
+def g3(spark, d):
+    tree = ad.tree(spark, d)
+    return hierarchy.rank_ancestor(hierarchy.ancestors(tree, depth=8), tree, "genus")
+
+
+@query("g2_descendants", f"WITH RECURSIVE {ad.TREE} SELECT DISTINCT node FROM closure WHERE ancestor = 3")
+def g2(spark, d):
+    return hierarchy.below(hierarchy.ancestors(ad.tree(spark, d), depth=8), 3)
+
+
+@query("j8_clade_routing", f"WITH RECURSIVE {ad.READS}, {ad.TREE}, u AS (SELECT DISTINCT node FROM closure WHERE ancestor = 3) SELECT sample_id, count(*) FILTER (u.node IS NOT NULL) AS target, count(*) FILTER (u.node IS NULL) AS other FROM reads LEFT JOIN u ON part = u.node GROUP BY sample_id")
+def j8(spark, d):
+    under = g2(spark, d).withColumn("hit", F.lit(True))
+    met = ad.reads(spark, d).join(under, F.col("part") == F.col("node"), "left")
+    return met.groupBy("sample_id").agg(F.count_if(F.col("hit").isNotNull()).alias("target"), F.count_if(F.col("hit").isNull()).alias("other"))
+
+
+@query("j10_rescued_taxonomy", f"WITH {ad.READS} SELECT coalesce(p_brand, 'Unclassified') AS name, count(*) AS reads FROM reads LEFT JOIN part ON p_partkey = part AND p_size > 10 GROUP BY ALL")
+def j10(spark, d):
+    names = ad.table(spark, d, "part").where("p_size > 10").select("p_partkey", "p_brand")
+    return ad.reads(spark, d).join(names, F.col("part") == F.col("p_partkey"), "left").groupBy(F.coalesce("p_brand", F.lit("Unclassified")).alias("name")).agg(F.count(F.lit(1)).alias("reads"))
+
+
+@query("j11_species_set", f"WITH {ad.READS} SELECT fragment_id, CASE count(DISTINCT contig) FILTER (mapq >= 20) WHEN 0 THEN 'Unclassified' WHEN 1 THEN concat('s', min(contig) FILTER (mapq >= 20)) ELSE 'Conflicting' END AS species FROM reads GROUP BY fragment_id")
+def j11(spark, d):
+    s = ad.reads(spark, d).groupBy("fragment_id").agg(F.collect_set(F.when(F.col("mapq") >= 20, F.col("contig"))).alias("s"))
+    return s.select("fragment_id", rules.cascade([(F.size("s") == 0, "Unclassified"), (F.size("s") == 1, F.concat(F.lit("s"), F.get("s", F.lit(0)).cast("string")))], "Conflicting").alias("species"))
+
+
+@query("j1_eligible_reads", f"WITH {EVIDENCE}, e AS (SELECT sample_id FROM evidence WHERE {TIER} <> 'extensive_island' OR sample_id % 3 = 0) SELECT sample_id, count(*) AS reads FROM reads WHERE sample_id IN (SELECT sample_id FROM e) GROUP BY sample_id")
+def j1(spark, d):
+    keep = r1(spark, d).where((F.col("tier") != "extensive_island") | (F.col("sample_id") % 3 == 0)).select("sample_id")
+    return ad.reads(spark, d).join(keep, "sample_id", "left_semi").groupBy("sample_id").agg(F.count(F.lit(1)).alias("reads"))
+
+
+@query("j6_customers_without_orders", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def j6(spark, d):
+    return ad.table(spark, d, "customer").join(ad.table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+
+
+@query("j7_failed_stubs", "SELECT c_custkey, coalesce(n, 0) AS orders, CASE WHEN n IS NULL THEN 'orders_failed' ELSE 'ok' END AS status FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) AS x ON o_custkey = c_custkey")
+def j7(spark, d):
+    n = ad.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("orders")).withColumn("status", F.lit("ok"))
+    missing = ad.table(spark, d, "customer").join(n, "c_custkey", "left_anti").select("c_custkey", F.lit(0).cast("long").alias("orders"), F.lit("orders_failed").alias("status"))
+    return ad.table(spark, d, "customer").select("c_custkey").join(n, "c_custkey").unionByName(missing)
+
+
+@query("j13_near_anchor", f"WITH {ad.READS} SELECT read_id FROM reads AS r WHERE EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = sample_id AND start < (s_suppkey * 7919) % 50000 + 1500 AND \"end\" > (s_suppkey * 7919) % 50000 - 500)")
+def j13(spark, d):
+    anchors = ad.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample_id"), ((F.col("s_suppkey") * 7919) % 50_000).alias("r_start")).withColumn("r_end", F.col("r_start") + 1_000)
+    return intervals.near(ad.reads(spark, d), anchors, ["sample_id"], 500).select("read_id")
+
+
+@query("j15_pairs_in_sample", "SELECT a.s_suppkey AS producer, b.s_suppkey AS recipient FROM supplier AS a JOIN supplier AS b ON a.s_nationkey = b.s_nationkey WHERE a.s_acctbal > 5000")
+def j15(spark, d):
+    s = ad.table(spark, d, "supplier")
+    return s.where("s_acctbal > 5000").select("s_nationkey", F.col("s_suppkey").alias("producer")).join(s.select("s_nationkey", F.col("s_suppkey").alias("recipient")), "s_nationkey").select("producer", "recipient")
+
+
+@query("j17_lookup_with_notes", "SELECT s_suppkey, n_name, concat_ws('; ', CASE WHEN s_acctbal < 0 THEN 'negative' END, CASE WHEN r_name <> 'ASIA' THEN 'unexpected_region' END) AS notes FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey = n_regionkey")
+def j17(spark, d):
+    met = ad.table(spark, d, "supplier").join(ad.table(spark, d, "nation"), F.col("n_nationkey") == F.col("s_nationkey"), "left").join(ad.table(spark, d, "region"), F.col("r_regionkey") == F.col("n_regionkey"), "left")
+    return met.select("s_suppkey", "n_name", F.concat_ws("; ", F.when(F.col("s_acctbal") < 0, "negative"), F.when(F.col("r_name") != "ASIA", "unexpected_region")).alias("notes"))
+
+
+@query("j19_arm_union", f"WITH {ad.READS}, a AS (SELECT fragment_id, max(score) AS a FROM reads WHERE contig = 0 GROUP BY 1), b AS (SELECT fragment_id, max(score) AS b FROM reads WHERE contig = 1 GROUP BY 1) SELECT coalesce(a.fragment_id, b.fragment_id) AS fragment_id, a, b, CASE WHEN a IS NULL THEN 'decoy' WHEN b IS NULL THEN 'true' WHEN a - b >= 3 THEN 'true' WHEN b - a >= 3 THEN 'decoy' ELSE 'ambiguous' END AS class FROM a FULL JOIN b ON a.fragment_id = b.fragment_id")
+def j19(spark, d):
+    arm = lambda c, name: ad.reads(spark, d).where(F.col("contig") == c).groupBy("fragment_id").agg(F.max("score").alias(name))
+    met = arm(0, "a").join(arm(1, "b"), "fragment_id", "full")
+    lead = F.col("a") - F.col("b")
+    return met.withColumn("class", rules.cascade([(F.col("a").isNull(), "decoy"), (F.col("b").isNull(), "true"), (lead >= 3, "true"), (lead <= -3, "decoy")], "ambiguous"))
+
+
+@query("j21_master_summary", f"WITH {EVIDENCE}, m AS (SELECT s_suppkey AS sample_id FROM supplier), q AS (SELECT sample_id, count(*) FILTER (flag & 1024 <> 0) AS duplicates FROM reads GROUP BY sample_id) SELECT sample_id, reads, genes, duplicates, CASE WHEN reads IS NULL THEN 'no_evidence' ELSE 'complete' END AS state FROM m LEFT JOIN evidence USING (sample_id) LEFT JOIN q USING (sample_id)")
+def j21(spark, d):
+    expected = ad.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample_id"))
+    dups = ad.reads(spark, d).groupBy("sample_id").agg(F.count_if(fn.flagged(F.col("flag"), 1024)).alias("duplicates"))
+    met = expected.join(_evidence(spark, d).drop("breadth"), "sample_id", "left").join(dups, "sample_id", "left")
+    return met.withColumn("state", F.when(F.col("reads").isNull(), "no_evidence").otherwise("complete"))
+
+
+HALVES = f"{ad.READS}, h AS (SELECT sample_id, count(*) FILTER (fragment_id % 2 = 0 AND mapq >= 30) AS before, count(*) FILTER (fragment_id % 2 = 1) AS after FROM reads GROUP BY sample_id)"
+
+
+@query("j23_newly_positive", f"WITH {HALVES} SELECT sample_id FROM h WHERE before < 100 AND after >= 100")
+def j23(spark, d):
+    h = ad.reads(spark, d).groupBy("sample_id").agg(F.count_if((F.col("fragment_id") % 2 == 0) & (F.col("mapq") >= 30)).alias("before"), F.count_if(F.col("fragment_id") % 2 == 1).alias("after"))
+    return h.where("before < 100 and after >= 100").select("sample_id")
+
+
+@query("j28_on_target", f"WITH {ad.READS} SELECT sample_id, count(*) AS on_target FROM reads WHERE (start < 9000 AND \"end\" > 8000) OR (start < 20500 AND \"end\" > 20000) OR (start < 20900 AND \"end\" > 20300) GROUP BY sample_id")
+def j28(spark, d):
+    targets = spark.createDataFrame([(0, 8_000, 9_000), (0, 20_000, 20_500), (0, 20_300, 20_900)], "island int, r_start long, r_end long")
+    hit = intervals.overlap_join(ad.reads(spark, d).withColumn("island", F.lit(0)), targets, ["island"], how="left_semi")
+    return hit.groupBy("sample_id").agg(F.count(F.lit(1)).alias("on_target"))
+
+
+@query("j29_serial_depletion", f"WITH {ad.READS}, s AS (SELECT sample_id, CASE WHEN mapq >= 35 THEN 'one' WHEN score >= 40 THEN 'two' WHEN nm = 0 THEN 'three' ELSE 'kept' END AS stage FROM reads) SELECT sample_id, stage, count(*) AS reads FROM s GROUP BY ALL")
+def j29(spark, d):
+    stage = rules.cascade([(F.col("mapq") >= 35, "one"), (F.col("score") >= 40, "two"), (F.col("nm") == 0, "three")], "kept")
+    return ad.reads(spark, d).groupBy("sample_id", stage.alias("stage")).agg(F.count(F.lit(1)).alias("reads"))
+
+
+@query("a11_category_rollup", "SELECT p_brand AS category, count(*) AS sequences, CAST(sum(p_size) AS BIGINT) AS bases FROM part GROUP BY p_brand UNION ALL SELECT 'total', count(*), CAST(sum(p_size) AS BIGINT) FROM part")
+def a11(spark, d):
+    p = ad.table(spark, d, "part").rollup("p_brand").agg(F.count(F.lit(1)).alias("sequences"), F.sum("p_size").cast("long").alias("bases"))
+    return p.select(F.coalesce("p_brand", F.lit("total")).alias("category"), "sequences", "bases")
+
+
+@query("a25_bin_summary", f"WITH {ad.OVERLAPS} SELECT contig, count(DISTINCT gene) AS genes, min(nm) AS best, string_agg(DISTINCT gene, ',' ORDER BY gene) AS names FROM reads JOIN assigned USING (read_id) GROUP BY contig")
+def a25(spark, d):
+    met = ad.reads(spark, d).select("read_id", "contig", "nm").join(_assigned(spark, d).select("read_id", "gene"), "read_id")
+    return met.groupBy("contig").agg(F.countDistinct("gene").alias("genes"), F.min("nm").alias("best"), F.array_join(F.array_sort(F.collect_set("gene")), ",").alias("names"))
+
+
+@query("a27_best_bin", f"WITH {ad.READS}, b AS (SELECT sample_id, contig, count(*) AS n, max(score) AS s FROM reads GROUP BY ALL) SELECT sample_id, arg_max(contig, struct_pack(n := n, s := s, c := contig)) AS contig FROM b GROUP BY sample_id")
+def a27(spark, d):
+    b = ad.reads(spark, d).groupBy("sample_id", "contig").agg(F.count(F.lit(1)).alias("n"), F.max("score").alias("s"))
+    return b.groupBy("sample_id").agg(F.max_by("contig", F.struct("n", "s", "contig")).alias("contig"))
+
+
+@query("a31_floor_sensitivity", f"WITH {ad.OVERLAPS}, n AS (SELECT sample_id, gene, count(*) AS n FROM assigned GROUP BY ALL) SELECT sample_id, k AS floor, count(*) FILTER (n >= k) AS genes FROM n, (VALUES (1), (2), (3)) AS f(k) GROUP BY ALL")
+def a31(spark, d):
+    n = _assigned(spark, d).groupBy("sample_id", "gene").agg(F.count(F.lit(1)).alias("n"))
+    each = n.withColumn("floor", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    return each.groupBy("sample_id", "floor").agg(F.count_if(F.col("n") >= F.col("floor")).alias("genes"))
+
+
+@query("a23_bootstrap_interval")
+def a23(spark, d):
+    return counting.bootstrap_share(ad.reads(spark, d).withColumn("hit", F.col("score") > 25), ["sample_id"], "read_id", "hit", rounds=100)
+
+
+@query("f2_extraction_predicate", f"WITH {ad.READS} SELECT sample_id, count(*) FILTER (flag & 4 <> 0) AS unmapped, count(*) FILTER (flag & 4 = 0 AND score < 30) AS rescued, count(*) FILTER (flag & 4 = 0 AND score >= 30) AS left_out FROM reads WHERE flag & 2304 = 0 GROUP BY sample_id")
+def f2(spark, d):
+    unmapped = fn.flagged(F.col("flag"), 4)
+    r = ad.reads(spark, d).where(~fn.flagged(F.col("flag"), 2304))
+    return r.groupBy("sample_id").agg(F.count_if(unmapped).alias("unmapped"), F.count_if(~unmapped & (F.col("score") < 30)).alias("rescued"), F.count_if(~unmapped & (F.col("score") >= 30)).alias("left_out"))
+
+
+@query("p2_fragment_names", f"WITH {ad.READS} SELECT read_id, regexp_replace(read_id, '/[12]$', '') AS fragment FROM reads")
+def p2(spark, d):
+    return ad.reads(spark, d).select("read_id", fn.fragment_name(F.col("read_id")).alias("fragment"))
+
+
+@query("v3_attrition_violations", f"WITH {HALVES} SELECT sample_id, before, after FROM h WHERE after > before")
+def v3(spark, d):
+    h = ad.reads(spark, d).groupBy("sample_id").agg(F.count_if((F.col("fragment_id") % 2 == 0) & (F.col("mapq") >= 30)).alias("before"), F.count_if(F.col("fragment_id") % 2 == 1).alias("after"))
+    return checks.not_falling(h, ["before", "after"]).select("sample_id", "before", "after")
+
+
+@query("v9_single_kind", "SELECT o_custkey, count(DISTINCT o_orderpriority) AS kinds FROM orders GROUP BY o_custkey HAVING count(DISTINCT o_orderpriority) > 1")
+def v9(spark, d):
+    return checks.several(ad.table(spark, d, "orders"), ["o_custkey"], "o_orderpriority")
+
+
+@query("v2_unknown_genes", "SELECT p_brand AS label, count(*) AS rows FROM part WHERE p_brand NOT IN ('Brand#11', 'Brand#12') GROUP BY p_brand")
+def v2(spark, d):
+    return checks.unknown(ad.table(spark, d, "part"), "p_brand", ["Brand#11", "Brand#12"])
+
+
+@query("set_key_union", "SELECT c_custkey AS key FROM customer UNION SELECT o_custkey FROM orders")
+def set_union(spark, d):
+    return ad.table(spark, d, "customer").select(F.col("c_custkey").alias("key")).union(ad.table(spark, d, "orders").select("o_custkey")).distinct()
+
+
+@query("set_key_intersect", "SELECT l_partkey AS key FROM lineitem WHERE l_quantity > 45 INTERSECT SELECT p_partkey FROM part WHERE p_size > 25")
+def set_intersect(spark, d):
+    return ad.table(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("key")).intersect(ad.table(spark, d, "part").where("p_size > 25").select("p_partkey"))
+
+
+@query("set_key_except", "SELECT p_partkey AS key FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 45")
+def set_except(spark, d):
+    return ad.table(spark, d, "part").select(F.col("p_partkey").alias("key")).subtract(ad.table(spark, d, "lineitem").where("l_quantity > 45").select("l_partkey"))
+
+
+from cohortry.plans import cohort_queries  # noqa: E402, F401  registers its queries
