@@ -19,7 +19,7 @@ def corpus():
     texts[32] = "too short"
     texts[33] = "again and again and more " * 8
     texts[34] = texts[5] + " " + PASSAGE.upper() + " more"
-    texts[35] = texts[6] + " mail me@example.org or 192.168.0.1 now"
+    texts[35] = " ".join(f"u{rng.randrange(5000)}" for _ in range(40)) + " mail me@example.org or 192.168.0.1 now"
     texts[36] = None
     return texts
 
