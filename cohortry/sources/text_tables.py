@@ -29,7 +29,7 @@ def fields(df: DataFrame, least: int, names: list[str], pattern: str = r"\s+", s
     parts = df.where(~F.col("value").startswith("#") & (F.trim("value") != "")).withColumn("_f", F.split(F.trim("value"), pattern))
     if strict:
         short = F.raise_error(F.concat(F.lit("too few fields: "), F.col("value")))
-        parts = parts.withColumn("_f", F.when(F.size("_f") >= least, F.col("_f")).otherwise(F.when(short.isNull(), F.col("_f"))))
+        parts = parts.withColumn("_f", F.when(F.size("_f") >= least, F.col("_f")).otherwise(short.cast("array<string>")))
     else:
         parts = parts.where(F.size("_f") >= least)
     return parts.select(*[F.col("_f")[i].alias(n) for i, n in enumerate(names) if n], "_f")
@@ -54,7 +54,7 @@ def paf(spark: SparkSession, path: str) -> DataFrame:
 
 def gff(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
     """Features before the sequence part of each file; attributes as a map."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     lines = whole.select(F.explode(F.split(F.split("value", r"(?m)^##FASTA", 2)[0], "\n")).alias("value"))
     cut = fields(lines, 9, ["contig", "source", "type", "first", "last", "score", "strand", "phase", "attributes"], "\t", strict=False)
     made = cut.select("contig", "type", (F.col("first").cast("long") - 1).alias("start"), F.col("last").cast("long").alias("end"), "strand", F.str_to_map("attributes", F.lit(";"), F.lit("=")).alias("attributes"))
@@ -75,19 +75,18 @@ def search_hits(spark: SparkSession, path: str) -> DataFrame:
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
     """Four-line records of whole files, numbered within their file; a truncated or misplaced record fails the query."""
-    whole = spark.read.option("wholetext", True).text(path).withColumn("file", F.input_file_name())
-    lines = whole.select("file", F.split(F.rtrim("value"), "\n").alias("l"))
+    whole = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
+    lines = whole.select("file", F.split(F.regexp_replace("value", r"\s+$", ""), "\n").alias("l"))
     n = F.size("l")
-    places = F.when(n % 4 == 0, F.sequence(F.lit(0), n - 4, F.lit(4))).otherwise(F.when(F.raise_error(F.lit("truncated record")).isNull(), F.array(F.lit(0))))
-    each = lines.select("file", F.posexplode(F.transform(places, lambda i: F.slice("l", i + 1, 4))).alias("ordinal", "r"))
-    good = F.col("r")[0].startswith("@") & F.col("r")[2].startswith("+") & (F.length(F.col("r")[1]) == F.length(F.col("r")[3]))
-    checked = each.withColumn("r", F.when(good, F.col("r")).otherwise(F.when(F.raise_error(F.lit("malformed record")).isNull(), F.col("r"))))
+    each = lines.withColumn("_whole", n % 4 == 0).select("file", "_whole", F.posexplode(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(4)), lambda i: F.slice("l", i + 1, 4))).alias("ordinal", "r"))
+    good = F.col("_whole") & (F.size("r") == 4) & F.get("r", F.lit(0)).startswith("@") & F.get("r", F.lit(2)).startswith("+") & (F.length(F.get("r", F.lit(1))) == F.length(F.get("r", F.lit(3))))
+    checked = each.withColumn("r", F.when(F.coalesce(good, F.lit(False)), F.col("r")).otherwise(F.raise_error(F.concat(F.lit("malformed or truncated record in "), F.col("file"))).cast("array<string>")))
     return checked.select("file", "ordinal", F.col("r")[0].alias("header"), F.col("r")[1].alias("seq"), F.col("r")[3].alias("qual"))
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
     """name, header and sequence of each record."""
-    records = spark.read.option("lineSep", "\n>").text(path).where(F.trim("value") != "")
+    records = spark.read.text(path, lineSep="\n>").where(F.trim("value") != "")
     header = F.regexp_replace(F.split("value", "\n", 2)[0], "^>", "")
     return records.select(F.split(header, r"\s+")[0].alias("name"), header.alias("header"), F.regexp_replace(F.get(F.split("value", "\n", 2), F.lit(1)), r"\s", "").alias("seq"))
 
