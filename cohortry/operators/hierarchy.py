@@ -30,3 +30,26 @@ def rank_ancestor(closure: DataFrame, ranks: DataFrame, rank: str) -> DataFrame:
 def below(closure: DataFrame, root) -> DataFrame:
     """The nodes under a root, itself included."""
     return closure.where(F.col("ancestor") == root).select("node").distinct()
+
+
+def chain_order(df: DataFrame, file: str, node: str, previous: str, ordinal: str) -> DataFrame:
+    """Program records of each file along their links: place of each, roots first, each before those that follow it, and
+    records that no root reaches at the end, in input order. A file has few records."""
+
+    def ordered(rows):
+        rows = rows.sort_values(ordinal)
+        known, following = set(rows[node]), {}
+        for name, before in zip(rows[node], rows[previous], strict=True):
+            following.setdefault(before if before in known else None, []).append(name)
+        places, todo = {}, list(reversed(following.get(None, list(rows[node][:1]))))
+        while todo:
+            name = todo.pop()
+            if name not in places:
+                places[name] = len(places)
+                todo += reversed(following.get(name, []))
+        for name in rows[node]:
+            places.setdefault(name, len(places))
+        return rows[[file, node]].assign(place=[places[n] for n in rows[node]])
+
+    kinds = dict(df.dtypes)
+    return df.select(file, node, previous, ordinal).groupBy(file).applyInPandas(ordered, f"{file} {kinds[file]}, {node} {kinds[node]}, place long")

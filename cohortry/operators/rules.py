@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cohortry.functions import scalars as fn
+
 #: Tiers with the least reads, genes and breadth that each needs, strongest first.
 TIERS = [("extensive_island", 100, 10, 0.15), ("broad_island", 30, 8, 0.075), ("multi_gene", 5, 3, 0.01)]
 
@@ -35,8 +37,69 @@ def outcome(tier: Column) -> Column:
     return cascade([(tier.isNull() | (tier == "untiered"), "untiered"), (tier == "negative", "negative")], "positive")
 
 
-def structural_call(breadth: Column) -> Column:
-    return cascade([(breadth >= 0.9, "near_complete"), (breadth >= 0.75, "mostly_complete"), (breadth >= 0.2, "partial"), (breadth >= 0.05, "fragment"), (breadth > 0, "trace")], "absent")
+def structural_call(one: Column, two: Column) -> Column:
+    """What two assemblies show of the island, by the better one, and whether they agree: struct of call and agreement."""
+    best, least = F.greatest(one, two), F.least(one, two)
+    call = cascade([(best >= 0.9, "complete_island"), (best >= 0.75, "near_complete_island"), (best >= 0.2, "fragmented_island"), (best >= 0.05, "partial_island"), (best > 0, "limited_contig_support")], "read_evidence_only")
+    agreement = cascade([(best == 0, "no_contig_support"), (least == 0, "single_assembler_only"), (F.abs(one - two) <= 0.2, "concordant")], "discordant")
+    return F.struct(call.alias("call"), agreement.alias("agreement"))
+
+
+def assembly_diagnostic(fragments: Column, breadth: Column) -> Column:
+    """Why an assembly came out as it did, from the fragments that support the island."""
+    return cascade([(fragments.isNull(), "recruitment_classes_unavailable"), (fragments == 0, "no_island_supporting_fragments"), (breadth > 0, "island_contigs_recovered")], "island_fragments_no_contig")
+
+
+def recruitment_class(pos: Column, cigar: Column, mapq: Column, nm: Column, left: int, right: int, *, matched: int = 60, identity: float = 0.9, coverage: float = 0.8, least_mapq: int = 20, tolerance: int = 10) -> Column:
+    """struct of class and reason for an alignment at 1-based ``pos``; the island is ``left`` to ``right``, both included.
+
+    Too weak alignments are rejected first. Then: bases on both sides of a border, or an end at a border with a clip
+    beyond it, span it; the rest is inside or flanking if enough of the read is aligned.
+    """
+    steps = fn.cigar_steps(cigar)
+    same, span = fn.cigar_sum(steps, "M=X"), fn.reference_span(steps)
+    aligned = same + fn.cigar_sum(steps, "I")
+    end = pos + span - 1
+    inside = F.greatest(F.least(end, F.lit(right)) - F.greatest(pos, F.lit(left)) + 1, F.lit(0))
+    at_left = (F.abs(pos - left) <= tolerance) & (fn.clip(cigar, "left") > tolerance)
+    at_right = (F.abs(end - right) <= tolerance) & (fn.clip(cigar, "right") > tolerance)
+    enough = F.coalesce(F.try_divide(aligned, fn.read_length(steps)), F.lit(0.0)) >= coverage
+    made = lambda name, reason=None: F.struct(F.lit(name).alias("class"), F.lit(reason).cast("string").alias("reason"))
+    return cascade(
+        [
+            (steps.isNull(), made("rejected", "unmapped")),
+            (mapq < least_mapq, made("rejected", "low_mapq")),
+            (same < matched, made("rejected", "short_alignment")),
+            (F.coalesce(F.try_divide(same - nm, same), F.lit(0.0)) < identity, made("rejected", "low_identity")),
+            ((inside > tolerance) & (span - inside > tolerance), made("boundary_spanning")),
+            ((inside > tolerance) & (at_left | at_right), made("boundary_spanning")),
+            ((inside > tolerance) & enough, made("island_internal")),
+            (~(inside > tolerance) & enough, made("flank_only")),
+        ],
+        made("rejected", "low_query_coverage"),
+    )
+
+
+def favoured(one: Column, two: Column, margin: int = 0) -> Column:
+    """true or decoy by the better score; ambiguous within the margin or without either."""
+    lead = one - two
+    return cascade([(one.isNull() & two.isNull(), "ambiguous"), (two.isNull(), "true"), (one.isNull(), "decoy"), (lead > margin, "true"), (lead < -margin, "decoy")], "ambiguous")
+
+
+def favoured_with_mismatches(one: Column, nm_one: Column, two: Column, nm_two: Column) -> Column:
+    """By score, then by fewer mismatches; unknown or equal mismatches stay ambiguous."""
+    by_score = favoured(one, two)
+    return cascade([(by_score != "ambiguous", by_score), (one.isNull(), "ambiguous"), (nm_one < nm_two, "true"), (nm_one > nm_two, "decoy")], "ambiguous")
+
+
+def confirmed(first: Column, second: Column) -> Column:
+    return cascade([((first == "true") & (second == "true"), "confirmed_true"), ((first == "decoy") & (second == "decoy"), "confirmed_decoy")], "ambiguous")
+
+
+def typing_status(alleles: Column, type_: Column, loci: int = 7) -> Column:
+    """Only exact alleles at all loci can name a type."""
+    exact = F.size(F.filter(alleles, lambda a: allele_state(a) == "exact"))
+    return cascade([(exact < loci, "insufficient_loci"), (type_.isNull(), "novel_allele_combination")], "typed")
 
 
 def retention_verdict(supporting: Column, retention: Column, low: Column, missing: Column) -> Column:

@@ -254,9 +254,20 @@ def r5(spark, d):
     return r1(spark, d).select("sample_id", rules.outcome(F.col("tier")).alias("outcome"))
 
 
-@query("r7_structural_call", f"WITH {EVIDENCE} SELECT sample_id, CASE WHEN breadth >= 0.9 THEN 'near_complete' WHEN breadth >= 0.75 THEN 'mostly_complete' WHEN breadth >= 0.2 THEN 'partial' WHEN breadth >= 0.05 THEN 'fragment' WHEN breadth > 0 THEN 'trace' ELSE 'absent' END AS call FROM evidence")
+R7 = "greatest(breadth, genes / 20.0::DOUBLE)"
+
+
+@query("r7_structural_call", f"WITH {EVIDENCE} SELECT sample_id, CASE WHEN {R7} >= 0.9 THEN 'complete_island' WHEN {R7} >= 0.75 THEN 'near_complete_island' WHEN {R7} >= 0.2 THEN 'fragmented_island' WHEN {R7} >= 0.05 THEN 'partial_island' WHEN {R7} > 0 THEN 'limited_contig_support' ELSE 'read_evidence_only' END AS call, CASE WHEN {R7} = 0 THEN 'no_contig_support' WHEN least(breadth, genes / 20.0::DOUBLE) = 0 THEN 'single_assembler_only' WHEN abs(breadth - genes / 20.0::DOUBLE) <= 0.2 THEN 'concordant' ELSE 'discordant' END AS agreement FROM evidence")
 def r7(spark, d):
-    return _evidence(spark, d).select("sample_id", rules.structural_call(F.col("breadth")).alias("call"))
+    return _evidence(spark, d).select("sample_id", rules.structural_call(F.col("breadth"), F.col("genes") / F.lit(20.0)).alias("s")).select("sample_id", "s.*")
+
+
+@query("r9_competitive_call", f"WITH {ad.READS}, x AS (SELECT fragment_id, max(score) FILTER (contig = 0) AS a, max(score) FILTER (contig = 1) AS b, min(nm) FILTER (contig = 0) AS na, min(nm) FILTER (contig = 1) AS nb FROM reads GROUP BY 1), c AS (SELECT fragment_id, CASE WHEN a IS NULL AND b IS NULL THEN 'ambiguous' WHEN b IS NULL THEN 'true' WHEN a IS NULL THEN 'decoy' WHEN a - b > 2 THEN 'true' WHEN a - b < -2 THEN 'decoy' ELSE 'ambiguous' END AS b1, CASE WHEN a IS NULL AND b IS NULL THEN 'ambiguous' WHEN b IS NULL THEN 'true' WHEN a IS NULL THEN 'decoy' WHEN a > b THEN 'true' WHEN a < b THEN 'decoy' WHEN na < nb THEN 'true' WHEN na > nb THEN 'decoy' ELSE 'ambiguous' END AS b2 FROM x) SELECT fragment_id, b1, b2, CASE WHEN b1 = 'true' AND b2 = 'true' THEN 'confirmed_true' WHEN b1 = 'decoy' AND b2 = 'decoy' THEN 'confirmed_decoy' ELSE 'ambiguous' END AS class FROM c")
+def r9(spark, d):
+    of = lambda f, c, k: f(F.when(F.col("contig") == k, F.col(c)))
+    x = ad.reads(spark, d).groupBy("fragment_id").agg(of(F.max, "score", 0).alias("a"), of(F.max, "score", 1).alias("b"), of(F.min, "nm", 0).alias("na"), of(F.min, "nm", 1).alias("nb"))
+    x = x.withColumns({"b1": rules.favoured(F.col("a"), F.col("b"), 2), "b2": rules.favoured_with_mismatches(F.col("a"), F.col("na"), F.col("b"), F.col("nb"))})
+    return x.select("fragment_id", "b1", "b2", rules.confirmed(F.col("b1"), F.col("b2")).alias("class"))
 
 
 @query("g3_rank_ancestor", f"WITH RECURSIVE {ad.TREE} SELECT node, arg_min(ancestor, distance) AS found FROM closure JOIN tree AS t ON t.node = ancestor AND t.rank = 'genus' GROUP BY closure.node".replace("SELECT node, arg_min", "SELECT closure.node, arg_min"))

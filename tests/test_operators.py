@@ -123,3 +123,30 @@ def test_fragments_are_added_once(spark, tmp_path):
     for _ in range(2):
         append_fragments(spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "state"))
     assert spark.read.parquet(str(tmp_path / "table")).count() == 1
+
+
+def test_recruitment_classes(spark):
+    left, right = 5_001, 55_768
+    cases = [
+        (20_000, "60M90S", 60, 0, "rejected", "low_query_coverage"), (20_000, "150M", 60, 0, "island_internal", None), (20_000, "120M30S", 60, 0, "island_internal", None), (20_000, "119M31S", 60, 0, "rejected", "low_query_coverage"),
+        (20_000, "150M", 60, 20, "rejected", "low_identity"), (20_000, "59M", 60, 0, "rejected", "short_alignment"), (left - 75, "150M", 60, 0, "boundary_spanning", None), (right - 68, "150M", 60, 0, "boundary_spanning", None),
+        (left, "90S60M", 60, 0, "boundary_spanning", None), (right - 59, "60M90S", 60, 0, "boundary_spanning", None), (left + 11, "90S60M", 60, 0, "rejected", "low_query_coverage"), (left, "60M90S", 60, 0, "rejected", "low_query_coverage"),
+        (left, "5S145M", 60, 0, "island_internal", None), (left - 6, "150M", 60, 0, "island_internal", None), (100, "150M", 60, 0, "flank_only", None), (left - 145, "150M", 60, 0, "flank_only", None), (20_000, "150M", 5, 0, "rejected", "low_mapq"), (20_000, "*", 60, 0, "rejected", "unmapped"),
+    ]
+    df = spark.createDataFrame(cases, "pos int, cigar string, mapq int, nm int, class string, reason string")
+    made = df.withColumn("r", rules.recruitment_class(F.col("pos"), F.col("cigar"), F.col("mapq"), F.col("nm"), left, right))
+    assert made.where(~(F.col("r.class").eqNullSafe(F.col("class")) & F.col("r.reason").eqNullSafe(F.col("reason")))).collect() == []
+
+
+def test_competitive_calls_and_typing(spark):
+    cases = [(None, None, None, None, "ambiguous"), (5, None, None, None, "true"), (None, None, 5, None, "decoy"), (9, 1, 9, 2, "true"), (9, 2, 9, 2, "ambiguous"), (9, None, 9, 2, "ambiguous"), (8, 0, 9, 9, "decoy")]
+    df = spark.createDataFrame(cases, "a int, na int, b int, nb int, want string")
+    assert df.where(rules.favoured_with_mismatches(F.col("a"), F.col("na"), F.col("b"), F.col("nb")) != F.col("want")).count() == 0
+    types = spark.createDataFrame([(["1"] * 7, "131", "typed"), (["1"] * 6 + ["~2"], "131", "insufficient_loci"), (["1"] * 7, None, "novel_allele_combination")], "alleles array<string>, st string, want string")
+    assert types.where(rules.typing_status(F.col("alleles"), F.col("st")) != F.col("want")).count() == 0
+
+
+def test_program_chain(spark):
+    rows = [("f", "sort", "align", 1), ("f", "align", None, 2), ("f", "mark", "sort", 3), ("f", "x", "y", 4), ("f", "y", "x", 5)]
+    got = hierarchy.chain_order(spark.createDataFrame(rows, "file string, id string, pp string, n int"), "file", "id", "pp", "n")
+    assert {r.id: r.place for r in got.collect()} == {"align": 0, "sort": 1, "mark": 2, "x": 3, "y": 4}
