@@ -9,8 +9,8 @@ from cohortry.llm.common import ascii_lower, small, staged, table, words_of
 from cohortry.llm.components import components
 
 GAP = r"[\x20\x09-\x0D]"
-#: Shingles whose hash is in the lowest SHARE_NUM/SHARE_DEN of all hashes come first in the common order, rarest first.
-#: It is more than 1 - threshold, so that for most documents the whole prefix lies there.
+#: The first test counts shingles whose hash is in the lowest SHARE_NUM/SHARE_DEN of all hashes. The share is more than
+#: 1 - threshold, so that most documents without links can be told by it.
 SHARE_NUM, SHARE_DEN = 1, 5
 #: Lists of up to this many documents are compared in full; longer ones start with a star around their most typical one.
 STAR = 16
@@ -53,8 +53,10 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def sized(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different nodes whose sizes allow a link, each once, the lesser node on the left."""
-    fit = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (F.col("node") != F.col("other"))
+    """Pairs of different nodes that may be linked, each once, the lesser node on the left. Sets of n and m elements, u and
+    v of which other documents have too, share at most the lesser of u and v."""
+    most = F.least("u", "v")
+    fit = (100 * most >= percent * (F.col("n") + F.col("m") - most)) & (F.col("node") != F.col("other"))
     return pairs.where(fit).select(F.least("node", "other").alias("left"), F.greatest("node", "other").alias("right")).distinct()
 
 
@@ -69,9 +71,10 @@ def jaccard_links(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     empty texts have n = 0 and no links. Null ids are kept. Repeated rows are members of one node. Other columns are not
     read. An empty table gives empty results.
 
-    Method. Shingles get one order: those of a fixed share of hashes first, by document frequency. Linked sets share an
-    element in their prefixes of n - ceil(t n) + 1, and two elements in prefixes longer by one. Documents whose prefix
-    holds only shingles that no other document has need no search. Small sets emit each pair of elements of the longer
+    Method. In any common order, linked sets share an element in their prefixes of n - ceil(t n) + 1, and two elements in
+    prefixes longer by one. So a document with as many shingles of its own as its prefix is long has no links. This is
+    tested on a fixed share of hashes first, over all documents, then on whole sets, over those left. Of these, the order
+    is by document frequency. Small sets emit each pair of elements of the longer
     prefix, large sets each element of the shorter; the boundary is the cheapest of BOUNDARIES by the emitted pairs
     against the lengths of the lists scanned. Sets near the boundary do both.
     """
@@ -82,24 +85,26 @@ def jaccard_links(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
 
     each = base.select(F.col("node.a").alias("doc"), F.explode("first").alias("shingle"))
     common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = each.join(common, "shingle").groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("df", "shingle"))).alias("shared"))
+    shared = each.join(common, "shingle").groupBy("doc").agg(F.count(F.lit(1)).alias("among"))
     # shingles of the share that no other row has; a repeated document has none
-    alone = F.col("m") - F.coalesce(F.size("shared"), F.lit(0))
-    kept = classes.join(shared, F.col("node.a") == F.col("doc"), "left").withColumn("alone", F.when(F.col("shared").isNull(), F.col("m")).otherwise(alone))
-    kept = kept.where(F.col("alone") < prefix_size(F.col("n"), percent))
-    kept = staged(kept.select("node", "id", "n", "alone", F.coalesce("shared", F.array().cast("array<struct<df:bigint,shingle:bigint>>")).alias("shared")), "kept")
+    kept = classes.join(shared, F.col("node.a") == F.col("doc"), "left")
+    kept = kept.where(F.col("m") - F.coalesce("among", F.lit(0)) < prefix_size(F.col("n"), percent))
+    kept = staged(kept.select("node", "id", "n"), "kept")
 
     ids = kept.select(F.col("id").alias("_id")).distinct()
     wanted = df.join(F.broadcast(ids) if small(ids) else ids, F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
-    sets = tokenized(wanted, doc_id, text, k).select("node", "shingles").join(kept, "node")
-    sets = staged(sets.select("node", "n", "alone", "shared", "shingles"), "sets")
-
-    # the part of the longer prefix that others may have: by frequency in the share, then by hash outside it
-    room = prefix_size(F.col("n"), percent) + 1 - F.col("alone")
-    inside = F.slice("shared", 1, room)
-    outside = F.when(room > F.size("shared"), F.slice(F.sort_array(F.filter("shingles", lambda s: ~early(s))), 1, room - F.size("shared")))
-    heads = sets.select("node", "n", (F.col("alone") / F.col("n")).alias("odd"), F.transform(inside, lambda s: s["shingle"]).alias("inside"), F.coalesce(outside, F.array().cast("array<bigint>")).alias("outside"), F.aggregate(inside, F.lit(0).cast("bigint"), lambda t, s: t + s["df"]).alias("scan"), room.alias("room"))
-    heads = heads.select("node", "n", "odd", "scan", "room", F.concat("inside", "outside").alias("head"))
+    sets = staged(tokenized(wanted, doc_id, text, k).drop("n", "id").join(kept, "node").select("node", "n", "shingles"), "sets")
+    if sets.groupBy("node").count().where("count > 1").limit(1).count():  # rows with equal id and text
+        sets = staged(sets.dropDuplicates(["node"]), "sets")
+
+    # the same over whole sets, among those left: what they share, rarest first
+    every = sets.select("node", F.explode("shingles").alias("shingle"))
+    common = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = every.join(common, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
+    room = prefix_size(F.col("n"), percent) + 1 - (F.col("n") - F.size("shared"))
+    heads = kept.join(shared, "node").withColumn("room", room).where("room > 1")
+    head = F.slice("shared", 1, F.col("room"))
+    heads = staged(heads.select("node", "n", F.size("shared").alias("u"), "room", F.transform(head, lambda s: s["shingle"]).alias("head"), F.aggregate(head, F.lit(0).cast("bigint"), lambda t, s: t + s["df"]).alias("scan")), "heads")
     edge = _boundary(heads, percent)
 
     upto = edge * 100 / percent
@@ -107,12 +112,12 @@ def jaccard_links(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     subsets = F.when((F.col("n") == 1) & (F.lit(edge) >= 1), F.transform("head", lambda s: F.xxhash64(F.lit("one"), s))).when((F.col("n") <= upto) & (F.size("head") > 1), few)
     lists = F.when(F.col("n") > edge, F.slice("head", 1, F.greatest(F.col("room") - 1, F.lit(0))))
     none = F.array().cast("array<bigint>")
-    rows = heads.select("node", "n", "odd", F.explode(F.concat(F.coalesce(subsets, none), F.coalesce(lists, none))).alias("key"))
+    rows = heads.select("node", "n", "u", F.explode(F.concat(F.coalesce(subsets, none), F.coalesce(lists, none))).alias("key"))
     lengths = rows.groupBy("key").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
     rows = staged(rows.join(lengths, "key"), "rows")
 
-    short = rows.where(F.col("length") <= STAR).groupBy("key").agg(F.collect_list(F.struct("node", "n")).alias("all"))
-    crossed = short.select("all", F.explode("all").alias("x")).select("x.node", "x.n", F.explode("all").alias("y")).select("node", "n", F.col("y.node").alias("other"), F.col("y.n").alias("m"))
+    short = rows.where(F.col("length") <= STAR).groupBy("key").agg(F.collect_list(F.struct("node", "n", "u")).alias("all"))
+    crossed = short.select("all", F.explode("all").alias("x")).select("x.*", F.explode("all").alias("y")).select("node", "n", "u", F.col("y.node").alias("other"), F.col("y.n").alias("m"), F.col("y.u").alias("v"))
     links = staged(verified(sized(crossed.where(F.col("node") < F.col("other")), percent), sets, percent), "links")
 
     long = rows.where(F.col("length") > STAR)
@@ -125,19 +130,19 @@ def jaccard_links(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
         long = staged(lists.join(spread, "key"), "long")
         if turn < ROUNDS:
             # the hub: not of the largest part if that is known, and then the one with the fewest shingles of its own
-            parts = long.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("odd", "node", "n")).alias("hub"))
+            parts = long.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct((F.col("n") - F.col("u")).alias("own"), "node", "n", "u")).alias("hub"))
             hubs = parts.groupBy("key").agg(F.max(F.struct("size", "part")).alias("main"), F.min(F.struct(F.lit(0).alias("rank"), "hub")).alias("any"), F.count(F.lit(1)).alias("parts"))
             if turn:
                 rest = parts.join(hubs.select("key", "main"), "key").where(F.col("part") != F.col("main.part")).groupBy("key").agg(F.min("hub").alias("hub"))
             else:
                 rest = hubs.select("key", F.col("any.hub").alias("hub"))
             starred = long.join(rest, "key")
-            pairs = starred.where(F.col("part").isNotNull()).select("node", "n", F.col("hub.node").alias("other"), F.col("hub.n").alias("m"))
-            long = starred.where(F.col("node") != F.col("hub.node")).select("key", "node", "n", "odd", "length", "part")
+            pairs = starred.select("node", "n", "u", F.col("hub.node").alias("other"), F.col("hub.n").alias("m"), F.col("hub.u").alias("v"))
+            long = starred.where(F.col("node") != F.col("hub.node")).select("key", "node", "n", "u", "length", "part")
         else:
             # what is still apart: every pair of different parts of a list
-            other = long.select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("part").alias("_part"))
-            pairs = long.join(other, "key").where(F.col("part") < F.col("_part")).select("node", "n", "other", "m")
+            other = long.select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("u").alias("v"), F.col("part").alias("_part"))
+            pairs = long.join(other, "key").where(F.col("part") < F.col("_part")).select("node", "n", "u", "other", "m", "v")
         links = staged(links.union(verified(sized(pairs, percent), sets, percent)).distinct(), "links")
     return members, links
 
