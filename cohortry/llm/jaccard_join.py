@@ -12,10 +12,9 @@ GAP = r"[\x20\x09-\x0D]"
 #: The first test counts shingles whose hash is in the lowest SHARE_NUM/SHARE_DEN of all hashes. The share is more than
 #: 1 - threshold, so that most documents without links can be told by it.
 SHARE_NUM, SHARE_DEN = 1, 5
-#: Lists of up to this many documents are compared in full; longer ones start with a star around their most typical one.
+#: Lists of up to this many documents are compared in full; longer ones start with a star around their most typical one,
+#: and only what that leaves apart is compared in full.
 STAR = 16
-#: Stars in a long list before what they left apart is compared in full.
-ROUNDS = 3
 #: Candidate boundaries between small and large sets.
 BOUNDARIES = (0, 4, 8, 16, 32, 64, 128, 256)
 
@@ -104,7 +103,7 @@ def jaccard_links(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     room = prefix_size(F.col("n"), percent) + 1 - (F.col("n") - F.size("shared"))
     heads = kept.join(shared, "node").withColumn("room", room).where("room > 1")
     head = F.slice("shared", 1, F.col("room"))
-    heads = staged(heads.select("node", "n", F.size("shared").alias("u"), "room", F.transform(head, lambda s: s["shingle"]).alias("head"), F.aggregate(head, F.lit(0).cast("bigint"), lambda t, s: t + s["df"]).alias("scan")), "heads")
+    heads = staged(heads.select("node", "n", F.size("shared").alias("u"), "room", F.transform(head, lambda s: s["shingle"]).alias("head"), F.aggregate(head, F.lit(0).cast("bigint"), lambda t, s: t + F.when(s["df"] <= STAR, s["df"]).otherwise(1)).alias("scan")), "heads")
     edge = _boundary(heads, percent)
 
     upto = edge * 100 / percent
@@ -121,34 +120,24 @@ def jaccard_links(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     links = staged(verified(sized(crossed.where(F.col("node") < F.col("other")), percent), sets, percent), "links")
 
     long = rows.where(F.col("length") > STAR)
-    for turn in range(ROUNDS + 1):
-        if long.limit(1).count() == 0:
-            break
-        labels = components(links, "left", "right")
-        lists = long.drop("part").join(labels, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
-        spread = lists.groupBy("key").agg(F.min("part").alias("_p"), F.max("part").alias("_q")).where(F.col("_p") != F.col("_q")).select("key")
-        long = staged(lists.join(spread, "key"), "long")
-        if turn < ROUNDS:
-            # the hub: not of the largest part if that is known, and then the one with the fewest shingles of its own
-            parts = long.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct((F.col("n") - F.col("u")).alias("own"), "node", "n", "u")).alias("hub"))
-            hubs = parts.groupBy("key").agg(F.max(F.struct("size", "part")).alias("main"), F.min(F.struct(F.lit(0).alias("rank"), "hub")).alias("any"), F.count(F.lit(1)).alias("parts"))
-            if turn:
-                rest = parts.join(hubs.select("key", "main"), "key").where(F.col("part") != F.col("main.part")).groupBy("key").agg(F.min("hub").alias("hub"))
-            else:
-                rest = hubs.select("key", F.col("any.hub").alias("hub"))
-            starred = long.join(rest, "key")
-            pairs = starred.select("node", "n", "u", F.col("hub.node").alias("other"), F.col("hub.n").alias("m"), F.col("hub.u").alias("v"))
-            long = starred.where(F.col("node") != F.col("hub.node")).select("key", "node", "n", "u", "length", "part")
-        else:
-            # what is still apart: every pair of different parts of a list
-            other = long.select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("u").alias("v"), F.col("part").alias("_part"))
-            pairs = long.join(other, "key").where(F.col("part") < F.col("_part")).select("node", "n", "u", "other", "m", "v")
+    if long.limit(1).count():
+        # a star: all of a list against the one with the fewest shingles of its own
+        hubs = long.groupBy("key").agg(F.min(F.struct((F.col("n") - F.col("u")).alias("own"), "node", "n", "u")).alias("hub"))
+        star = long.join(hubs, "key").select("node", "n", "u", F.col("hub.node").alias("other"), F.col("hub.n").alias("m"), F.col("hub.u").alias("v"))
+        links = staged(links.union(verified(sized(star, percent), sets, percent)).distinct(), "links")
+        # what is still apart: every pair of different parts of a list
+        parts = long.join(components(links, "left", "right"), "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+        spread = parts.groupBy("key").agg(F.min("part").alias("_p"), F.max("part").alias("_q")).where(F.col("_p") != F.col("_q")).select("key")
+        apart = staged(parts.join(spread, "key"), "apart")
+        other = apart.select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("u").alias("v"), F.col("part").alias("_part"))
+        pairs = apart.join(other, "key").where(F.col("part") < F.col("_part")).select("node", "n", "u", "other", "m", "v")
         links = staged(links.union(verified(sized(pairs, percent), sets, percent)).distinct(), "links")
     return members, links
 
 
 def _boundary(heads: DataFrame, percent: int) -> int:
-    """The cheapest boundary: pairs emitted by the sets up to it against lists scanned by those above."""
+    """The cheapest boundary: pairs emitted by the sets up to it, against the rows of lists and what they are compared with
+    by the sets above. In a long list, a set is compared with the hub alone."""
     size = F.size("head").cast("bigint")
     costs = [
         F.coalesce(F.sum(F.when(F.col("n") <= x * 100 / percent, size * (size - 1) / 2)), F.lit(0.0)) + F.coalesce(F.sum(F.when(F.col("n") > x, F.col("scan") + size)), F.lit(0))
