@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import staged
+from cohortry.llm.common import small, staged
 
 
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
@@ -13,19 +13,24 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
 
     Nodes are of any orderable type. Every round points each node of a star at the least node seen there; rounds are
     staged and end when a round changes nothing. Null ends and self links are ignored; an empty table gives an empty one.
+
+    Edges that were counted to be no more than what may be broadcast are read as one partition, so that the joins of a round
+    need no shuffle; more are dealt out by node. Both give the same.
     """
     edges = links.where(F.col(left) != F.col(right)).select(F.greatest(left, right).alias("node"), F.least(left, right).alias("to")).distinct()
     edges, seen = staged(edges, "edges"), None
+    few = small(edges)
     while True:
-        both = edges.union(edges.select("to", "node"))
+        edges = edges.coalesce(1) if few else edges
+        both = edges.select(F.explode(F.array(F.struct("node", "to"), F.struct(F.col("to").alias("node"), F.col("node").alias("to")))).alias("e")).select("e.*")
         least = both.groupBy("node").agg(F.min("to").alias("best"))
         # larger neighbours of a node move to the least neighbour, or the node itself if that is less
         near = both.join(least, "node").select("node", "to", F.least("node", "best").alias("best"))
         large = near.where(F.col("to") > F.col("node")).select(F.col("to").alias("node"), F.col("best").alias("to")).distinct()
         # then smaller neighbours, and the node, move to the least of them
         low = large.groupBy("node").agg(F.min("to").alias("best"))
-        small = large.join(low, "node").select(F.explode(F.array(F.struct("node", F.col("best").alias("to")), F.struct(F.col("to").alias("node"), F.col("best").alias("to")))).alias("e"))
-        edges = staged(small.select("e.*").where(F.col("node") != F.col("to")).distinct(), "edges")
+        near_least = large.join(low, "node").select(F.explode(F.array(F.struct("node", F.col("best").alias("to")), F.struct(F.col("to").alias("node"), F.col("best").alias("to")))).alias("e"))
+        edges = staged(near_least.select("e.*").where(F.col("node") != F.col("to")).distinct(), "edges")
         found = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "to").cast("decimal(38,0)"))).first()
         if found == seen:
             return edges.groupBy("node").agg(F.min("to").alias("component")).union(edges.select("to", "to").distinct())
