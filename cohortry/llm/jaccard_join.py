@@ -9,9 +9,9 @@ from cohortry.llm.common import ascii_lower, small, staged, table, words_of
 from cohortry.llm.components import components
 
 GAP = r"[\x20\x09-\x0D]"
-#: The first test counts shingles whose hash is in the lowest SHARE_NUM/SHARE_DEN of all hashes. The share is more than
-#: 1 - threshold, so that most documents without links can be told by it.
-SHARE_NUM, SHARE_DEN = 1, 5
+#: The first test counts shingles whose hash is in the lowest SHARE_NUM/SHARE_DEN times (1 - threshold) of all hashes. The
+#: share is more than 1 - threshold, so that most documents without links can be told by it.
+SHARE_NUM, SHARE_DEN = 4, 3
 #: Lists of up to this many documents are compared in full; longer ones start with a star around their most typical one,
 #: and only what that leaves apart is compared in full.
 STAR = 16
@@ -33,9 +33,9 @@ def tokenized(df: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
     return cut.withColumn("n", F.size("shingles"))
 
 
-def early(shingle: Column) -> Column:
-    """Whether a shingle is of the share that comes first in the order."""
-    return shingle < F.lit(-(2**63) + 2**64 * SHARE_NUM // SHARE_DEN)
+def early(shingle: Column, percent: int) -> Column:
+    """Whether a shingle is of the share that comes first in the order: a fifth of all at 85 percent."""
+    return shingle < F.lit(min(-(2**63) + 2**64 * SHARE_NUM * (100 - percent) // (SHARE_DEN * 100), 2**63 - 1))
 
 
 def prefix_size(n: Column, percent: int) -> Column:
@@ -78,7 +78,7 @@ def jaccard_links(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     against the lengths of the lists scanned. Sets near the boundary do both.
     """
     tokens = tokenized(df, doc_id, text, k)
-    base = staged(tokens.select("id", "node", "n", F.filter("shingles", early).alias("first")), "base")
+    base = staged(tokens.select("id", "node", "n", F.filter("shingles", lambda s: early(s, percent)).alias("first")), "base")
     members = base.select("id", "node", "n")
     classes = base.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first(F.size("first")).alias("m"))
 

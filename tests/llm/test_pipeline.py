@@ -6,6 +6,7 @@ import re
 
 import corpus_pipeline
 import public_tokenizers
+from cohortry.llm import jaccard_join
 from tokenizers import Tokenizer
 
 PASSAGE = " ".join(f"bench{i}" for i in range(14))
@@ -64,3 +65,24 @@ def test_stages_equal_brute_force(spark, tmp_path):
         ids = library.encode(t, add_special_tokens=False).ids
         assert got[i].n_tokens == len(ids) and got[i].ids == b"".join(x.to_bytes(4, "little") for x in ids)
         assert got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
+
+
+def test_similarity_stage_takes_five_words_and_four_fifths(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    edited = [w if i % 40 != 20 else f"v{i}" for i, w in enumerate(base)]  # five single words: 171 of 221 shingles
+    texts = {1: base, 2: base[:166], 3: edited, 4: [f"u{i}" for i in range(200)]}
+    texts |= {i: [f"u{rng.randrange(10**9)}" for _ in range(rng.randrange(30, 300))] for i in range(5, 60)}
+    cut = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in texts.items()}
+    assert 0.82 < len(cut[1] & cut[2]) / len(cut[1] | cut[2]) < 0.83 and 0.77 < len(cut[1] & cut[3]) / len(cut[1] | cut[3]) < 0.8
+    first = []
+    for i in sorted(cut):
+        if not any(100 * len(cut[i] & cut[j]) >= 80 * len(cut[i] | cut[j]) for j in first):
+            first.append(i)
+    docs = spark.createDataFrame([(i, " ".join(w), "en", "src0", 0) for i, w in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.by_similarity(spark, docs, "").collect()) == first and 2 not in first and 3 in first
+
+
+def test_first_share_exceeds_what_the_threshold_leaves():
+    spread = lambda percent: jaccard_join.SHARE_NUM * (100 - percent) / (jaccard_join.SHARE_DEN * 100)
+    assert spread(85) == 0.2 and spread(80) > 0.25
