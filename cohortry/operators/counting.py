@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import random
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,16 +62,18 @@ def share(part: Column, whole: Column) -> Column:
 def bootstrap_share(df: DataFrame, by: list[str], order: str, outcome: str, *, seed: int = 1, rounds: int = 1000) -> DataFrame:
     """95 % percentile interval of the share of true outcomes, resampled with a seeded generator.
 
-    Outcomes are sorted by ``order`` first, so that the result does not depend on partitions. A group is one sample's reads.
+    The hits among n draws with replacement from n outcomes are binomial, so only each group's n and hits are resampled, by
+    a generator seeded with ``seed`` and the group's key: no group's rows meet in a task, and ``order`` and partitions do
+    not matter. Null outcomes are not measured and not drawn; without measured ones both bounds are null.
     """
 
-    def resample(rows):
-        outcomes = rows.sort_values(order)[outcome].astype(bool).tolist()
-        draw = random.Random(seed)
-        shares = sorted(sum(draw.choice(outcomes) for _ in outcomes) / len(outcomes) for _ in range(rounds))
-        out = rows[by].head(1).copy()
-        out["low"], out["high"] = shares[int(0.025 * (rounds - 1))], shares[int(0.975 * (rounds - 1))]
-        return out
+    @F.pandas_udf("low double, high double")
+    def interval(n: pd.Series, hits: pd.Series, key: pd.Series) -> pd.DataFrame:
+        bounds = []
+        for total, part, k in zip(n, hits, key, strict=True):
+            shares = np.sort(np.random.default_rng([seed, k % 2**64]).binomial(total, part / total, rounds)) / total if total else None
+            bounds.append((None, None) if shares is None else (shares[int(0.025 * rounds)], shares[min(rounds - 1, int(0.975 * rounds))]))
+        return pd.DataFrame(bounds, columns=["low", "high"], dtype=float)
 
-    kinds = ", ".join(f"{c} {dict(df.dtypes)[c]}" for c in by)
-    return df.select(*by, order, outcome).groupBy(*by).applyInPandas(resample, f"{kinds}, low double, high double")
+    counts = df.groupBy(*by).agg(F.count(outcome).alias("_n"), F.count_if(outcome).alias("_hits"))
+    return counts.select(*by, interval("_n", "_hits", F.xxhash64(*by)).alias("_b")).select(*by, "_b.low", "_b.high")

@@ -401,7 +401,7 @@ def a31(spark, d):
 
 @query("a23_bootstrap_interval")
 def a23(spark, d):
-    return counting.bootstrap_share(ad.reads(spark, d).withColumn("hit", F.col("score") > 25), ["sample_id"], "read_id", "hit", rounds=100)
+    return counting.bootstrap_share(ad.reads(spark, d).withColumn("hit", F.col("score") > 25), ["sample_id"], "read_id", "hit")
 
 
 @query("f2_extraction_predicate", f"WITH {ad.READS} SELECT sample_id, count(*) FILTER (flag & 4 <> 0) AS unmapped, count(*) FILTER (flag & 4 = 0 AND score < 30) AS rescued, count(*) FILTER (flag & 4 = 0 AND score >= 30) AS left_out FROM reads WHERE flag & 2304 = 0 GROUP BY sample_id")

@@ -89,6 +89,21 @@ def test_counts_quantiles_and_conflicts(spark):
     assert one == many and one.low <= 0.75 <= one.high
 
 
+def test_bootstrap_takes_1000_rounds_of_counts(spark, monkeypatch):
+    df = spark.range(20_000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"), F.when(F.col("id") < 19_000, F.col("id") % 10 < 4).alias("hit"))
+    made = counting.bootstrap_share(df.unionByName(spark.sql("SELECT 2L AS k, 1L AS v, CAST(null AS BOOLEAN) AS hit")), ["k"], "v", "hit")
+    assert "InPandas" not in made._jdf.queryExecution().toString()
+    got = {r.k: (r.low, r.high) for r in made.collect()}
+    assert got[2] == (None, None) and got[0] != got[1]
+    for k in (0, 1):  # 9,500 measured, share 0.4: 0.4 -+ 1.96 x 0.00503
+        assert abs(got[k][0] - 0.39015) < 0.0015 and abs(got[k][1] - 0.40985) < 0.0015
+    asked = []
+    whole = counting.bootstrap_share
+    monkeypatch.setattr(counting, "bootstrap_share", lambda *a, **k: asked.append(k.get("rounds", 1000)) or whole(*a, **k))
+    registry.queries()["a23_bootstrap_interval"](spark, SF)
+    assert asked == [1000]
+
+
 def test_tree_with_a_cycle(spark):
     tree = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (8, 9), (9, 8)], "node long, parent long")
     got = {(r.node, r.ancestor): r.distance for r in hierarchy.ancestors(tree, depth=8).collect()}
