@@ -102,8 +102,18 @@ def typing_status(alleles: Column, type_: Column, loci: int = 7) -> Column:
     return cascade([(exact < loci, "insufficient_loci"), (type_.isNull(), "novel_allele_combination")], "typed")
 
 
-def retention_verdict(supporting: Column, retention: Column, low: Column, missing: Column) -> Column:
-    return cascade([(supporting < 10, "UNDERPOWERED"), (missing > 0, "INCOMPLETE"), ((retention >= 0.8) & (low >= 0.6), "SURVIVES")], "NOT_DISTINGUISHABLE")
+def retention_verdict(evaluated: Column, measured: Column, retention: Column, low: Column, drop: Column, genes: Column) -> Column:
+    """Whether a locus survives the challenge: enough reads, nearly all of them measured, most kept (with ``low``, the lower
+    bound of the interval), the tier at most one lower, and genes outside the megasynthases still covered."""
+    unmeasured = (evaluated - measured) / evaluated
+    survives = (retention >= 0.8) & (low >= 0.6) & (drop <= 1) & (genes >= 2)
+    return cascade([((evaluated < 10) | (measured < 10), "UNDERPOWERED"), (unmeasured > 0.05, "INCOMPLETE"), (survives, "SURVIVES")], "NOT_DISTINGUISHABLE")
+
+
+def tier_rank(tier: Column, tiers=TIERS) -> Column:
+    """Place of a read tier, from 0 for negative."""
+    order = [*[name for name, *_ in tiers], "localized_indeterminate", "negative"]
+    return cascade([(tier == name, place) for place, name in enumerate(reversed(order))])
 
 
 def contig_category(name: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortry.functions import scalars as fn
 from cohortry.operators import checks, counting, intervals, ranking, rules
 from cohortry.plans import adapters as ad
-from cohortry.plans.registry import query, r1
+from cohortry.plans.registry import _assigned, query, r1
 
 R = f"WITH {ad.READS}"
 
@@ -50,6 +50,37 @@ def r11(spark, d):
     return n.withColumn("verdict", rules.cascade([(F.col("supporting") < 10, "UNDERPOWERED"), (F.col("missing") > 3 * F.col("measured"), "INCOMPLETE"), (F.col("retention") >= 0.5, "SURVIVES")], "NOT_DISTINGUISHABLE"))
 
 
+#: Genes A, D, G, M, P, Q and S of the nineteen, which are not megasynthases.
+OTHER_GENES = ["g01", "g04", "g07", "g13", "g16", "g17", "g19"]
+
+
+def locus_verdicts(reads, tiers):
+    """R11 in full, from assigned reads (sample_id, gene, start, end, status) and the samples' first tiers (sample_id, tier).
+
+    Reads of status missing are not measured. The tier is taken again from the supporting reads alone, their breadth from
+    the union of their intervals; retention and the lower bound of its interval are over measured reads.
+    """
+    kept = F.col("status") == "supporting"
+    each = reads.groupBy("sample_id", "gene").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") != "missing").alias("m"), F.count_if(kept).alias("k"))
+    seen = F.col("k") > 0
+    n = each.groupBy("sample_id").agg(F.sum("n").alias("evaluated"), F.sum("m").alias("measured"), F.sum("k").alias("supporting"), F.count_if(seen).alias("genes"), F.count_if(seen & F.col("gene").isin(OTHER_GENES)).alias("other_genes"))
+    low = counting.bootstrap_share(reads.withColumn("kept", F.when(F.col("status") != "missing", kept)), ["sample_id"], "start", "kept").select("sample_id", "low")
+    breadth = intervals.union_length(reads.where(kept), ["sample_id"])
+    n = n.join(low, "sample_id").join(breadth, "sample_id", "left").join(tiers.select("sample_id", "tier"), "sample_id")
+    n = n.withColumn("retention", counting.share(F.col("supporting"), F.col("measured")))
+    n = n.withColumn("kept_tier", rules.read_tier(F.col("supporting"), F.col("genes"), F.coalesce("union_bases", F.lit(0)) / ad.ISLAND))
+    n = n.withColumn("drop", rules.tier_rank(F.col("tier")) - rules.tier_rank(F.col("kept_tier")))
+    verdict = rules.retention_verdict(F.col("evaluated"), F.col("measured"), F.col("retention"), F.col("low"), F.col("drop"), F.col("other_genes"))
+    return n.select("sample_id", "evaluated", "measured", "supporting", "retention", "low", "tier", "kept_tier", "drop", "other_genes", verdict.alias("verdict"))
+
+
+@query("r11_locus_verdict")
+def r11_locus(spark, d):
+    places = ad.reads(spark, d).select("read_id", "start", "end")
+    assigned = _assigned(spark, d).select("sample_id", "fragment_id", "read_id", "gene").join(places, "read_id")
+    return locus_verdicts(assigned.join(_statuses(spark, d), ["sample_id", "fragment_id"]), r1(spark, d))
+
+
 @query("a22_absorbers", f"{R}, b AS (SELECT fragment_id, contig, max(score) AS score FROM reads GROUP BY ALL), k AS (SELECT *, max(score) OVER (PARTITION BY fragment_id) AS tp FROM b) SELECT contig, count(*) AS absorbed, count(*) FILTER (tp - score BETWEEN 1 AND 3) AS near FROM k WHERE tp - score <= 3 GROUP BY contig")
 def a22(spark, d):
     b = ad.reads(spark, d).groupBy("fragment_id", "contig").agg(F.max("score").alias("score"))

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from cohortry.functions import scalars as fn
 from cohortry.operators import checks, counting, hierarchy, intervals, ranking, rules
-from cohortry.plans import registry
+from cohortry.plans import cohort_queries, registry
 from cohortry.sources import text_tables
 from cohortry.streaming.incremental import append_fragments
 from pyspark.sql import functions as F
@@ -104,6 +104,29 @@ def test_bootstrap_takes_1000_rounds_of_counts(spark, monkeypatch):
     assert asked == [1000]
 
 
+def test_locus_verdict_needs_every_criterion(spark):
+    genes = [f"g{i:02d}" for i in range(1, 20)]
+    reads = lambda sample, n, status, names=genes, step=400: [(sample, names[i % len(names)], i * step, i * step + 150, status) for i in range(n)]
+    mega = [g for g in genes if g not in cohort_queries.OTHER_GENES]
+    rows = reads("whole", 100, "supporting") + reads("most", 90, "supporting") + reads("most", 10, "absorbed")
+    rows += reads("seventy", 70, "supporting") + reads("seventy", 30, "unconfirmed")  # retention below 0.8
+    rows += reads("gaps", 90, "supporting") + reads("gaps", 10, "missing")  # a tenth not measured
+    rows += reads("few", 9, "supporting") + reads("unmeasured", 9, "supporting") + reads("unmeasured", 40, "missing")
+    rows += reads("wide", 10, "supporting") + reads("wide", 2, "absorbed")  # 0.83, but its interval goes below 0.6
+    rows += reads("mega", 100, "supporting", mega)  # no gene outside the megasynthases
+    rows += reads("narrow", 100, "supporting", genes[:4], 1)  # few genes, narrow: two tiers lower
+    df = spark.createDataFrame(rows, "sample_id string, gene string, start long, end long, status string")
+    tiers = df.select("sample_id").distinct().withColumn("tier", F.when(F.col("sample_id") == "wide", "multi_gene").otherwise("extensive_island"))
+    got = {r.sample_id: r for r in cohort_queries.locus_verdicts(df, tiers).collect()}
+    want = {"whole": "SURVIVES", "most": "SURVIVES", "gaps": "INCOMPLETE", "few": "UNDERPOWERED", "unmeasured": "UNDERPOWERED"}
+    assert {k: r.verdict for k, r in got.items()} == dict.fromkeys(["seventy", "wide", "mega", "narrow"], "NOT_DISTINGUISHABLE") | want
+    assert got["wide"].retention > 0.8 and got["wide"].low < 0.6 and got["wide"]["drop"] < 2 and got["wide"].other_genes > 1
+    assert got["mega"].other_genes == 0 and got["mega"]["drop"] == 0 and got["narrow"]["drop"] == 3 and got["narrow"].low == 1
+    if os.path.isdir(SF):
+        full, samples = registry.queries()["r11_locus_verdict"](spark, SF).collect(), registry.queries()["r1_evidence_tier"](spark, SF).count()
+        assert len(full) == samples and all(r.supporting <= r.measured <= r.evaluated and r["drop"] >= 0 for r in full)
+
+
 def test_tree_with_a_cycle(spark):
     tree = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (8, 9), (9, 8)], "node long, parent long")
     got = {(r.node, r.ancestor): r.distance for r in hierarchy.ancestors(tree, depth=8).collect()}
