@@ -127,6 +127,13 @@ def test_locus_verdict_needs_every_criterion(spark):
         assert len(full) == samples and all(r.supporting <= r.measured <= r.evaluated and r["drop"] >= 0 for r in full)
 
 
+def test_contig_categories_in_order(spark):
+    cases = [("chr1", "canonical"), ("22", "canonical"), ("chrY", "canonical"), ("23", "other"), ("chrM", "mitochondrial"), ("MT", "mitochondrial"), ("chr1_KI270762v1_alt", "alt"), ("HLA-A*01:01", "alt"), ("chrUn_decoy_alt", "alt")]
+    cases += [("hs37d5", "decoy"), ("chrUn_KN707606v1_decoy", "decoy"), ("chrEBV", "viral"), ("NC_007605", "viral"), ("a Virus_random", "viral"), ("chrUn_KI270302v1", "unplaced"), ("chr1_KI270706v1_random", "unplaced"), ("GL000191.1", "unplaced"), ("x", "other")]
+    df = spark.createDataFrame(cases, "name string, want string")
+    assert df.where(rules.contig_category(F.col("name")) != F.col("want")).collect() == []
+
+
 def test_tree_with_a_cycle(spark):
     tree = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (8, 9), (9, 8)], "node long, parent long")
     got = {(r.node, r.ancestor): r.distance for r in hierarchy.ancestors(tree, depth=8).collect()}
