@@ -9,8 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of a join is broadcast only after its rows were counted and are no more than this.
-BROADCAST_ROWS = 200_000
+#: A side of a join is broadcast only after it was measured to have no more rows and bytes (as JSON) than these.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where none is configured (tests)."""
+    """The folder that all executors share; a temporary one only where none is configured and all run on this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="cohortry-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -44,8 +46,10 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` was measured to have at most ``limit`` rows."""
-    return df.limit(limit + 1).count() <= limit
+    """Whether ``df`` was measured to have at most ``limit`` rows and BROADCAST_BYTES bytes."""
+    size = F.octet_length(F.to_json(F.struct("*")))
+    rows, held = df.limit(limit + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
+    return rows <= limit and (held or 0) <= BROADCAST_BYTES
 
 
 def ascii_lower(text: Column) -> Column:

@@ -12,9 +12,12 @@ GAP = r"[\x20\x09-\x0D]"
 #: The first test counts shingles whose hash is in the lowest SHARE_NUM/SHARE_DEN times (1 - threshold) of all hashes. The
 #: share is more than 1 - threshold, so that most documents without links can be told by it.
 SHARE_NUM, SHARE_DEN = 4, 3
-#: Lists of up to this many documents are compared in full; longer ones start with a star around their most typical one,
-#: and only what that leaves apart is compared in full.
+#: Lists of up to this many documents are compared in full; longer ones are described by what differs from their centre.
 STAR = 16
+#: In so many first rounds, long lists with the same least document are treated as one group: most of them are alike.
+MERGED_ROUNDS = 1
+#: Lists of documents with a common difference are compared with up to this many of them, else are groups again.
+ASKERS = 128
 #: Candidate boundaries between small and large sets.
 BOUNDARIES = (0, 4, 8, 16, 32, 64, 128, 256)
 
@@ -75,9 +78,11 @@ def jaccard_links(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     tested on a fixed share of hashes first, over all documents, then on whole sets, over those left. Of these, the order
     is by document frequency. Small sets emit each pair of elements of the longer
     prefix, large sets each element of the shorter; the boundary is the cheapest of BOUNDARIES by the emitted pairs
-    against the lengths of the lists scanned. Sets near the boundary do both.
+    against the lengths of the lists scanned. Sets near the boundary do both. Lists of more than STAR documents are never
+    compared in full: see ``long_lists``.
     """
-    tokens = tokenized(df, doc_id, text, k)
+    df = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    tokens = tokenized(df, "id", "text", k)
     base = staged(tokens.select("id", "node", "n", F.filter("shingles", lambda s: early(s, percent)).alias("first")), "base")
     members = base.select("id", "node", "n")
     classes = base.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first(F.size("first")).alias("m"))
@@ -91,17 +96,18 @@ def jaccard_links(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     kept = staged(kept.select("node", "id", "n"), "kept")
 
     ids = kept.select(F.col("id").alias("_id")).distinct()
-    wanted = df.join(F.broadcast(ids) if small(ids) else ids, F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
-    sets = staged(tokenized(wanted, doc_id, text, k).drop("n", "id").join(kept, "node").select("node", "n", "shingles"), "sets")
+    wanted = df.join(F.broadcast(ids) if small(ids) else ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+    sets = staged(tokenized(wanted, "id", "text", k).drop("n", "id").join(kept, "node").select("node", "n", "shingles"), "sets")
     if sets.groupBy("node").count().where("count > 1").limit(1).count():  # rows with equal id and text
         sets = staged(sets.dropDuplicates(["node"]), "sets")
 
     # the same over whole sets, among those left: what they share, rarest first
-    every = sets.select("node", F.explode("shingles").alias("shingle"))
+    # (nodes of which half of the digest is equal would look up each other's shingles too, which takes none from them)
+    every = sets.select(F.col("node.a").alias("doc"), F.explode("shingles").alias("shingle"))
     common = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = every.join(common, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
+    shared = every.join(common, "shingle").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
     room = prefix_size(F.col("n"), percent) + 1 - (F.col("n") - F.size("shared"))
-    heads = kept.join(shared, "node").withColumn("room", room).where("room > 1")
+    heads = kept.join(shared, F.col("node.a") == F.col("doc")).withColumn("room", room).where("room > 1")
     head = F.slice("shared", 1, F.col("room"))
     heads = staged(heads.select("node", "n", F.size("shared").alias("u"), "room", F.transform(head, lambda s: s["shingle"]).alias("head"), F.aggregate(head, F.lit(0).cast("bigint"), lambda t, s: t + F.when(s["df"] <= STAR, s["df"]).otherwise(1)).alias("scan")), "heads")
     edge = _boundary(heads, percent)
@@ -117,22 +123,78 @@ def jaccard_links(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
 
     short = rows.where(F.col("length") <= STAR).groupBy("key").agg(F.collect_list(F.struct("node", "n", "u")).alias("all"))
     crossed = short.select("all", F.explode("all").alias("x")).select("x.*", F.explode("all").alias("y")).select("node", "n", "u", F.col("y.node").alias("other"), F.col("y.n").alias("m"), F.col("y.u").alias("v"))
-    links = staged(verified(sized(crossed.where(F.col("node") < F.col("other")), percent), sets, percent), "links")
-
-    long = rows.where(F.col("length") > STAR)
-    if long.limit(1).count():
-        # a star: all of a list against the one with the fewest shingles of its own
-        hubs = long.groupBy("key").agg(F.min(F.struct((F.col("n") - F.col("u")).alias("own"), "node", "n", "u")).alias("hub"))
-        star = long.join(hubs, "key").select("node", "n", "u", F.col("hub.node").alias("other"), F.col("hub.n").alias("m"), F.col("hub.u").alias("v"))
-        links = staged(links.union(verified(sized(star, percent), sets, percent)).distinct(), "links")
-        # what is still apart: every pair of different parts of a list
-        parts = long.join(components(links, "left", "right"), "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
-        spread = parts.groupBy("key").agg(F.min("part").alias("_p"), F.max("part").alias("_q")).where(F.col("_p") != F.col("_q")).select("key")
-        apart = staged(parts.join(spread, "key"), "apart")
-        other = apart.select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("u").alias("v"), F.col("part").alias("_part"))
-        pairs = apart.join(other, "key").where(F.col("part") < F.col("_part")).select("node", "n", "u", "other", "m", "v")
-        links = staged(links.union(verified(sized(pairs, percent), sets, percent)).distinct(), "links")
-    return members, links
+    pairs = sized(crossed.where(F.col("node") < F.col("other")), percent)
+    long = rows.where(F.col("length") > STAR).select("key", "node", "n")
+    sure, more = long_lists(long, sets, percent)
+    pairs = staged(pairs.union(more).distinct(), "pairs") if more is not None else pairs
+    links = verified(pairs, sets, percent)
+    return members, staged(links.union(sure).distinct() if sure is not None else links, "links")
+
+
+def long_lists(lists: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Links within long lists (key, node, n): (sure, pairs), both left < right. ``sure`` are linked, ``pairs`` may be.
+
+    The centre of a group is the set of shingles that more than half of its documents have; d is the number of shingles in
+    which a document differs from it. With c = (1 - t) / (1 + t), two documents of n and m shingles are linked if they
+    differ from each other in c (n + m) shingles or fewer, and they differ in d + e less twice the differences that they
+    share. So, with f = d - c n:
+
+    * f(x) + f(y) <= 0: surely linked. All such pairs are connected by a star around the document with the least f.
+    * otherwise they must share at least (f(x) + f(y)) / 2 > 0 differences. One of the two, x, is outside the star, and has
+      one of these among all but the last ceil((f(x) + least f) / 2) - 1 of its differences, in any order: the rarest
+      first. These look up all differences of the others.
+
+    Lists of documents with a common difference are joined with up to ASKERS of them that look up; lists that more look up
+    are groups again. All documents of such a list agree in one more shingle, so this ends. A round takes space in
+    proportion to its lists.
+    """
+    sure = pairs = None
+    share, rounds = 2 * (100 + percent), 0
+    while lists.limit(1).count():
+        if rounds < MERGED_ROUNDS:
+            first = lists.groupBy("key").agg(F.min("node").alias("group"))
+            members = lists.join(first, "key").select("group", "node", "n").distinct()
+        else:
+            members = lists.select(F.struct(F.col("key").alias("a"), F.lit(0).cast("bigint").alias("b")).alias("group"), "node", "n").distinct()
+        rounds += 1
+        members = staged(members, "members")
+        held = members.join(sets.select("node", "shingles"), "node")
+        sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
+        counts = held.select("group", F.explode("shingles").alias("shingle")).groupBy("group", "shingle").agg(F.count(F.lit(1)).alias("having"))
+        # half of the documents have each of these: they are at most twice as many as shingles of a document
+        centres = counts.join(sizes, "group").where(2 * F.col("having") > F.col("size")).groupBy("group").agg(F.collect_list("shingle").alias("centre"))
+        centre = F.coalesce("centre", F.array().cast("array<bigint>"))
+        differ = F.concat(F.array_except("shingles", centre), F.array_except(centre, "shingles"))
+        apart = held.join(centres, "group", "left").select("group", "node", "n", differ.alias("differ"))
+        # f, times 100 + percent
+        apart = staged(apart.withColumn("f", (100 + percent) * F.size("differ") - (100 - percent) * F.col("n")), "apart")
+        ends = apart.groupBy("group").agg(F.min(F.struct("f", "node")).alias("hub"), F.max("f").alias("most"))
+        near = apart.join(ends, "group").where((F.col("f") + F.col("hub.f") <= 0) & (F.col("node") != F.col("hub.node")))
+        near = staged(near.select(F.least("node", F.col("hub.node")).alias("left"), F.greatest("node", F.col("hub.node")).alias("right")).distinct(), "sure")
+        sure = near if sure is None else sure.union(near)
+
+        each = apart.join(ends.where(F.col("most") + F.col("hub.f") > 0), "group").select("group", "node", "n", "f", F.col("hub.f").alias("low"), F.explode("differ").alias("shingle"))
+        often = each.groupBy("group", "shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+        common = each.join(often, ["group", "shingle"]).groupBy("group", "node", "n", "f", "low").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("common"))
+        # those outside the star may be linked with any, the others only with those outside
+        outside = F.col("f") + F.col("low") > 0
+        enough = F.when(outside, share * F.col("s") >= F.col("f") + F.col("low")).otherwise(share * F.col("s") > F.col("f") - F.col("low"))
+        common = common.withColumn("s", F.size("common")).where(enough)
+        probes = F.when(outside, F.col("s") - F.ceil((F.col("f") + F.col("low")) / share).cast("int") + 1).otherwise(0)
+        entries = common.withColumn("probes", probes).select("group", "node", "n", "f", "s", "probes", F.posexplode("common").alias("at", "c"))
+        entries = entries.select(F.xxhash64("group", "c.shingle").alias("key"), "node", "n", "f", "s", (F.col("at") < F.col("probes")).alias("asks"))
+        entries = staged(entries, "entries")
+        lengths = entries.groupBy("key").agg(F.count(F.lit(1)).alias("length"), F.count_if("asks").alias("asking"), F.min("f").alias("least"), F.min(F.when(F.col("asks"), F.col("f"))).alias("asker")).where("length > 1 and asking > 0")
+        entries = entries.join(lengths, "key")
+        few = entries.where(F.col("asking") <= ASKERS).select("key", "node", "f", "s", "asks")
+        other = few.where("asks").select("key", F.col("node").alias("other"), F.col("f").alias("g"), F.col("s").alias("z"))
+        met = few.join(other, (few["key"] == other["key"]) & (F.col("node") != F.col("other")) & (share * F.least("s", "z") >= F.col("f") + F.col("g")))
+        found = staged(met.select(F.least("node", "other").alias("left"), F.greatest("node", "other").alias("right")).distinct(), "met")
+        pairs = found if pairs is None else pairs.union(found)
+        # those that could be linked with the most typical document of the list that asks, or if they ask, of all
+        able = share * F.col("s") >= F.col("f") + F.when(F.col("asks"), F.col("least")).otherwise(F.col("asker"))
+        lists = staged(entries.where((F.col("asking") > ASKERS) & able).select("key", "node", "n"), "lists")
+    return sure, pairs
 
 
 def _boundary(heads: DataFrame, percent: int) -> int:
@@ -175,10 +237,11 @@ def one_of_each(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", k:
     marks = parts.join(kept, "component").withColumn("stays", (F.col("kept.node") == F.col("node")) & F.col("kept.id").eqNullSafe(F.col("id")))
     marks = staged(marks.where(~F.col("stays") | (F.col("rows") > 1)).select(F.col("id").alias("_id"), F.col("node").alias("_mark"), "stays"), "marks")
     words = words_of(ascii_lower(F.col(text)), GAP)
-    held = df.withColumn("_words", words).withColumn("_node", F.struct(F.xxhash64(F.lit(1), "_words").alias("a"), F.xxhash64(F.lit(2), "_words").alias("b"))).drop("_words")
-    met = held.join(F.broadcast(marks) if small(marks) else marks, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("_mark")), "left")
-    alone = met.where(F.col("stays").isNull()).select(df.columns)
-    return alone.unionByName(met.where("stays").dropDuplicates([doc_id, "_node"]).select(df.columns))
+    held = df.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), words.alias("words"))
+    held = held.select("row", "id", F.struct(F.xxhash64(F.lit(1), "words").alias("a"), F.xxhash64(F.lit(2), "words").alias("b")).alias("node"))
+    met = held.join(F.broadcast(marks) if small(marks) else marks, F.col("id").eqNullSafe(F.col("_id")) & (F.col("node") == F.col("_mark")), "left")
+    alone = met.where(F.col("stays").isNull()).select("row")
+    return alone.unionByName(met.where("stays").dropDuplicates(["id", "node"]).select("row")).select("row.*")
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

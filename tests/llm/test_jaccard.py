@@ -54,6 +54,54 @@ def test_components_equal_brute_force(spark, monkeypatch, seed, star):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute(rows)
 
 
+def hot_corpus(seed, many):
+    """One group of edited copies, two templates with bodies in common, and a head line before other text."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base, heads = [word() for _ in range(70)], [[word() for _ in range(60)] for _ in range(2)]
+    bodies = [[word() for _ in range(rng.randrange(3, 12))] for _ in range(many // 6)]
+    texts = []
+    for _ in range(many):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 4])):
+            at = rng.randrange(len(copy))
+            copy[at : at + 1] = rng.choice([[], [word()], ["v1"], [copy[at], "v2"]])
+        texts.append(" ".join(copy))
+    for i in range(many):
+        texts.append(" ".join(heads[i % 2] + bodies[rng.randrange(len(bodies))] + [word()] * (i % 3 == 0)))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("seed,merged", [(3, 1), (4, 0)])
+def test_hot_groups_equal_brute_force(spark, monkeypatch, seed, merged):
+    monkeypatch.setattr(jaccard_join, "STAR", 6)
+    monkeypatch.setattr(jaccard_join, "ASKERS", 5)
+    monkeypatch.setattr(jaccard_join, "MERGED_ROUNDS", merged)
+    rows = hot_corpus(seed, 150)
+    got = jaccard_join.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute(rows)
+
+
+def test_pairs_of_a_hot_group_stay_linear(spark):
+    """Documents of which each pair is close to a link: no pair but the linked ones is compared."""
+    rng = random.Random(9)
+    base, n = [f"w{i}" for i in range(100)], 300
+    cut = [[w if i not in gone else f"v{k}-{i}" for i, w in enumerate(base)] for k in range(n) for gone in [set(rng.sample(range(100), 2))]]
+    sets = spark.createDataFrame([((k, 0), [hash(tuple(w[i : i + 4])) for i in range(97)]) for k, w in enumerate(cut)], "node struct<a: long, b: long>, shingles array<long>")
+    lists = sets.select(F.lit(1).cast("bigint").alias("key"), "node", F.size("shingles").alias("n"))
+    _, pairs = jaccard_join.long_lists(lists, sets, 85)
+    assert pairs.count() < 10 * n
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    names = ["doc_id", "text", "stays", "_id", "_mark", "_words", "_node", "node", "id", "row", "words"]
+    df = spark.createDataFrame([(i, "a b c d e" if i < 3 else f"x{i} y z q") + ("p",) * 9 for i in range(5)], names)
+    kept = jaccard_join.one_of_each(df)
+    assert kept.columns == names and sorted(r.doc_id for r in kept.collect()) == [0, 3, 4] and all(r[2:] == ("p",) * 9 for r in kept.collect())
+    assert jaccard_join.one_of_each(df.where("doc_id < 0")).count() == 0 and jaccard_join.jaccard_groups(df.where("doc_id < 0")).count() == 0
+
+
 def test_one_of_each_group_stays(spark):
     rows = [(1, "a b c d e"), (2, "a b c d e"), (3, "x y z q"), (3, "x y z q"), (4, None), (5, ""), (None, "p q r s"), (None, "p q r s")]
     kept = jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
