@@ -12,12 +12,13 @@ from pyspark.sql.functions import arrow_udf
 
 from cohortry.llm.common import small, staged, table
 
-#: A sentence ends at a closing mark before white space, at a line feed, or before a word with a capital. The last keeps
-#: a passage's first sentence apart from what it was put behind.
-BOUNDARY = regex.compile(r"(?<=[.!?…])\s+|\s*\n\s*|\s+(?=\p{Lu})")
-#: A run has the fewest consecutive sentences that hold this many words, from each sentence on and up to each sentence.
-#: Every shared passage of so many words that starts and ends with sentences is then covered wholly by shared runs.
-RUN_WORDS = 30
+#: A sentence ends at a closing mark, with the quotes and brackets that follow it, before white space, or at a line feed.
+BOUNDARY = regex.compile(r"""(?<=[.!?…。！？]["'”’»)\]]*+)\s+|\s*\n\s*|(?<=[。！？])""")
+#: A run has the fewest consecutive sentences, RUN_SENTENCES at least, that hold RUN_WORDS words: from each sentence on and
+#: up to each sentence. Every shared passage of whole sentences that has so many of both is covered wholly by shared runs.
+RUN_SENTENCES, RUN_WORDS = 2, 20
+#: Parts that the rows of one run are dealt to when they are joined.
+SALTS = 8
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -32,27 +33,28 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return found
 
 
-def runs_of(text: str, run_words: int) -> list[tuple[int, int, int, int]]:
-    """Each run once: two halves of the 128-bit hash of its words, and its start and end in code points."""
+def runs_of(text: str, run_words: int, least: int = RUN_SENTENCES) -> list[tuple[int, int, int, int]]:
+    """Each run once: two halves of the 128-bit hash of its words, and its start and end in code points. At most two runs
+    for each sentence of the text are held."""
     places = sentences(text)
     plain = [" ".join(text[a:b].split()) for a, b in places]
     sizes = [s.count(" ") + 1 for s in plain]
     n, found = len(places), set()
     end = total = 0
     for start in range(n):
-        while end < n and total < run_words:
+        while end < n and (total < run_words or end - start < least):
             total += sizes[end]
             end += 1
-        if total < run_words:
+        if total < run_words or end - start < least:
             break
         found.add((start, end))
         total -= sizes[start]
     start, total = n, 0
     for end in range(n, 0, -1):
-        while start > 0 and total < run_words:
+        while start > 0 and (total < run_words or end - start < least):
             start -= 1
             total += sizes[start]
-        if total < run_words:
+        if total < run_words or end - start < least:
             break
         found.add((start, end))
         total -= sizes[end - 1]
@@ -67,8 +69,10 @@ def repeated_spans(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     """doc_id, digest (of the text) and spans (sorted start, end) of the runs that stood earlier, by id, then place.
 
     Rows of the same id and text count as one document. The first pass counts runs by half of the hash, the second keeps
-    the rows of repeated ones; only these are grouped by the whole hash.
+    the rows of repeated ones; only these are grouped by the whole hash. Both joins deal the rows of a run to SALTS parts.
     """
+    salt = F.pmod(F.xxhash64("digest", "start"), F.lit(SALTS)).cast("int").alias("salt")
+    salted = lambda few: few.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
 
     @arrow_udf("array<struct<h:bigint,k:bigint,start:int,end:int>>")
     def runs(texts: pa.Array) -> pa.Array:
@@ -86,10 +90,10 @@ def repeated_spans(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     made = df.where(F.length(text) > 0).select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("digest"), F.explode(runs(F.col(text))).alias("r"))
     made = staged(made.select("doc_id", "digest", "r.*"), "runs")
     often = made.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    again = staged(made.join(often, "h"), "again")
+    again = staged(made.withColumn("salt", salt).join(salted(often), ["h", "salt"]).drop("salt"), "again")
     place = F.struct("doc_id", "digest", "start", "end")
     first = again.groupBy("h", "k").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last"))).select("h", "k", "first")
-    later = again.join(first, ["h", "k"]).where(~place.eqNullSafe(F.col("first")))
+    later = again.withColumn("salt", salt).join(salted(first), ["h", "k", "salt"]).where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 
@@ -118,17 +122,19 @@ def span_dedup(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", run
     """``df`` with the repeated sentences taken out of ``text``, and ``removed``, an array of start and end in code points
     of what was taken out.
 
-    A sentence goes if it is in a run of at least ``run_words`` words that stood earlier: in a document of a lesser id, or
+    A sentence goes if it is in a run of RUN_SENTENCES sentences and ``run_words`` words at least that stood earlier: in a document of a lesser id, or
     earlier in its own. Runs are equal if their words are. Shorter texts have no runs. Null texts stay null, with nothing
     removed; null ids come before all others. Rows of the same id and text are treated alike. Other columns stay; one
     named ``removed`` is replaced. An empty table gives an empty one.
     """
     spans = staged(repeated_spans(df, text=text, doc_id=doc_id, run_words=run_words).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), merged("spans").alias("removed")), "spans")
     spans = F.broadcast(spans) if small(spans) else spans
-    met = df.drop("removed").join(spans, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_digest")), "left").drop("_id", "_digest")
+    held = df.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("whole"))
+    met = held.join(spans, F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("whole") == F.col("_digest")), "left")
     none = F.array().cast("array<struct<start:int,end:int>>")
-    met = met.withColumn("removed", F.coalesce("removed", none))
-    return met.withColumn(text, F.when(F.size("removed") > 0, without(F.col(text), F.col("removed"))).otherwise(F.col(text)))
+    met = met.select("row", "whole", F.coalesce("removed", none).alias("removed"))
+    less = F.when(F.size("removed") > 0, without(F.col("whole"), F.col("removed"))).otherwise(F.col("whole"))
+    return met.select(*[less.alias(c) if c == text else F.col("row")[c].alias(c) for c in df.columns if c != "removed"], "removed")
 
 
 def op10_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
