@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections import ChainMap
 from functools import lru_cache
 
 import regex
@@ -12,8 +13,10 @@ from pyspark.sql import SparkSession
 #: The split pattern of the byte-level pre-tokenizer.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words, pairs and counts that a worker remembers; more make it start over.
-REMEMBERED = 500_000
-#: Words longer than this many bytes are encoded on their own and not remembered.
+REMEMBERED = 400_000
+#: The same for the bytes of remembered words and their codes.
+REMEMBERED_BYTES = 48 << 20
+#: Words longer than this many characters are encoded on their own and not remembered.
 LONG_WORD = 256
 
 
@@ -161,6 +164,7 @@ class TrieCodec:
         self.packed = {i: i.to_bytes(4, "little") for i in vocab.tokens}
         self.words: dict[str, bytes] = {}
         self.decoded: dict[bytes, bytes] = {}
+        self.held = 0  # bytes of words, codes and decoded pieces
         self.pairs: dict[int, bool] = {}
 
     def compatible(self, left: int, token: int) -> bool:
@@ -168,7 +172,7 @@ class TrieCodec:
         key = left << 24 | token if left >= 0 else -1 - token
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 2 * REMEMBERED:
+            if len(self.pairs) >= REMEMBERED:
                 self.pairs.clear()
             tokens = self.vocab.tokens
             want = [token] if left < 0 else [left, token]
@@ -205,6 +209,7 @@ class TrieCodec:
             for key, child in node.items():
                 if key == -1:
                     self.words[child] = codes[depth]
+                    self.held += 4 * len(child) + 2 * len(codes[depth])
                 else:
                     stack.append((key, child, depth + 1))
 
@@ -220,12 +225,13 @@ class TrieCodec:
             at = starts[at]
         return b"".join(reversed(found))
 
-    def learn(self, texts: list[str]) -> list[list[str]]:
-        """Split texts into words and make sure that all their encodings are known. Special strings stand between words
-        at their place, marked by a leading NUL pair."""
-        if len(self.words) >= REMEMBERED:
+    def learn(self, texts: list[str]) -> tuple[list[list[str]], dict[str, bytes]]:
+        """Split texts into words and make sure that all their encodings are known: those of long words in the second
+        result, the others in ``words``. Special strings stand between words at their place, marked by a leading NUL pair."""
+        if len(self.words) >= REMEMBERED or self.held >= REMEMBERED_BYTES:
             self.words.clear()
             self.decoded.clear()
+            self.held = 0
         split_texts, fresh = [], set()
         for text in texts:
             words: list[str] = []
@@ -240,14 +246,13 @@ class TrieCodec:
             split_texts.append(words)
         fresh -= self.words.keys()
         self.walk([w for w in fresh if len(w) <= LONG_WORD])
-        for word in fresh:
-            if len(word) > LONG_WORD:
-                self.words[word] = self.single(word)
-        return split_texts
+        return split_texts, {w: self.single(w) for w in fresh if len(w) > LONG_WORD}
 
     def encode(self, texts: list[str]) -> list[list[bytes]]:
         """For each text the packed ids of its words."""
-        return [list(map(self.words.__getitem__, words)) for words in self.learn(texts)]
+        split_texts, long = self.learn(texts)
+        known = self.words if not long else ChainMap(long, self.words)
+        return [list(map(known.__getitem__, words)) for words in split_texts]
 
     def decode(self, runs: list[bytes]) -> str:
         """The text of packed runs of ids."""
@@ -256,7 +261,10 @@ class TrieCodec:
             piece = known.get(run)
             if piece is None:
                 tokens = self.vocab.tokens
-                piece = known[run] = b"".join(tokens[int.from_bytes(run[i : i + 4], "little")] for i in range(0, len(run), 4))
+                piece = b"".join(tokens[int.from_bytes(run[i : i + 4], "little")] for i in range(0, len(run), 4))
+                if len(run) <= 4 * LONG_WORD:
+                    known[run] = piece
+                    self.held += len(run) + len(piece)
             pieces.append(piece)
         return b"".join(pieces).decode("utf-8", "replace")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
@@ -14,7 +14,7 @@ from cohortry.llm.bpe import shipped, worker_codec
 from cohortry.llm.common import table
 
 #: Characters of text whose distinct words share one trie; bounds a worker's memory.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 
 
 def encode(df: DataFrame, vocab_path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -31,18 +31,20 @@ def encode(df: DataFrame, vocab_path: str, text: str = "text", ids: str = "ids",
     def codec(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         trie = worker_codec(raw.value)
         for batch in batches:
-            codes, texts = [], []
-            for chunk in chunks([t.as_py() for t in batch]):
+            for chunk in chunks(t.as_py() for t in batch):
+                codes, texts = [], []
                 for runs in trie.encode(chunk):
                     codes.append(b"".join(runs))
                     texts.append(trie.decode(runs))
-            yield pa.StructArray.from_arrays([pa.array(codes, pa.binary()), pa.array(texts, pa.string())], ["ids", "decoded"])
+                yield pa.StructArray.from_arrays([pa.array(codes, pa.binary()), pa.array(texts, pa.string())], ["ids", "decoded"])
 
-    held = df.withColumn("_codec", codec(F.coalesce(F.col(text), F.lit(""))))
-    return held.withColumns({ids: F.col("_codec.ids"), decoded: F.col("_codec.decoded")}).drop("_codec")
+    columns = [df[c] for c in df.columns if c not in (ids, decoded)]
+    held = df.select(F.struct(*columns).alias("row"), codec(F.coalesce(df[text], F.lit(""))).alias("codec"))
+    return held.select("row.*", F.col("codec.ids").alias(ids), F.col("codec.decoded").alias(decoded))
 
 
-def chunks(texts: list[str]) -> Iterator[list[str]]:
+def chunks(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Lists of texts of CHUNK_CHARS characters, or one longer text."""
     chunk, size = [], 0
     for text in texts:
         chunk.append(text)
