@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import ascii_lower, small, table, words_of
+from cohortry.llm.common import ascii_lower, small, staged, table, words_of
 
 #: What stands between words once A-Z are lower-cased: ASCII other than digits and letters.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -16,8 +16,9 @@ GRAM = 5
 #: The low bits of a fingerprint are the position of its gram, the high bits its hash. 2 GB of text have fewer words.
 PLACE_BITS = 30
 PLACE = (1 << PLACE_BITS) - 1
-#: The fingerprint that every document has besides its own: it keeps documents without hits in the result.
-ALWAYS = -1
+#: The kind of a fingerprint that every document has besides its own: it keeps documents without hits in the result. It
+#: has a place that no gram has, and one of KEEPERS hashes by document, so that a shuffle deals them out.
+ALWAYS, KEEPERS = -1, 256
 
 
 def grams(words: Column, k: int, tag: int) -> Column:
@@ -64,7 +65,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, *, text: str = "te
     The benchmark side is broadcast if its windows were counted to be few, else both joins shuffle and the words of the
     documents hit are fetched again.
     """
-    windows = item_windows(benchmark, item_text, item_id, window).cache()
+    windows = staged(item_windows(benchmark, item_text, item_id, window), "windows")
     few = small(windows)
     short = sorted(r.n for r in windows.where(F.col("n") < window).select("n").distinct().collect())
     own = fingerprinted(windows.where(F.col("n") == window).select("words"), [], window, gram)
@@ -79,12 +80,13 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, *, text: str = "te
     docs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
     docs = docs.select("doc_id", F.xxhash64("_text").alias("digest"), words_of(ascii_lower(F.col("_text")), GAP).alias("words"))
     prints = fingerprinted(docs, short, window, gram).withColumn("n_words", F.size("words"))
-    each = lambda *kept: prints.select("doc_id", "digest", "n_words", *kept, F.explode(F.concat("prints", F.array(F.lit(ALWAYS).cast("bigint")))).alias("print"))
+    keeper = F.shiftleft(F.pmod(F.xxhash64("doc_id", "digest"), F.lit(KEEPERS)), PLACE_BITS).bitwiseOR(F.lit(PLACE))
+    each = lambda *kept: prints.select("doc_id", "digest", "n_words", *kept, F.explode(F.concat("prints", F.array(keeper))).alias("print"))
     head = F.col("print").bitwiseAND(F.lit(~PLACE))
     place = F.col("print").bitwiseAND(F.lit(PLACE)).cast("int").alias("place")
-    every = heads.select("head", "kind").union(heads.sparkSession.range(1).select(F.lit(~PLACE).cast("bigint"), F.lit(ALWAYS)))
+    every = heads.select("head", "kind").union(heads.sparkSession.range(KEEPERS).select(F.shiftleft("id", PLACE_BITS), F.lit(ALWAYS)))
     every = F.broadcast(every) if few else every
-    is_always = (F.col("print") == ALWAYS) == (F.col("kind") == ALWAYS)
+    is_always = (F.col("print").bitwiseAND(F.lit(PLACE)) == PLACE) == (F.col("kind") == ALWAYS)
     if few:
         found = each("words").join(every, head == F.col("head")).where(is_always)
         found = found.select("doc_id", "digest", "n_words", "kind", place, F.when(F.col("kind") != ALWAYS, F.col("words")).alias("words"))
