@@ -138,8 +138,10 @@ def identify(df: DataFrame, model: Model, *, text: str = "text", out: str = "lan
             names, scores = known.predict([t.as_py() for t in batch])
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["name", "score"])
 
-    held = df.withColumns({"_known": F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)), "_p": predicted(F.coalesce(F.col(text), F.lit("")))})
-    return held.withColumns({out: F.when(F.col("_known"), F.col("_p.name")).otherwise(UNKNOWN), score: F.when(F.col("_known"), F.col("_p.score")).otherwise(0.0)}).drop("_known", "_p")
+    columns = [df[c] for c in df.columns if c not in (out, score)]
+    known = F.coalesce(df[text].rlike(r"\p{L}"), F.lit(False)).alias("known")
+    held = df.select(F.struct(*columns).alias("row"), known, predicted(F.coalesce(df[text], F.lit(""))).alias("p"))
+    return held.select("row.*", F.when(F.col("known"), F.col("p.name")).otherwise(UNKNOWN).alias(out), F.when(F.col("known"), F.col("p.score")).otherwise(0.0).alias(score))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,11 +26,13 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
 
     Null counts as the empty text: all counts are 0 and base_failed is true. Columns of these names are replaced.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
+    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *FEATURES[:-1]]
+    held = df.select(F.struct(*[df[c] for c in df.columns if c not in made]).alias("row"), F.coalesce(df[text], F.lit("")).alias("_text"))
+    t = F.col("_text")
     no_space = F.translate(t, " \t\n\x0b\f\r", "")
     count = lambda chars: F.length(t) - F.length(F.translate(t, chars, ""))
     lines = F.filter(F.split(t, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    out = df.withColumns({
+    out = held.withColumns({
         "_words": words_of(t, GAP), "_lines": lines, "word_chars": F.length(no_space).cast("long"), "n_symbols": count("#*$%&|<>").cast("long"),
         "_upper": count("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "_digits": count("0123456789"),
     })
@@ -56,7 +58,7 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
         "repeat_share": share("n_repeat_words", "n_words"), "stutter_share": share("_stutter", "n_words"), "dup_line_share": share("n_dup_lines", "_n_lines"),
         "word_length": share("word_chars", "n_words"),
     })
-    return out.drop("_words", "_lines", "_upper", "_digits", "_runs", "_sorted", "_stutter", "_n_lines")
+    return out.select("row.*", *made)
 
 
 @dataclass

