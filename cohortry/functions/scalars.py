@@ -82,3 +82,86 @@ def identity_of_matched(matched: Column, nm: Column) -> Column:
 def sequence_digest(names: Column, lengths: Column) -> Column:
     """md5 of name:length in order."""
     return F.md5(F.array_join(F.zip_with(names, lengths, lambda n, size: F.concat_ws(":", n, size.cast("string"))), "\n"))
+
+
+#: Length of the first chromosome in the builds of the human genome.
+FIRST_CHROMOSOME = {248956422: "GRCh38", 249250621: "GRCh37", 248387328: "T2T-CHM13"}
+
+
+def build_guess(length: Column) -> Column:
+    out = F.lit("unknown")
+    for size, name in FIRST_CHROMOSOME.items():
+        out = F.when(length == size, name).otherwise(out)
+    return F.when(length.isNull(), "no_chr1").otherwise(out)
+
+
+def sequence_fingerprint(rows: Column) -> Column:
+    """md5 of name:length in the order of the header; ``rows``: array of struct(ordinal, name, length)."""
+    return F.md5(F.array_join(F.transform(F.array_sort(rows), lambda r: F.concat(r["name"], F.lit(":"), r["length"].cast("string"))), "\n"))
+
+
+def digest_fingerprint(digests: Column) -> Column:
+    """md5 of the sorted distinct digests of all sequences; null unless all have one. ``digests``: array with nulls."""
+    blank = F.exists(digests, lambda d: F.coalesce(d, F.lit("")) == "")
+    return F.when(~blank, F.md5(F.array_join(F.array_sort(F.array_distinct(digests)), "\n")))
+
+
+def matched_identity(matched: Column, nm: Column) -> Column:
+    return F.try_divide((matched - nm).cast("double"), matched.cast("double"))
+
+
+def column_divergence(nm: Column, columns: Column) -> Column:
+    return F.try_divide(nm.cast("double"), columns.cast("double"))
+
+
+def block_identity(matches: Column, block: Column) -> Column:
+    return F.try_divide(matches.cast("double"), block.cast("double"))
+
+
+def header_gene(header: Column) -> Column:
+    """The first token between pipes that names a gene, else unknown."""
+    return F.coalesce(F.get(F.filter(F.split(header, r"\|"), lambda t: t.rlike("^clb[A-Za-z]$")), F.lit(0)), F.lit("unknown"))
+
+
+def sample_of_file(path: Column, suffix: str) -> Column:
+    """The file's name without one given suffix at its end."""
+    return F.regexp_replace(F.regexp_extract(path, "[^/]+$", 0), "\\Q" + suffix + "\\E$", "")
+
+
+def segment_of(flag: Column) -> Column:
+    """1 or 2 by the segment bits; 0 if both or neither is set."""
+    first, last = flag.bitwiseAND(64) != 0, flag.bitwiseAND(128) != 0
+    return F.when(first & ~last, 1).when(last & ~first, 2).otherwise(0)
+
+
+def allele_of(field: Column) -> Column:
+    """The allele of a field written as locus(allele)."""
+    return F.regexp_extract(field, r"^[^(]*\((.*)\)$", 1)
+
+
+def header_fields(header: Column) -> Column:
+    """k=v pairs between the pipes of a sequence header as a map."""
+    pairs = F.filter(F.split(F.regexp_replace(header, r"^\S+\s*", ""), r"\|"), lambda p: p.contains("="))
+    return F.map_from_entries(F.transform(pairs, lambda p: F.struct(F.substring_index(p, "=", 1), F.regexp_replace(p, "^[^=]*=", ""))))
+
+
+#: Words that make an annotated gene an integrase or a transposase, and those of the narrower community rule.
+INTEGRASE, TRANSPOSASE = ("integrase", "recombinase", "resolvase"), ("transposase", "insertion element", "is element")
+MOBILITY = ("integrase", "site-specific recombinase", "phage recombinase")
+
+
+def has_word(words: tuple[str, ...], *columns: Column) -> Column:
+    text = F.lower(F.concat_ws(" ", *columns))
+    found = F.lit(False)
+    for word in words:
+        found = found | text.contains(word)
+    return found
+
+
+def bwa_evidence(programs: Column) -> Column:
+    """yes, no_cl, not_mem or no by an array of struct(pn, cl) of a header's program lines."""
+    mem = r"(^|\s)['\"]?([^\s]*/)?bwa(-mem2)?['\"]?\s+mem(\s|$)"
+    is_mem = lambda p: F.coalesce(p["cl"].rlike(mem), F.lit(False))
+    is_bwa = lambda p: F.lower(p["pn"]).isin("bwa", "bwa-mem2")
+    silent = lambda p: is_bwa(p) & (F.coalesce(p["cl"], F.lit("")) == "")
+    return F.when(F.exists(programs, is_mem), "yes").when(F.exists(programs, silent), "no_cl").when(F.exists(programs, is_bwa), "not_mem").otherwise("no")

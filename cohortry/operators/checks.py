@@ -22,9 +22,41 @@ def unknown(df: DataFrame, column: str, allowed: list) -> DataFrame:
     return df.where(~F.col(column).isin(allowed)).groupBy(F.col(column).alias("label")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def missing(df: DataFrame, key: list[str], column: str, dimension: DataFrame) -> DataFrame:
-    """Labels of the dimension that a group lacks."""
-    return df.select(*key).distinct().join(F.broadcast(dimension.select(column))).join(df.select(*key, column), [*key, column], "left_anti")
+def missing(df: DataFrame, key: list[str], column: str, dimension: DataFrame, most: int = 10_000) -> DataFrame:
+    """Labels of the dimension that a group lacks. The dimension has ``most`` labels at most, else this raises."""
+    rows = dimension.select(column).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} labels of {column}")
+    kind = dimension.schema[column].dataType.simpleString()
+    labels = F.array(*[F.lit(r[0]) for r in rows]).cast(f"array<{kind}>")
+    held = df.groupBy(*key).agg(F.collect_set(F.when(F.array_contains(labels, F.col(column)), F.col(column))).alias("_held"))
+    return held.select(*key, F.explode(F.array_except(labels, "_held")).alias(column))
+
+
+def parts_over_total(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Rows where a count exceeds the one that bounds it, with the name of the pair; nulls are skipped."""
+    broken = F.filter(F.array(*[F.when(F.col(a) > F.col(b), f"{a}>{b}") for a, b in pairs]), lambda x: x.isNotNull())
+    return df.withColumn("broken", F.explode(broken))
+
+
+def not_ordered(df: DataFrame, chain: list[str]) -> DataFrame:
+    """Rows whose values of a chain, such as quantiles, fall; nulls are skipped."""
+    known = F.filter(F.array(*[F.col(c).cast("double") for c in chain]), lambda x: x.isNotNull())
+    return df.where(F.array_sort(known) != known)
+
+
+def not_conserved(before: DataFrame, after: DataFrame, key: list[str]) -> DataFrame:
+    """Groups whose number of rows changed between two steps: a group that one side lacks has 0 there."""
+    one, two = (x.groupBy(*key).agg(F.count(F.lit(1)).alias(n)) for x, n in ((before, "before"), (after, "after")))
+    both = one.join(two, key, "full").na.fill(0, ["before", "after"])
+    return both.where("before <> after")
+
+
+def too_many_duplicates(df: DataFrame, by: list[str], name: str, tolerance: float = 0.001) -> DataFrame:
+    """Groups in which more than ``tolerance`` of the rows repeat a name; names are counted before groups meet."""
+    each = df.groupBy(*by, name).agg(F.count(F.lit(1)).alias("_n"))
+    found = each.groupBy(*by).agg(F.sum("_n").cast("long").alias("rows"), F.sum(F.col("_n") - 1).cast("long").alias("repeats"))
+    return found.where(F.col("repeats") > tolerance * F.col("rows"))
 
 
 def not_falling(df: DataFrame, chain: list[str]) -> DataFrame:

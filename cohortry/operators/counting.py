@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -47,11 +47,17 @@ def five_numbers(df: DataFrame, by: list[str], value: str) -> DataFrame:
 
 def nearest_rank(df: DataFrame, by: list[str], value: str, q: float) -> DataFrame:
     """The value at place floor(q (n - 1)) of the sorted values: a truncating quantile, exact and without interpolation."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*by)
-    placed = df.where(F.col(value).isNotNull()).withColumns({"_i": F.row_number().over(w.orderBy(value)) - 1, "_n": F.count(F.lit(1)).over(w)})
-    return placed.where(F.col("_i") == F.floor(F.lit(q) * (F.col("_n") - 1))).select(*by, F.col(value).alias("quantile"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))  # equal values as one row
+    placed = counts.withColumns({"_upto": F.sum("_c").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)), "_n": F.sum("_c").over(w)})
+    at = F.floor(F.lit(q) * (F.col("_n") - 1))
+    return placed.where((F.col("_upto") > at) & (F.col("_upto") - F.col("_c") <= at)).select(*by, F.col(value).alias("quantile"))
+
+
+def summary_numbers(df: DataFrame, by: list[str], value: str, q: float) -> DataFrame:
+    """Least, mean, interpolated median, truncating quantile and greatest value of each group; nulls do not count."""
+    plain = df.groupBy(*by).agg(F.min(value).alias("low"), F.avg(value).alias("mean"), F.percentile(value, F.lit(0.5)).alias("median"), F.max(value).alias("high"))
+    return plain.join(nearest_rank(df, by, value, q), by)
 
 
 def share(part: Column, whole: Column) -> Column:

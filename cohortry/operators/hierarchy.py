@@ -5,20 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortry.staging import staged
 
-def ancestors(tree: DataFrame, node: str = "node", parent: str = "parent", depth: int = 64) -> DataFrame:
-    """node, ancestor, distance for each ancestor, the node itself at 0. Roots point at themselves or at null; a cycle ends
-    after ``depth`` steps at most. Paths double in length with each join, so depth d takes log2(d) joins."""
+
+def ancestors(tree: DataFrame, node: str = "node", parent: str = "parent") -> DataFrame:
+    """node, ancestor, distance for each ancestor, the node itself at 0. Roots point at themselves or at null.
+
+    Each round doubles the length of the known paths, is staged, and is the last one if it found no new pair; so depth d
+    takes log2(d) + 1 rounds, whatever d is. On a cycle each node is an ancestor of the others and not of itself.
+    """
     step = tree.select(F.col(node).alias("node"), F.when(F.col(node) != F.col(parent), F.col(parent)).alias("ancestor")).where("ancestor is not null")
-    closure = step.withColumn("distance", F.lit(1))
-    reach = 1
-    while reach < depth:
+    closure = staged(step.distinct().withColumn("distance", F.lit(1)), "closure")
+    known = closure.count()
+    while True:
         far = closure.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("_a"), F.col("distance").alias("_d"))
-        longer = closure.join(far, "ancestor").select("node", F.col("_a").alias("ancestor"), (F.col("distance") + F.col("_d")).alias("distance"))
-        closure = closure.union(longer).groupBy("node", "ancestor").agg(F.min("distance").alias("distance"))
-        reach *= 2
-    own = tree.select(F.col(node).alias("node"), F.col(node).alias("ancestor"), F.lit(0).alias("distance"))
-    return own.union(closure.where((F.col("distance") <= depth) & (F.col("node") != F.col("ancestor"))))
+        longer = closure.join(far, "ancestor").select("node", F.col("_a").alias("ancestor"), (F.col("distance") + F.col("_d")).alias("distance")).where("node <> ancestor")
+        closure = staged(closure.union(longer).groupBy("node", "ancestor").agg(F.min("distance").alias("distance")), "closure")
+        found = closure.count()
+        if found == known:
+            break
+        known = found
+    own = tree.select(F.col(node).alias("node"), F.col(node).alias("ancestor"), F.lit(0).alias("distance")).distinct()
+    return own.union(closure)
 
 
 def rank_ancestor(closure: DataFrame, ranks: DataFrame, rank: str) -> DataFrame:

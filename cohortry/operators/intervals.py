@@ -10,15 +10,17 @@ def overlap_bases(s1, e1, s2, e2) -> Column:
     return F.greatest(F.least(e1, e2) - F.greatest(s1, s2), F.lit(0))
 
 
-def overlap_join(left: DataFrame, right: DataFrame, on: list[str], *, start: str = "start", end: str = "end", right_start: str = "r_start", right_end: str = "r_end", width: int = 2_000, how: str = "inner") -> DataFrame:
+def overlap_join(left: DataFrame, right: DataFrame, on: list[str], *, start: str = "start", end: str = "end", right_start: str = "r_start", right_end: str = "r_end", width: int = 2_000, how: str = "inner", small_right: bool = False) -> DataFrame:
     """Pairs with equal ``on`` that share a base.
 
     Both sides are dealt into bins of ``width`` and joined on equality of ``on`` and bin, so that neither side is compared
-    whole; a pair counts in the bin of the later start. ``how`` may be inner or left_semi.
+    whole; a pair counts in the bin of the later start. ``how`` may be inner or left_semi. ``small_right``
+    says that the right side is a fixed table of few rows, which is then broadcast.
     """
     bins = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / width).cast("long"), F.floor((F.col(e) - 1) / width).cast("long")))
     a = left.where(F.col(end) > F.col(start)).withColumn("_bin", bins(start, end))
     b = right.where(F.col(right_end) > F.col(right_start)).withColumn("_bin", bins(right_start, right_end))
+    b = F.broadcast(b) if small_right else b
     meet = (F.col(start) < F.col(right_end)) & (F.col(end) > F.col(right_start))
     if how == "left_semi":
         keys = [a[c] == b[c] for c in [*on, "_bin"]]
@@ -31,7 +33,12 @@ def overlap_join(left: DataFrame, right: DataFrame, on: list[str], *, start: str
 
 
 def union_length(df: DataFrame, by: list[str], start: str = "start", end: str = "end", out: str = "union_bases") -> DataFrame:
-    """Bases covered by at least one interval of a group: each adds what lies beyond the furthest end before it."""
+    """Bases covered by at least one interval of a group: each adds what lies beyond the furthest end before it.
+
+    Intervals of equal start count as the longest of them, before rows are sorted: a group's window holds no more rows than
+    its reference has positions, however many reads lie there.
+    """
+    df = df.groupBy(*by, start).agg(F.max(end).alias(end))
     w = Window.partitionBy(*by).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
     furthest = F.coalesce(F.max(end).over(w), F.col(start))
     fresh = df.withColumn("_new", F.greatest(F.col(end) - F.greatest(F.col(start), furthest), F.lit(0)))

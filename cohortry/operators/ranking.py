@@ -6,13 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def largest_overlap(pairs: DataFrame, key: list[str], label: str, bases: str, *, floor: int = 1, tie: str = "first") -> DataFrame:
-    """The label with the most summed bases for each key. ``tie``: 'first' takes the least label, 'drop' takes none."""
+def largest_overlap(pairs: DataFrame, key: list[str], label: str, bases: str, *, floor: int = 1, tie: str = "first", mark: str | None = None) -> DataFrame:
+    """The label with the most summed bases for each key. ``tie``: 'first' takes the least label, 'drop' takes none.
+    ``mark``: a column that says whether one label alone has the most."""
     sums = pairs.groupBy(*key, label).agg(F.sum(bases).cast("long").alias(bases)).where(F.col(bases) >= floor)
-    most = sums.groupBy(*key).agg(F.max(F.struct(bases)).alias("_m"))
-    top = sums.join(most, key).where(F.col(bases) == F.col(f"_m.{bases}")).drop("_m")
-    found = top.groupBy(*key).agg(F.min(label).alias(label), F.first(bases).alias(bases), F.count(F.lit(1)).alias("_n"))
-    return (found.where("_n = 1") if tie == "drop" else found).drop("_n")
+    # of the labels with the most bases the least and the greatest: they differ on ties
+    found = sums.groupBy(*key).agg(F.min(F.struct((-F.col(bases)).alias("_b"), label)).alias("_low"), F.max(F.struct(bases, label)).alias("_high"))
+    alone = F.col(f"_low.{label}") == F.col(f"_high.{label}")
+    found = found.where(alone) if tie == "drop" else found
+    return found.select(*key, F.col(f"_low.{label}").alias(label), F.col(f"_high.{bases}").alias(bases), *([alone.alias(mark)] if mark else []))
 
 
 def best_hit(hits: DataFrame, key: list[str], label: str, order: list[Column]) -> DataFrame:
@@ -28,6 +30,20 @@ def first_by(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
+def carrier_calls(best: DataFrame, key: list[str], label: str, score: str, *, least_lead: int = 5, margin: int = 0) -> DataFrame:
+    """One call a key from its best score for each label: attributed if no other label is within ``margin`` of the top and the
+    runner-up, if any, is ``least_lead`` behind; else ambiguous. Labels rank by score, then name. Columns: call, top,
+    top_score, runner_up, runner_up_score, lead, within_margin, tied (sorted). A key's labels are those of the panel.
+    """
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col(score)).alias("s"), F.col(label).alias("l"))))
+    held = best.groupBy(*key).agg(ranked.alias("_r"))
+    one, two = F.get("_r", F.lit(0)), F.get("_r", F.lit(1))
+    tied = F.array_sort(F.transform(F.filter("_r", lambda x: x["s"] - one["s"] <= margin), lambda x: x["l"]))
+    out = held.select(*key, one["l"].alias("top"), (-one["s"]).alias("top_score"), two["l"].alias("runner_up"), (-two["s"]).alias("runner_up_score"), (two["s"] - one["s"]).alias("lead"), F.size(tied).alias("within_margin"), tied.alias("tied"))
+    resolved = (F.col("within_margin") == 1) & (F.col("lead").isNull() | (F.col("lead") >= least_lead))
+    return out.withColumn("call", F.when(resolved, "attributed").otherwise("ambiguous"))
+
+
 def top_and_runner_up(df: DataFrame, key: list[str], label: str, score: str, margin: int) -> DataFrame:
     """Top label (least on ties), its score, the lead over the next, and the labels within ``margin`` of the top."""
     w = Window.partitionBy(*key).orderBy(F.col(score).desc(), F.col(label))

@@ -19,6 +19,17 @@ def cascade(rules: list[tuple[Column, object]], otherwise: object = None) -> Col
     return reduce(lambda out, rule: F.when(rule[0], rule[1]).otherwise(out), reversed(rules), end)
 
 
+#: Classes of reference sequences and the names that belong to them, in the order in which they are tried.
+CONTIG_CATEGORIES = [
+    ("canonical", r"^(chr)?([1-9]|1[0-9]|2[0-2]|X|Y)$"),
+    ("mito", r"^(chr)?(M|MT)$"),
+    ("alt", r"_alt$"),
+    ("decoy", r"_decoy$|^hs37d5$|^HLA-"),
+    ("viral", r"(?i)^(chr)?(EBV|NC_007605|HPV|HBV|HCV|HIV|KSHV|HTLV|CMV|HHV|MCPyV|SV40)"),
+    ("unplaced", r"_random$|^(chr)?Un_|^(GL|KI|JH)[0-9]"),
+]
+
+
 def read_tier(reads: Column, genes: Column, breadth: Column, tiers=TIERS) -> Column:
     """negative without reads; else the strongest tier that all three reach, or localized_indeterminate."""
     for strong, weak in zip(tiers, tiers[1:], strict=False):
@@ -34,7 +45,8 @@ def locus_tier(genes: Column, breadth: Column, tiers=TIERS) -> Column:
 
 
 def outcome(tier: Column) -> Column:
-    return cascade([(tier.isNull() | (tier == "untiered"), "untiered"), (tier == "negative", "negative")], "positive")
+    """Only a formal tier is positive; localized_indeterminate is none."""
+    return cascade([(tier.isNull() | (tier == "untiered"), "untiered"), (tier.isin([name for name, *_ in TIERS]), "positive")], "negative")
 
 
 def structural_call(one: Column, two: Column) -> Column:
@@ -118,12 +130,115 @@ def tier_rank(tier: Column, tiers=TIERS) -> Column:
 
 def contig_category(name: Column) -> Column:
     """The class of a reference sequence by its name; the order decides."""
-    is_ = lambda pattern: name.rlike(pattern)
-    return cascade(
-        [(is_(r"^(chr)?([0-9]|1[0-9]|2[0-2]|X|Y)$"), "canonical"), (is_(r"^(chr)?(M|MT)$"), "mitochondrial"), (is_(r"_alt$|^HLA"), "alt"), (is_(r"decoy|^hs37d5$"), "decoy"), (is_(r"(?i)virus|^chrEBV$|^NC_007605"), "viral"), (is_(r"^chrUn|_random$|^GL[0-9]"), "unplaced")],
-        "other",
-    )
+    return cascade([(name.rlike(pattern), kind) for kind, pattern in CONTIG_CATEGORIES], "other")
 
 
 def allele_state(allele: Column) -> Column:
     return cascade([(allele.isNull() | F.trim(allele).isin("-", "", "?", "NA"), "missing"), (allele.startswith("~") | allele.endswith("?"), "inexact")], "exact")
+
+
+def carrier_verdict(attributed: Column, top: Column, genus_attributed: Column, top_genus: Column, mapped: Column, *, least: int = 10, share: float = 0.5) -> Column:
+    """Whether a sample's reads name a carrier, only its genus, neither, or are too few: reads attributed to one carrier,
+    those of the first carrier, the same for genera, and reads that aligned to the panel at all."""
+    enough = lambda n, first: (n >= least) & (first >= share * n)
+    return cascade([(enough(attributed, top), "CARRIER_ATTRIBUTED"), (enough(genus_attributed, top_genus), "CARRIER_GENUS_ONLY"), (mapped < least, "CARRIER_UNDETERMINED")], "CARRIER_AMBIGUOUS")
+
+
+def read_fate(survives: Column, listed: Column, classification: Column, scored: Column, in_first_arm: Column) -> Column:
+    """What the challenge says of an evaluated read: survived, lost, or one of the kinds of not measured."""
+    return cascade(
+        [(survives, "survived"), (~listed, "missing_from_arm_b"), ((classification == "ambiguous") & ~scored, "unaligned"), (~in_first_arm, "missing_from_arm_a")],
+        "lost",
+    )
+
+
+def absorber(b1: Column, b2: Column, classification: Column) -> Column:
+    """The decoy that a lost read went to; reads without a decoy alignment are named by what they lost on."""
+    blank = lambda c: F.nullif(c, F.lit(""))
+    return F.coalesce(blank(b1), blank(b2), F.when(classification == "confirmed_true", "arm_a_not_confirmed").otherwise("no_decoy_alignment"))
+
+
+def near_threshold(classification: Column, lead: Column, margin: float) -> Column:
+    return (classification == "ambiguous") | F.coalesce(F.abs(lead) <= margin, F.lit(False))
+
+
+def reference_status(coverage: Column, identity: Column, consensus: Column, group: Column, lead: Column) -> Column:
+    """unresolved under half coverage or 0.9 identity; confident if the near-best agree with the best one's group and no other
+    group is within 0.02 of its score; else ambiguous."""
+    return cascade([((coverage < 0.5) | (identity < 0.9), "unresolved"), ((consensus == group) & (lead >= 0.02), "confident")], "ambiguous")
+
+
+#: What the evidence of each mode may be read as.
+EVIDENCE_LABELS = {
+    "metagenome": "Metagenome read evidence (not tiered)",
+    "wes": "WES off-target DNA evidence (not tiered)",
+    "rna": "RNA expression evidence (not tiered)",
+}
+
+
+def evidence_label(mode: Column, tier: Column) -> Column:
+    """What a row's evidence may be read as, by its mode; only wgs has tiers, and long reads have none there either."""
+    wgs = F.when(tier == "untiered", "WGS evidence (not tiered: long-read)").otherwise("WGS genomic evidence tier")
+    return cascade([(mode == "wgs", wgs), *[(mode == m, label) for m, label in EVIDENCE_LABELS.items()]], "NA")
+
+
+def robustness(tier: Column, variants: list[Column]) -> Column:
+    """stable if every other way of counting gives the same tier; null without a tier or without a variant."""
+    same = reduce(lambda a, b: a & b, [v == tier for v in variants])
+    return F.when(tier.isNotNull() & (tier != "untiered"), F.when(same, "stable").otherwise("unstable"))
+
+
+def divergence_notes(raw: Column, variants: dict[str, Column]) -> Column:
+    """struct of verdict, PASS or FLAG, and notes: the variants whose tier is another than the raw one's."""
+    notes = F.filter(F.array(*[F.when(v != raw, F.concat(F.lit(f"{name}: "), raw, F.lit(" -> "), v)) for name, v in variants.items()]), lambda x: x.isNotNull())
+    return F.struct(F.when(F.size(notes) == 0, "PASS").otherwise("FLAG").alias("verdict"), notes.alias("notes"))
+
+
+def clade_confirmed(clade: Column, confidence: Column, kmers: Column, *, target, least_confidence, least_kmers) -> Column:
+    """Whether the first arm confirms a read; a read that it lacks is not confirmed."""
+    return F.coalesce((clade == target) & (confidence >= least_confidence) & (kmers >= least_kmers), F.lit(False))
+
+
+def locus_class(genes: Column, tier: Column, positive: list[str], least: int = 3, all_genes: int = 19, near: int = 15, resistance: str = "clbS") -> Column:
+    """What a bin's genes and the tier of its own alignment make of it; null without genes."""
+    n = F.size(genes)
+    return cascade(
+        [
+            (n == 0, None), ((n == 1) & F.array_contains(genes, resistance), "clbS_only_possible_resistance"), (n < least, "isolated_or_low_evidence_clb_hits"), (~F.coalesce(tier.isin(positive), F.lit(False)), "hmm_candidate_locus_not_confirmed"),
+            (n < near, "partial_pks_candidate"), (n < all_genes, "near_complete_pks_candidate"),
+        ],
+        "complete_pks_candidate",
+    )
+
+
+def susceptibility(protected: Column, rec_a: Column, lex_a: Column) -> Column:
+    return cascade([(protected, "lower"), (rec_a & lex_a, "plausible")], "uncertain")
+
+
+def bins_outcome(contigs: Column, bins: Column, positive: Column) -> Column:
+    return cascade([(contigs == 0, "no_contigs"), (bins == 0, "contigs_no_bins"), (positive == 0, "bins_no_pks")], "pks_positive_bins")
+
+
+def taxonomy_status(species: Column, species_reads: Column, island_reads: Column) -> Column:
+    return cascade([(island_reads == 0, "no_pks_reads"), (species > 0, "species_identified"), (species_reads < 2, "below_rank_threshold")], "no_species_identified")
+
+
+def low_score_state(request: Column, evidence: Column) -> Column:
+    """What extraction did about low scores; with auto and a program line that hides which aligner ran, the query fails."""
+    refused = F.raise_error(F.lit("a bwa program line without its command: say on or off")).cast("string")
+    return cascade([(request == "on", "on_requested"), (request == "off", "off_requested"), (evidence == "yes", "on_auto_bwa_mem"), (evidence == "not_mem", "off_auto_no_as_tag"), (evidence == "no_cl", refused)], "off_auto_not_bwa_mem")
+
+
+def panel_admission(coverage: Column, role: Column) -> Column:
+    """Decoys carry less than a tenth of the island, carriers half of it at least; all others stay listed as rejected."""
+    return cascade([((role == "decoy") & (coverage < 0.1), "admitted_decoy"), ((role == "carrier") & (coverage >= 0.5), "admitted_carrier")], "rejected")
+
+
+def unexpected_taxon(taxonomy: Column, expected: str = "Enterobacterales") -> Column:
+    """Classified, but not as expected; unclassified is unknown and not unexpected."""
+    return ~taxonomy.isin("unclassified", "", "NA", "gtdbtk_failed") & ~taxonomy.contains(expected)
+
+
+def audit_reason(tier: Column) -> Column:
+    """Why a sample is audited; null for those that are drawn or left."""
+    return cascade([(tier.isin([name for name, *_ in TIERS]), "positive"), (tier == "localized_indeterminate", "near_miss")])

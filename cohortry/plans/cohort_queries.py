@@ -37,19 +37,6 @@ def _statuses(spark, d):
     return x.select("sample_id", "fragment_id", status.alias("status"))
 
 
-@query("j18_fragment_status", f"WITH {ARMS} SELECT * FROM s")
-def j18(spark, d):
-    return _statuses(spark, d)
-
-
-@query("r11_retention_verdict", f"WITH {ARMS}, n AS (SELECT sample_id, count(*) FILTER (status = 'supporting') AS supporting, count(*) FILTER (status IN ('supporting', 'absorbed', 'unconfirmed')) AS measured, count(*) FILTER (status = 'missing') AS missing FROM s GROUP BY 1) SELECT sample_id, supporting, measured, missing, CAST(supporting AS DOUBLE) / nullif(measured, 0) AS retention, CASE WHEN supporting < 10 THEN 'UNDERPOWERED' WHEN missing > 3 * measured THEN 'INCOMPLETE' WHEN CAST(supporting AS DOUBLE) / nullif(measured, 0) >= 0.5 THEN 'SURVIVES' ELSE 'NOT_DISTINGUISHABLE' END AS verdict FROM n")
-def r11(spark, d):
-    s = F.col("status")
-    n = _statuses(spark, d).groupBy("sample_id").agg(F.count_if(s == "supporting").alias("supporting"), F.count_if(s != "missing").alias("measured"), F.count_if(s == "missing").alias("missing"))
-    n = n.withColumn("retention", counting.share(F.col("supporting"), F.col("measured")))
-    return n.withColumn("verdict", rules.cascade([(F.col("supporting") < 10, "UNDERPOWERED"), (F.col("missing") > 3 * F.col("measured"), "INCOMPLETE"), (F.col("retention") >= 0.5, "SURVIVES")], "NOT_DISTINGUISHABLE"))
-
-
 #: Genes A, D, G, M, P, Q and S of the nineteen, which are not megasynthases.
 OTHER_GENES = ["g01", "g04", "g07", "g13", "g16", "g17", "g19"]
 
@@ -81,13 +68,6 @@ def r11_locus(spark, d):
     return locus_verdicts(assigned.join(_statuses(spark, d), ["sample_id", "fragment_id"]), r1(spark, d))
 
 
-@query("a22_absorbers", f"{R}, b AS (SELECT fragment_id, contig, max(score) AS score FROM reads GROUP BY ALL), k AS (SELECT *, max(score) OVER (PARTITION BY fragment_id) AS tp FROM b) SELECT contig, count(*) AS absorbed, count(*) FILTER (tp - score BETWEEN 1 AND 3) AS near FROM k WHERE tp - score <= 3 GROUP BY contig")
-def a22(spark, d):
-    b = ad.reads(spark, d).groupBy("fragment_id", "contig").agg(F.max("score").alias("score"))
-    k = b.join(b.groupBy("fragment_id").agg(F.max("score").alias("tp")), "fragment_id").where(F.col("tp") - F.col("score") <= 3)
-    return k.groupBy("contig").agg(F.count(F.lit(1)).alias("absorbed"), F.count_if(F.col("tp") > F.col("score")).alias("near"))
-
-
 @query("j20_off_map", "SELECT count(*) FILTER (n_nationkey IS NULL) AS off_map, count(*) FILTER (n_nationkey IS NOT NULL) AS mapped FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey AND n_regionkey < 4")
 def j20(spark, d):
     carriers = ad.table(spark, d, "nation").where("n_regionkey < 4").select("n_nationkey")
@@ -122,12 +102,6 @@ def a29(spark, d):
     return k.groupBy("sample_id").agg(F.countDistinct("contig").alias("contigs"), (F.max("end") - F.min("start")).alias("span")).select("sample_id", "contigs", F.when(F.col("contigs") == 1, F.col("span")).alias("span"))
 
 
-@query("a30_reference_ranking", f"{R}, g AS (SELECT sample_id, contig, CAST(sum(score) AS BIGINT) AS matches, CAST(sum(\"end\" - start) AS BIGINT) AS block FROM reads GROUP BY ALL) SELECT sample_id, contig, place FROM (SELECT *, CAST(row_number() OVER (PARTITION BY sample_id ORDER BY matches DESC, block, contig) AS INTEGER) AS place FROM g) AS x WHERE place <= 3")
-def a30(spark, d):
-    g = ad.reads(spark, d).groupBy("sample_id", "contig").agg(F.sum("score").alias("matches"), F.sum(F.col("end") - F.col("start")).alias("block"))
-    return ranking.top_n(g, ["sample_id"], [F.col("matches").desc(), F.col("block"), F.col("contig")], 3).select("sample_id", "contig", "place")
-
-
 @query("a32_fragment_fates", f"{R} SELECT fragment_id, count(*) AS reads, count(*) FILTER (mapq >= 20) AS kept, CASE WHEN count(*) = count(*) FILTER (mapq >= 20) THEN 'whole' WHEN count(*) FILTER (mapq >= 20) = 0 THEN 'lost' ELSE 'broken' END AS fate, min(read_id) FILTER (mapq < 20) AS first_lost FROM reads GROUP BY fragment_id")
 def a32(spark, d):
     g = ad.reads(spark, d).groupBy("fragment_id").agg(F.count(F.lit(1)).alias("reads"), F.count_if(F.col("mapq") >= 20).alias("kept"), F.min(F.when(F.col("mapq") < 20, F.col("read_id"))).alias("first_lost"))
@@ -145,13 +119,6 @@ def a33(spark, d):
     return ad.table(spark, d, "orders").select(F.explode(pairs).alias("p")).groupBy("p.section", "p.label").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("a36_read_length_snap", f"{R}, m AS (SELECT sample_id, CAST(floor(quantile_cont(\"end\" - start, 0.5)) AS BIGINT) AS median FROM reads GROUP BY 1) SELECT sample_id, median, arg_min(n, struct_pack(a := abs(n - median), n := n)) AS snapped FROM m, (VALUES (100), (125), (150)) AS t(n) GROUP BY ALL")
-def a36(spark, d):
-    m = ad.reads(spark, d).groupBy("sample_id").agg(F.floor(F.percentile(F.col("end") - F.col("start"), 0.5)).alias("median"))
-    nearest = F.array_min(F.transform(F.array(*map(F.lit, (100, 125, 150))), lambda n: F.struct(F.abs(n - F.col("median")).alias("a"), n.alias("n"))))
-    return m.withColumn("snapped", nearest["n"])
-
-
 @query("a37_rank_maximum", f"{R}, n AS (SELECT sample_id, part % 50 AS taxon, count(*) AS reads FROM reads GROUP BY ALL) SELECT sample_id, max(reads) AS most FROM n GROUP BY sample_id HAVING max(reads) >= 2")
 def a37(spark, d):
     n = ad.reads(spark, d).groupBy("sample_id", F.col("part") % 50).agg(F.count(F.lit(1)).alias("reads"))
@@ -170,14 +137,6 @@ def r13(spark, d):
     return ad.table(spark, d, "part").select("p_partkey", rules.cascade([(size >= 40, "high"), (size >= 20, "medium")], "low").alias("qc_status"), (~F.contains("p_type", F.lit("STEEL"))).alias("unexpected"))
 
 
-@query("r17_terminal_state", "WITH s AS (SELECT c_custkey, count(o_orderkey) FILTER (o_orderstatus = 'F') AS a, nullif(count(o_orderkey) FILTER (o_orderstatus = 'O'), 0) AS b, nullif(count(o_orderkey) FILTER (o_orderstatus = 'P'), 0) AS c FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1) SELECT c_custkey, CASE WHEN nullif(a, 0) IS NULL THEN 'extract' WHEN b IS NULL THEN 'filter' WHEN c IS NULL THEN 'profile' END AS first_missing FROM s")
-def r17(spark, d):
-    n = lambda s: F.nullif(F.count_if(F.col("o_orderstatus") == s), F.lit(0))
-    met = ad.table(spark, d, "customer").join(ad.table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left")
-    s = met.groupBy("c_custkey").agg(n("F").alias("a"), n("O").alias("b"), n("P").alias("c"))
-    return ranking.first_missing(s, ["c_custkey"], {"extract": "a", "filter": "b", "profile": "c"})
-
-
 @query("h1_arm_confirmation", f"{R} SELECT fragment_id, coalesce(bool_or(contig = 0 AND mapq >= 30 AND score >= 20), false) AS confirmed FROM reads GROUP BY fragment_id")
 def h1(spark, d):
     return ad.reads(spark, d).groupBy("fragment_id").agg(F.bool_or((F.col("contig") == 0) & (F.col("mapq") >= 30) & (F.col("score") >= 20)).alias("confirmed"))
@@ -189,28 +148,9 @@ def h3(spark, d):
     return g.select("sample_id", counting.share(F.col("a"), F.col("b")).alias("share"))
 
 
-@query("h12_count_buckets", f"{R} SELECT sample_id, contig, CASE WHEN count(*) >= 100 THEN 'many' WHEN count(*) >= 30 THEN 'some' ELSE 'few' END AS bucket FROM reads GROUP BY ALL")
-def h12(spark, d):
-    n = ad.reads(spark, d).groupBy("sample_id", "contig").agg(F.count(F.lit(1)).alias("n"))
-    return n.select("sample_id", "contig", rules.cascade([(F.col("n") >= 100, "many"), (F.col("n") >= 30, "some")], "few").alias("bucket"))
-
-
-@query("p13_contig_category", "SELECT c_custkey, 'other' AS category FROM customer")
-def p13(spark, d):
-    return ad.table(spark, d, "customer").select("c_custkey", rules.contig_category(F.col("c_name")).alias("category"))
-
-
-@query("v1_malformed_ids", "SELECT c_custkey FROM customer WHERE NOT regexp_full_match(c_mktsegment, '[A-Z]+')")
-def v1(spark, d):
-    return checks.malformed(ad.table(spark, d, "customer"), "c_mktsegment", "[A-Z]+").select("c_custkey")
-
-
 @query("v13_far_apart", f"{R}, n AS (SELECT sample_id, count(*) FILTER (fragment_id % 2 = 0) AS one, count(*) FILTER (fragment_id % 2 = 1) AS two FROM reads GROUP BY 1) SELECT sample_id FROM n WHERE abs(one - two) > greatest(2, one * 0.05)")
 def v13(spark, d):
     n = ad.reads(spark, d).groupBy("sample_id").agg(F.count_if(F.col("fragment_id") % 2 == 0).alias("one"), F.count_if(F.col("fragment_id") % 2 == 1).alias("two"))
     return checks.far_apart(n, "one", "two").select("sample_id")
 
 
-@query("w13_cohort_order", f"WITH {ad.OVERLAPS} SELECT sample_id, count(*) AS reads, count(DISTINCT gene) AS genes FROM assigned GROUP BY sample_id")
-def w13(spark, d):
-    return r1(spark, d).select("sample_id", "reads", "genes").orderBy(F.col("genes").desc(), F.col("reads").desc(), F.col("sample_id"))
