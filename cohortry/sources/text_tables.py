@@ -6,7 +6,7 @@ and out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PAF = "qname string, qlen long, start long, end long, strand string, tname string, tlen long, t_start long, t_end long, nmatch long, alen long, mapq int"
@@ -52,19 +52,45 @@ def paf(spark: SparkSession, path: str) -> DataFrame:
     return tsv(spark, path, PAF, strict=False).where(F.col("mapq").isNotNull())
 
 
+def paf_strict(spark: SparkSession, path: str) -> DataFrame:
+    """The same for rankings, where a row of fewer than 12 fields fails the query."""
+    cut = fields(spark.read.text(path), 12, [c.split()[0] for c in PAF.split(", ")], "\t")
+    return cut.select(*[F.col(name).cast(kind).alias(name) for name, kind in (c.split() for c in PAF.split(", "))])
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line (from 0) and value of each line of text files.
+
+    Files are read in blocks by many tasks. A line's number is its place in its block plus the lines of the blocks before,
+    which are counted first; no file is held whole. Compressed files are one block.
+    """
+    ids = F.monotonically_increasing_id()
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), ids.alias("id"), "value")
+    blocks = rows.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("lines"))
+    before = F.sum("lines").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    placed = blocks.select("file", "block", "first", F.coalesce(before, F.lit(0)).alias("before"))
+    return rows.join(placed, ["file", "block"]).select("file", (F.col("before") + F.col("id") - F.col("first")).alias("line"), "value")
+
+
 def gff(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
     """Features before the sequence part of each file; attributes as a map."""
-    whole = spark.read.text(path, wholetext=True)
-    lines = whole.select(F.explode(F.split(F.split("value", r"(?m)^##FASTA", 2)[0], "\n")).alias("value"))
+    lines = numbered_lines(spark, path)
+    ends = lines.where(F.col("value").startswith("##FASTA")).groupBy("file").agg(F.min("line").alias("last"))
+    lines = lines.join(ends, "file", "left").where(F.col("last").isNull() | (F.col("line") < F.col("last"))).select("value")
     cut = fields(lines, 9, ["contig", "source", "type", "first", "last", "score", "strand", "phase", "attributes"], "\t", strict=False)
     made = cut.select("contig", "type", (F.col("first").cast("long") - 1).alias("start"), F.col("last").cast("long").alias("end"), "strand", F.str_to_map("attributes", F.lit(";"), F.lit("=")).alias("attributes"))
     return made.where(F.col("type") == kind) if kind else made
 
 
-def scan_hits(spark: SparkSession, path: str) -> DataFrame:
-    """nhmmscan tables, strict: gene, read_id, aligned length, e-value and score."""
+def scan_hits(spark: SparkSession, path: str, models: list[str] | None = None) -> DataFrame:
+    """nhmmscan tables, strict: gene, read_id, aligned length, e-value and score. Numbers must be finite and genes be of
+    ``models``, if given; anything else fails the query."""
     cut = fields(spark.read.text(path), 15, ["gene", "", "read_id", "", "", "", "ali_from", "ali_to", "", "", "", "", "e", "score"])
-    return cut.select(F.replace("gene", F.lit(".cds.aln"), F.lit("")).alias("gene"), "read_id", (F.abs(F.col("ali_to").cast("long") - F.col("ali_from").cast("long")) + 1).alias("aligned"), F.col("e").cast("double").alias("e"), F.col("score").cast("double").alias("score"))
+    gene = F.replace("gene", F.lit(".cds.aln"), F.lit(""))
+    finite = lambda c: F.when(F.isnan(F.col(c).cast("double")) | (F.abs(F.col(c).cast("double")) == float("inf")), F.raise_error(F.concat(F.lit(f"{c} is not finite: "), F.col(c))).cast("double")).otherwise(F.col(c).cast("double"))
+    if models is not None:
+        gene = F.when(gene.isin(models), gene).otherwise(F.raise_error(F.concat(F.lit("unknown model: "), gene)).cast("string"))
+    return cut.select(gene.alias("gene"), "read_id", (F.abs(F.col("ali_to").cast("long") - F.col("ali_from").cast("long")) + 1).alias("aligned"), finite("e").alias("e"), finite("score").alias("score"))
 
 
 def search_hits(spark: SparkSession, path: str) -> DataFrame:
@@ -74,14 +100,15 @@ def search_hits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """Four-line records of whole files, numbered within their file; a truncated or misplaced record fails the query."""
-    whole = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
-    lines = whole.select("file", F.split(F.regexp_replace("value", r"\s+$", ""), "\n").alias("l"))
-    n = F.size("l")
-    each = lines.withColumn("_whole", n % 4 == 0).select("file", "_whole", F.posexplode(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(4)), lambda i: F.slice("l", i + 1, 4))).alias("ordinal", "r"))
-    good = F.col("_whole") & (F.size("r") == 4) & F.get("r", F.lit(0)).startswith("@") & F.get("r", F.lit(2)).startswith("+") & (F.length(F.get("r", F.lit(1))) == F.length(F.get("r", F.lit(3))))
-    checked = each.withColumn("r", F.when(F.coalesce(good, F.lit(False)), F.col("r")).otherwise(F.raise_error(F.concat(F.lit("malformed or truncated record in "), F.col("file"))).cast("array<string>")))
-    return checked.select("file", "ordinal", F.col("r")[0].alias("header"), F.col("r")[1].alias("seq"), F.col("r")[3].alias("qual"))
+    """Four-line records, numbered within their file; a truncated or misplaced record fails the query. Blank lines count as
+    lines, but for those at the end of a file. Lines meet by file and record, so a file is read by many tasks."""
+    lines = numbered_lines(spark, path)
+    at = lambda i: F.max(F.when(F.col("line") % 4 == i, F.col("value")))
+    each = lines.groupBy("file", F.floor(F.col("line") / 4).alias("ordinal")).agg(*[at(i).alias(f"l{i}") for i in range(4)])
+    each = each.where(F.concat_ws("", "l0", "l1", "l2", "l3") != "")
+    good = F.col("l0").startswith("@") & F.col("l2").startswith("+") & (F.length("l1") == F.length("l3"))
+    header = F.when(F.coalesce(good, F.lit(False)), F.col("l0")).otherwise(F.raise_error(F.concat(F.lit("malformed or truncated record in "), F.col("file"))).cast("string"))
+    return each.select("file", "ordinal", header.alias("header"), F.col("l1").alias("seq"), F.col("l3").alias("qual"))
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
@@ -92,11 +119,30 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def from_manifest(spark: SparkSession, manifest: DataFrame, kind: str, schema: str) -> DataFrame:
-    """All files of a kind in one scan, each row with the sample that its file belongs to. The manifest is the driver's list."""
-    files = [r.path for r in manifest.where(F.col("kind") == kind).select("path").collect()]
-    rows = spark.read.option("sep", "\t").option("header", True).option("nullValue", "NA").schema(schema).csv(files).withColumn("_path", F.col("_metadata.file_path"))
-    named = manifest.where(F.col("kind") == kind).select("sample", F.concat(F.lit("file://"), F.regexp_replace("path", "^file://", "")).alias("_path"))
-    return rows.join(F.broadcast(named), "_path").drop("_path")
+    """All files of a kind in one scan, each row with the sample that its file belongs to. The manifest is the driver's list.
+
+    Paths are compared as the file system spells them out, so a path without a scheme or a host matches its file in any
+    store. A file of two samples, and a file that is not there, fail before the scan."""
+    listed = manifest.where(F.col("kind") == kind).select("sample", "path").distinct().collect()
+    if not listed:
+        return spark.createDataFrame([], schema).withColumn("sample", F.lit(None).cast("string"))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    named: dict[str, str] = {}
+    for row in listed:
+        path = jvm.org.apache.hadoop.fs.Path(row.path)
+        whole = path.getFileSystem(conf).resolvePath(path).toString()  # raises if there is no such file
+        if named.setdefault(whole, row.sample) != row.sample:
+            raise ValueError(f"{row.path} is listed for two samples")
+    rows = spark.read.option("sep", "\t").option("header", True).option("nullValue", "NA").schema(schema).csv(list(named)).withColumn("_path", _plain(F.col("_metadata.file_path")))
+    samples = spark.createDataFrame([(w, v) for w, v in named.items()], "_path string, sample string").withColumn("_path", _plain(F.col("_path")))
+    met = rows.join(F.broadcast(samples), "_path", "left")
+    unmatched = F.raise_error(F.concat(F.lit("no sample for "), F.col("_path"))).cast("string")
+    return met.withColumn("sample", F.coalesce("sample", unmatched)).drop("_path")
+
+
+def _plain(path: Column) -> Column:
+    """A path without its scheme and host, and decoded."""
+    return F.url_decode(F.replace(F.regexp_replace(path, "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", ""), F.lit("+"), F.lit("%2B")))
 
 
 def write_tsv(df: DataFrame, path: str, columns: list[str]) -> None:

@@ -1,18 +1,28 @@
-"""Metric fragments as they arrive: each trigger takes the new files and adds them to the long table."""
+"""Metric fragments as they arrive: each trigger takes the new files and upserts them by sample and metric."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortry.sources.text_tables import EAV
 
 
 def append_fragments(spark: SparkSession, arriving: str, table: str, checkpoint: str) -> None:
-    """Append all files that are new in ``arriving`` to the Parquet table, then stop. The checkpoint makes each file count once."""
+    """Append all files that are new in ``arriving`` to the Parquet table, then stop. The checkpoint makes each file count once;
+    each row keeps the time at which its file was written, and its batch."""
     fragments = spark.readStream.option("sep", "\t").option("header", True).option("nullValue", "NA").schema(EAV).csv(arriving)
-    fragments.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    timed = fragments.select("*", F.col("_metadata.file_modification_time").alias("written"), F.col("_metadata.file_path").alias("file"))
+    timed.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def latest(table: DataFrame) -> DataFrame:
-    """The table without repeated rows."""
-    return table.distinct()
+    """One row for each sample and metric: the value of the file written last, by name on ties. Within a file two values of a
+    metric are left to the conflict check, which ``conflicts`` does."""
+    newest = F.max_by("value", F.struct("written", "file", "value"))
+    return table.groupBy("sample", "metric").agg(newest.alias("value"))
+
+
+def conflicts(table: DataFrame) -> DataFrame:
+    """Metrics that one file gives two values."""
+    return table.groupBy("sample", "metric", "file").agg(F.min("value").alias("low"), F.max("value").alias("high")).where("low <> high")
