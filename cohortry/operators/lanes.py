@@ -266,3 +266,20 @@ def cohort_order(samples: DataFrame, tier: str, counts: list[str], name: str) ->
     """Samples by strongest tier, then counts, then name, with their place. One row a sample comes to one task: a report."""
     order = [F.desc_nulls_last("_t"), *[F.desc_nulls_last(c) for c in counts], F.col(name)]
     return samples.withColumn("_t", rules.tier_rank(F.col(tier))).withColumn("place", F.row_number().over(Window.orderBy(*order))).drop("_t")
+
+
+def joined(on: list[str], *tables: DataFrame) -> DataFrame:
+    """Samples that all tables have."""
+    return reduce(lambda a, b: a.join(b, on), tables)
+
+
+def community_input(*tables: DataFrame, on: list[str]) -> DataFrame:
+    """Bins that all tables but the last have, with what the last one knows."""
+    *all_of, last = tables
+    return joined(on, *all_of).join(last, on, "left")
+
+
+def counts_by_section(files: DataFrame, sections: dict[str, Column]) -> DataFrame:
+    """Files by section and key, counted in one pass: section, key, n_files."""
+    pairs = F.array(*[F.struct(F.lit(s).alias("section"), c.cast("string").alias("key")) for s, c in sections.items()])
+    return files.select(F.inline(pairs)).groupBy("section", "key").agg(F.count(F.lit(1)).alias("n_files"))

@@ -78,12 +78,19 @@ def paired(df: DataFrame, fragment: list[str], mate: str, order: list[Column]) -
     return slot.withColumn("slot", F.when((F.col("_n") == 1) & (has(1) == 1) & (has(2) == 1) & F.col(mate).isin(1, 2), "pair").otherwise("single")).drop("_n")
 
 
-def every_kth(df: DataFrame, by: list[str], order: list[Column], cap: int) -> DataFrame:
-    """A systematic sample of each group: every k-th row with k = ceil(n / cap), from the first, at most ``cap``."""
+def every_kth(df: DataFrame, by: list[str], order: list[Column], cap: int, part: Column | None = None) -> DataFrame:
+    """A systematic sample of each group: every k-th row with k = ceil(n / cap), from the first, at most ``cap``.
+
+    ``part`` is a value that never falls along the order, such as a range of its first column: a row's place is then its
+    place in the part plus the rows of the parts before, which are counted, and no task sorts a whole group."""
+    df = df.withColumn("_part", F.lit(0) if part is None else part)
     w = Window.partitionBy(*by)
-    step = F.greatest(F.ceil(F.count(F.lit(1)).over(w) / cap), F.lit(1))
-    placed = df.withColumns({"_i": F.row_number().over(w.orderBy(*order)) - 1, "_k": step})
-    return placed.where((F.col("_i") % F.col("_k") == 0) & (F.col("_i") / F.col("_k") < cap)).drop("_i", "_k")
+    counts = df.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_c"))
+    before = F.coalesce(F.sum("_c").over(w.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = counts.select(*by, "_part", before.alias("_before"), F.greatest(F.ceil(F.sum("_c").over(w) / cap), F.lit(1)).alias("_k"))
+    place = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order)) - 1
+    placed = df.withColumn("_i", place).join(parts, [*by, "_part"]).withColumn("_i", F.col("_i") + F.col("_before"))
+    return placed.where((F.col("_i") % F.col("_k") == 0) & (F.col("_i") / F.col("_k") < cap)).drop("_i", "_k", "_before", "_part")
 
 
 def hashed_sample(df: DataFrame, by: list[str], key: str, seed: str, n: int) -> DataFrame:

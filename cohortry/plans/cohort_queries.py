@@ -12,14 +12,6 @@ from cohortry.plans.registry import _assigned, query, r1
 R = f"WITH {ad.READS}"
 
 
-@query("j2_evidence_input", f"{R}, p AS (SELECT sample_id, count(*) AS reads FROM reads GROUP BY 1), q AS (SELECT sample_id, count(*) AS high FROM reads WHERE mapq >= 40 GROUP BY 1) SELECT sample_id, reads, high, s_nationkey FROM p JOIN q USING (sample_id) JOIN supplier ON s_suppkey = sample_id")
-def j2(spark, d):
-    reads = ad.reads(spark, d)
-    p = reads.groupBy("sample_id").agg(F.count(F.lit(1)).alias("reads"))
-    q = reads.where("mapq >= 40").groupBy("sample_id").agg(F.count(F.lit(1)).alias("high"))
-    return p.join(q, "sample_id").join(ad.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample_id"), "s_nationkey"), "sample_id")
-
-
 @query("j14_first_overlap", f"{R}, t(k, a, b) AS (VALUES (1, 1000, 9000), (2, 8000, 20000), (3, 19000, 50000)) SELECT read_id, min(k) AS k FROM reads JOIN t ON start < b AND \"end\" > a GROUP BY read_id")
 def j14(spark, d):
     t = spark.createDataFrame([(0, 1, 1_000, 9_000), (0, 2, 8_000, 20_000), (0, 3, 19_000, 50_000)], "island int, k int, r_start long, r_end long")
@@ -113,12 +105,6 @@ def a32h(spark, d):
     return ad.reads(spark, d).groupBy(F.floor(F.col("score") / 5).alias("bin")).agg(F.count(F.lit(1)).alias("reads"))
 
 
-@query("a33_counts_summary", "SELECT 'status' AS section, o_orderstatus AS label, count(*) AS rows FROM orders GROUP BY ALL UNION ALL SELECT 'priority', o_orderpriority, count(*) FROM orders GROUP BY ALL")
-def a33(spark, d):
-    pairs = F.array(F.struct(F.lit("status").alias("section"), F.col("o_orderstatus").alias("label")), F.struct(F.lit("priority").alias("section"), F.col("o_orderpriority").alias("label")))
-    return ad.table(spark, d, "orders").select(F.explode(pairs).alias("p")).groupBy("p.section", "p.label").agg(F.count(F.lit(1)).alias("rows"))
-
-
 @query("a37_rank_maximum", f"{R}, n AS (SELECT sample_id, part % 50 AS taxon, count(*) AS reads FROM reads GROUP BY ALL) SELECT sample_id, max(reads) AS most FROM n GROUP BY sample_id HAVING max(reads) >= 2")
 def a37(spark, d):
     n = ad.reads(spark, d).groupBy("sample_id", F.col("part") % 50).agg(F.count(F.lit(1)).alias("reads"))

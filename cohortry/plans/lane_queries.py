@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortry.functions import scalars as fn
 from cohortry.operators import checks, counting, intervals, lanes, ranking, rules
 from cohortry.plans import adapters as ad
-from cohortry.plans.registry import _assigned, _pairs, query
+from cohortry.plans.registry import _assigned, _pairs, oracle_sql, query, r1
 
 R = f"WITH {ad.READS}"
 #: Samples are pooled in tens, so that a pool's fragment has several records.
@@ -751,3 +751,47 @@ def v2(spark, d):
     genes = spark.range(19).select(F.concat(F.lit("g"), F.col("id").cast("string")).alias("gene"))
     lacking = checks.missing(g, ["sample_id"], "gene", genes).withColumn("problem", F.lit("missing"))
     return lacking.union(g.where(~F.col("gene").isin([f"g{i}" for i in range(19)])).select("sample_id", "gene", F.lit("unknown").alias("problem")))
+
+
+@query("j10_rescued_taxonomy", f"{R}, t AS (SELECT p_partkey, p_size AS taxid FROM part WHERE p_size > 10), sp AS (SELECT s_suppkey AS taxid, s_nationkey AS species FROM supplier), nm AS (SELECT n_nationkey AS species, n_name AS name FROM nation WHERE n_regionkey < 4) SELECT coalesce(CAST(t.taxid AS VARCHAR), 'no_taxid') AS taxid, coalesce(CAST(sp.species AS VARCHAR), 'Unclassified') AS species, coalesce(name, 'unnamed') AS name, count(*) AS reads FROM reads LEFT JOIN t ON p_partkey = part LEFT JOIN sp ON sp.taxid = t.taxid LEFT JOIN nm ON nm.species = sp.species WHERE flag & 4 > 0 GROUP BY ALL")
+def j10(spark, d):
+    taxids = ad.table(spark, d, "part").where("p_size > 10").select(F.col("p_partkey").alias("part"), F.col("p_size").cast("long").alias("taxid"))
+    species = ad.table(spark, d, "supplier").select(F.col("s_suppkey").alias("taxid"), F.col("s_nationkey").alias("species"))
+    names = ad.table(spark, d, "nation").where("n_regionkey < 4").select(F.col("n_nationkey").alias("species"), F.col("n_name").alias("name"))
+    met = ad.reads(spark, d).where(F.col("flag").bitwiseAND(4) > 0).join(taxids, "part", "left").join(species, "taxid", "left").join(names, "species", "left")
+    named = met.select(F.coalesce(F.col("taxid").cast("string"), F.lit("no_taxid")).alias("taxid"), F.coalesce(F.col("species").cast("string"), F.lit("Unclassified")).alias("species"), F.coalesce("name", F.lit("unnamed")).alias("name"))
+    return named.groupBy("taxid", "species", "name").agg(F.count(F.lit(1)).alias("reads"))
+
+
+@query("j5_community_input", f"WITH {BINS} SELECT a.pool, a.bin, n, prophages, protected, rec_a, CAST(len(genes) AS INTEGER) AS n_genes FROM (SELECT pool, bin, n FROM b WHERE bin <> 0) AS a JOIN (SELECT pool, bin, prophages FROM b WHERE bin <> 1) AS p ON p.pool = a.pool AND p.bin = a.bin JOIN (SELECT pool, bin, protected FROM b WHERE bin <> 2) AS q ON q.pool = a.pool AND q.bin = a.bin JOIN (SELECT pool, bin, rec_a FROM b WHERE pool <> 3) AS r ON r.pool = a.pool AND r.bin = a.bin LEFT JOIN (SELECT pool, bin, genes FROM b WHERE len(genes) > 18) AS g ON g.pool = a.pool AND g.bin = a.bin")
+def j5(spark, d):
+    b, on = _bins(spark, d), ["pool", "bin"]
+    one = lambda cond, *columns: b.where(cond).select(*on, *columns)
+    return lanes.community_input(one("bin <> 0", "n"), one("bin <> 1", "prophages"), one("bin <> 2", "protected"), one("pool <> 3", "rec_a"), one(F.size("genes") > 18, F.size("genes").alias("n_genes")), on=on)
+
+
+@query("j2_evidence_input", f"{CHAINS}, p AS (SELECT sample_id, count(*) AS high FROM reads WHERE mapq >= 40 GROUP BY 1), m AS (SELECT s_suppkey AS sample_id, s_nationkey AS site FROM supplier WHERE s_nationkey < 20) SELECT q.sample_id, reads, passed, high, site FROM q JOIN p ON p.sample_id = q.sample_id JOIN m ON m.sample_id = q.sample_id JOIN (SELECT sample_id FROM q WHERE passed IS NOT NULL) AS k ON k.sample_id = q.sample_id")
+def j2(spark, d):
+    q = _chain(spark, d)
+    profile = ad.reads(spark, d).where("mapq >= 40").groupBy("sample_id").agg(F.count(F.lit(1)).alias("high"))
+    mode = ad.table(spark, d, "supplier").where("s_nationkey < 20").select(F.col("s_suppkey").alias("sample_id"), F.col("s_nationkey").alias("site"))
+    return lanes.joined(["sample_id"], q.select("sample_id", "reads"), profile, q.where("passed is not null").select("sample_id", "passed"), mode)
+
+
+@query("a33_counts_summary", "SELECT 'status' AS section, o_orderstatus AS key, count(*) AS n_files FROM orders GROUP BY 2 UNION ALL SELECT 'priority', o_orderpriority, count(*) FROM orders GROUP BY 2 UNION ALL SELECT 'build', CASE o_orderkey % 4 WHEN 0 THEN 'GRCh38' WHEN 1 THEN 'GRCh37' WHEN 2 THEN 'T2T-CHM13' ELSE 'unknown' END, count(*) FROM orders GROUP BY 2 UNION ALL SELECT 'aligner', CASE WHEN o_custkey % 2 = 0 THEN 'yes' ELSE 'no' END, count(*) FROM orders GROUP BY 2")
+def a33(spark, d):
+    length = F.element_at(F.array(*[F.lit(x).cast("long") for x in (248956422, 249250621, 248387328, 5)]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    sections = {"status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority"), "build": fn.build_guess(length), "aligner": F.when(F.col("o_custkey") % 2 == 0, "yes").otherwise("no")}
+    return lanes.counts_by_section(ad.table(spark, d, "orders"), sections)
+
+
+MASTER = {"r1_evidence_tier": "tier", "r4_robustness": "robustness", "r16_taxonomy_status": "status", "r17_terminal_state": "state", "r3_rates": "reads_per_million", "h2_recomputed_breadth": "source"}
+_sql = oracle_sql()
+
+
+@query("j21_master_summary", f"WITH q AS (SELECT sample_id, reads, mapped FROM ({CHAINS} SELECT * FROM q) AS x WHERE sample_id % 3 > 0) SELECT s_suppkey AS sample_id, q.reads, mapped, " + ", ".join(f"{n.split('_')[0]}.{c}" for n, c in MASTER.items()) + ", concat_ws(';', " + ", ".join(f"CASE WHEN {n.split('_')[0]}.sample_id IS NULL THEN '{n}' END" for n in MASTER) + ", CASE WHEN q.sample_id IS NULL THEN 'quality' END) AS missing FROM supplier " + " ".join(f"LEFT JOIN ({_sql[n]}) AS {n.split('_')[0]} ON {n.split('_')[0]}.sample_id = s_suppkey" for n in MASTER) + " LEFT JOIN q ON q.sample_id = s_suppkey")
+def j21(spark, d):
+    made = {"r1_evidence_tier": r1, "r4_robustness": r4, "r16_taxonomy_status": r16, "r17_terminal_state": r17, "r3_rates": r3, "h2_recomputed_breadth": h2}
+    sources = {n: made[n](spark, d).select("sample_id", c) for n, c in MASTER.items()}
+    sources["quality"] = _chain(spark, d).where("sample_id % 3 > 0").select("sample_id", "reads", "mapped")
+    return lanes.report(ad.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample_id")), sources, "sample_id")

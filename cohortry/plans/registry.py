@@ -160,7 +160,7 @@ def w10(spark, d):
 
 @query("w11_systematic_sample", f"WITH {ad.READS}, p AS (SELECT sample_id, read_id, row_number() OVER (PARTITION BY sample_id ORDER BY fragment_id, ordinal) - 1 AS i, greatest(CAST(ceil(count(*) OVER (PARTITION BY sample_id) / 50.0) AS BIGINT), 1) AS k FROM reads) SELECT sample_id, read_id FROM p WHERE i % k = 0 AND i // k < 50")
 def w11(spark, d):
-    return ranking.every_kth(ad.reads(spark, d), ["sample_id"], [F.col("fragment_id"), F.col("ordinal")], 50).select("sample_id", "read_id")
+    return ranking.every_kth(ad.reads(spark, d), ["sample_id"], [F.col("fragment_id"), F.col("ordinal")], 50, F.floor(F.col("fragment_id") / 1_000)).select("sample_id", "read_id")
 
 
 @query("w12_hashed_sample", "SELECT o_orderpriority, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5(concat(o_orderkey, 's1')), o_orderkey) AS r FROM orders) AS x WHERE r <= 20")
@@ -228,12 +228,6 @@ def j8(spark, d):
     return met.groupBy("sample_id").agg(F.count_if(F.col("hit").isNotNull()).alias("target"), F.count_if(F.col("hit").isNull()).alias("other"))
 
 
-@query("j10_rescued_taxonomy", f"WITH {ad.READS} SELECT coalesce(p_brand, 'Unclassified') AS name, count(*) AS reads FROM reads LEFT JOIN part ON p_partkey = part AND p_size > 10 GROUP BY ALL")
-def j10(spark, d):
-    names = ad.table(spark, d, "part").where("p_size > 10").select("p_partkey", "p_brand")
-    return ad.reads(spark, d).join(names, F.col("part") == F.col("p_partkey"), "left").groupBy(F.coalesce("p_brand", F.lit("Unclassified")).alias("name")).agg(F.count(F.lit(1)).alias("reads"))
-
-
 @query("j11_species_set", f"WITH {ad.READS} SELECT fragment_id, CASE count(DISTINCT contig) FILTER (mapq >= 20) WHEN 0 THEN 'Unclassified' WHEN 1 THEN concat('s', min(contig) FILTER (mapq >= 20)) ELSE 'Conflicting' END AS species FROM reads GROUP BY fragment_id")
 def j11(spark, d):
     s = ad.reads(spark, d).groupBy("fragment_id").agg(F.collect_set(F.when(F.col("mapq") >= 20, F.col("contig"))).alias("s"))
@@ -271,14 +265,6 @@ def j17(spark, d):
     return met.select("s_suppkey", "n_name", F.concat_ws("; ", F.when(F.col("s_acctbal") < 0, "negative"), F.when(F.col("r_name") != "ASIA", "unexpected_region")).alias("notes"))
 
 
-@query("j21_master_summary", f"WITH {EVIDENCE}, m AS (SELECT s_suppkey AS sample_id FROM supplier), q AS (SELECT sample_id, count(*) FILTER (flag & 1024 <> 0) AS duplicates FROM reads GROUP BY sample_id) SELECT sample_id, reads, genes, duplicates, CASE WHEN reads IS NULL THEN 'no_evidence' ELSE 'complete' END AS state FROM m LEFT JOIN evidence USING (sample_id) LEFT JOIN q USING (sample_id)")
-def j21(spark, d):
-    expected = ad.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample_id"))
-    dups = ad.reads(spark, d).groupBy("sample_id").agg(F.count_if(fn.flagged(F.col("flag"), 1024)).alias("duplicates"))
-    met = expected.join(_evidence(spark, d).drop("breadth"), "sample_id", "left").join(dups, "sample_id", "left")
-    return met.withColumn("state", F.when(F.col("reads").isNull(), "no_evidence").otherwise("complete"))
-
-
 HALVES = f"{ad.READS}, h AS (SELECT sample_id, count(*) FILTER (fragment_id % 2 = 0 AND mapq >= 30) AS before, count(*) FILTER (fragment_id % 2 = 1) AS after FROM reads GROUP BY sample_id)"
 
 
