@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages, each over what the one before kept.
 
 Stages take (spark, docs, sf_dir), where docs has the columns of ``documents``: doc_id, text, lang, source, n_chars. All but
-the last return these columns.
+the last return these columns; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,16 +23,17 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the learned ones."""
     rules = fitted_rules(docs, table(spark, sf_dir, "labels"))
-    return quality_rules(docs, rules).where("kept").select(COLUMNS)
+    return quality_rules(docs.select(COLUMNS), rules).where("kept").select(COLUMNS)
 
 
 def by_similarity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents whose 5-word shingles have a Jaccard similarity of 0.8, the one with the least id."""
-    return one_of_each(docs, k=5, percent=80).select(COLUMNS)
+    return one_of_each(docs.select(COLUMNS), k=5, percent=80)
 
 
 def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
+    docs = docs.select(COLUMNS)
     found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
     hit = staged(found.where("n_hit > 0").select(F.col("doc_id").alias("_id"), "digest").distinct(), "hit")
     hit = F.broadcast(hit) if small(hit) else hit
@@ -41,6 +42,7 @@ def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind."""
+    docs = docs.select(COLUMNS)
     found = pii_spans(docs, fit_selector(docs))
     clean = found.withColumn("text", redacted(F.coalesce("text", F.lit("")), "spans"))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
@@ -48,7 +50,7 @@ def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, packed as little-endian unsigned 32-bit integers, with digests of them and of their text."""
-    coded = encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    coded = encode(docs.select(COLUMNS), public_tokenizers.path("byte_bpe_50k.json"))
     return coded.select(
         "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
