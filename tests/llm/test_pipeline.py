@@ -86,3 +86,29 @@ def test_similarity_stage_takes_five_words_and_four_fifths(spark):
 def test_first_share_exceeds_what_the_threshold_leaves():
     spread = lambda percent: jaccard_join.SHARE_NUM * (100 - percent) / (jaccard_join.SHARE_DEN * 100)
     assert spread(85) == 0.2 and spread(80) > 0.25
+
+
+def test_empty_table_and_repeated_rows(spark, tmp_path):
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    rng = random.Random(7)
+    text = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(30))
+    own = [text() for _ in range(6)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(own)] * 3 + [(None, text(), None, None, None)] * 2 + [(9, None, None, None, None), (10, "", "", "", 0)]
+    for name, docs in (("none", []), ("some", rows)):
+        at = tmp_path / name
+        spark.createDataFrame(docs, kinds).write.parquet(str(at / "documents.parquet"))
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(at / "labels.parquet"))
+        spark.createDataFrame([], "item_id long, text string").write.parquet(str(at / "benchmark.parquet"))
+        got = corpus_pipeline.run(spark, str(at)).collect()
+        assert sorted((r.doc_id is None, r.doc_id) for r in got) == ([] if name == "none" else [(False, i) for i in range(6)] + [(True, None)])
+
+
+def test_stages_take_documents_with_more_columns(spark):
+    names = ["doc_id", "text", "lang", "source", "n_chars", "_id", "_text", "_words", "row", "node", "digest", "kept", "base", "spans"]
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}-{k}" for k in range(20)), "en", "s", 9, *"abcdefghi") for i in range(4)], names)
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.mode("overwrite").parquet(spark.conf.get("spark.checkpoint.dir") + "/tables/labels.parquet")
+    spark.createDataFrame([(1, "x y")], "item_id long, text string").write.mode("overwrite").parquet(spark.conf.get("spark.checkpoint.dir") + "/tables/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, spark.conf.get("spark.checkpoint.dir") + "/tables")
+        assert out.count() == 4 and (name == corpus_pipeline.STAGES[-1][0] or out.columns == corpus_pipeline.COLUMNS), name

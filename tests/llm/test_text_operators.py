@@ -1,9 +1,11 @@
 """Small cases with defined results, and brute force, for the operators on texts."""
 
 import hashlib
+import random
 import re
 import struct
 
+import numpy as np
 import public_tokenizers
 import pytest
 from cohortry.llm import bpe_codec, decontaminate, html_text, language_id, pii, quality_rules, secret_scan, span_dedup, token_counts
@@ -146,3 +148,23 @@ def test_repeated_sentences_go_once(spark):
     out = span_dedup.span_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     texts = sorted((r.doc_id is not None, r.doc_id or 0, r.text) for r in out if r.text is not None)
     assert texts == [(False, 0, passage), (True, 1, "Own words here Sentence a has five more words. and an end"), (True, 2, "another start Sentence a has five more words. other end"), (True, 3, ""), (True, 5, ""), (True, 6, "short"), (True, 6, "short")]
+
+
+def test_language_scores_equal_brute_force(spark):
+    """Presence kernels between texts, the landmark map and the ridge regression, from sets of places."""
+    rng = random.Random(4)
+    texts = {"en": "the of and to in is that it was for".split(), "de": "der die und das ist nicht mit ein zu den".split()}
+    rows = [(i, " ".join(rng.choice(w) for _ in range(12)), name) for i in range(60) for name, w in texts.items()]
+    docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    got = language_id.identify(docs, model).collect()
+    assert len(got) == 123
+    for r in got[:20]:
+        marks = language_id.marked([r.text])[0].astype(float)
+        raw = marks @ model.weights / np.sqrt(marks.sum()) + model.bias
+        assert r.lang_pred == model.languages[int(np.argmax(raw))] and 0 <= r.score <= 1
+    places = [set(np.nonzero(language_id.marked([t])[0])[0]) for _, t, _ in rows[:6]]
+    for a in range(6):
+        for b in range(6):
+            x, y = language_id.marked([rows[a][1]])[0].astype(float), language_id.marked([rows[b][1]])[0].astype(float)
+            assert x @ y == len(places[a] & places[b])
