@@ -7,13 +7,14 @@ import json
 from collections import ChainMap
 from functools import lru_cache
 
+import numpy as np
 import regex
 from pyspark.sql import SparkSession
 
 #: The split pattern of the byte-level pre-tokenizer.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words, pairs and counts that a worker remembers; more make it start over.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: The same for the bytes of remembered words and their codes.
 REMEMBERED_BYTES = 48 << 20
 #: Words longer than this many characters are encoded on their own and not remembered.
@@ -163,8 +164,8 @@ class TrieCodec:
         self.vocab = vocab
         self.packed = {i: i.to_bytes(4, "little") for i in vocab.tokens}
         self.words: dict[str, bytes] = {}
-        self.decoded: dict[bytes, bytes] = {}
-        self.held = 0  # bytes of words, codes and decoded pieces
+        self.by_id = [vocab.tokens.get(i, b"") for i in range(max(vocab.tokens) + 1)]
+        self.held = 0  # bytes of words and codes
         self.pairs: dict[int, bool] = {}
 
     def compatible(self, left: int, token: int) -> bool:
@@ -179,13 +180,14 @@ class TrieCodec:
             known = self.pairs[key] = self.vocab.merge(b"".join(tokens[t] for t in want)) == want
         return known
 
-    def step(self, path: bytes, depth: int, last: list[int]) -> tuple[int, int]:
-        """The last token of the encoding of path[:depth] and where it starts."""
-        ids, pairs = self.vocab.ids, self.pairs
+    def step(self, path: bytes, last: list[int]) -> tuple[int, int]:
+        """The last token of the encoding of ``path`` and where it starts: the longest suffix that is a token and can follow
+        the last token of what stands before it."""
+        get, pairs, depth = self.vocab.ids.get, self.pairs, len(path)
         for start in range(max(0, depth - self.vocab.longest), depth):
-            token = ids.get(bytes(path[start:depth]))
+            token = get(path[start:])
             if token is not None:
-                left = last[start] if start else -1
+                left = last[start]
                 fits = pairs.get(left << 24 | token if left >= 0 else -1 - token)
                 if fits or fits is None and self.compatible(left, token):
                     return token, start
@@ -199,26 +201,29 @@ class TrieCodec:
             for byte in word.encode():
                 node = node.setdefault(byte, {})
             node[-1] = word
-        path, last, codes = bytearray(LONG_WORD * 4 + 1), [-1] * (LONG_WORD * 4 + 2), [b""] * (LONG_WORD * 4 + 2)
-        stack = [(byte, child, 1) for byte, child in root.items()]
+        last, codes = [-1] * (LONG_WORD * 4 + 2), [b""] * (LONG_WORD * 4 + 2)
+        stack = [(bytes((byte,)), child) for byte, child in root.items()]
+        step, packed = self.step, self.packed
         while stack:
-            byte, node, depth = stack.pop()
-            path[depth - 1] = byte
-            token, start = self.step(path, depth, last)
-            last[depth], codes[depth] = token, codes[start] + self.packed[token]
+            path, node = stack.pop()
+            depth = len(path)
+            token, start = step(path, last)
+            last[depth], codes[depth] = token, codes[start] + packed[token]
             for key, child in node.items():
                 if key == -1:
                     self.words[child] = codes[depth]
                     self.held += 4 * len(child) + 2 * len(codes[depth])
                 else:
-                    stack.append((key, child, depth + 1))
+                    stack.append((path + bytes((key,)), child))
 
     def single(self, word: str) -> bytes:
         """The same states along one path, for a long word."""
         path = word.encode()
         last, starts = [-1] * (len(path) + 1), [0] * (len(path) + 1)
         for depth in range(1, len(path) + 1):
-            last[depth], starts[depth] = self.step(path, depth, last)
+            low = max(0, depth - self.vocab.longest)
+            last[depth], start = self.step(path[low:depth], last[low:depth])
+            starts[depth] = low + start
         found, at = [], len(path)
         while at:
             found.append(self.packed[last[at]])
@@ -230,7 +235,6 @@ class TrieCodec:
         result, the others in ``words``. Special strings stand between words at their place, marked by a leading NUL pair."""
         if len(self.words) >= REMEMBERED or self.held >= REMEMBERED_BYTES:
             self.words.clear()
-            self.decoded.clear()
             self.held = 0
         split_texts, fresh = [], set()
         for text in texts:
@@ -254,19 +258,10 @@ class TrieCodec:
         known = self.words if not long else ChainMap(long, self.words)
         return [list(map(known.__getitem__, words)) for words in split_texts]
 
-    def decode(self, runs: list[bytes]) -> str:
-        """The text of packed runs of ids."""
-        known, pieces = self.decoded, []
-        for run in runs:
-            piece = known.get(run)
-            if piece is None:
-                tokens = self.vocab.tokens
-                piece = b"".join(tokens[int.from_bytes(run[i : i + 4], "little")] for i in range(0, len(run), 4))
-                if len(run) <= 4 * LONG_WORD:
-                    known[run] = piece
-                    self.held += len(run) + len(piece)
-            pieces.append(piece)
-        return b"".join(pieces).decode("utf-8", "replace")
+    def decode(self, packed: bytes) -> str:
+        """The text of packed ids."""
+        ids = np.frombuffer(packed, "<u4").tolist()
+        return b"".join(map(self.by_id.__getitem__, ids)).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=1)

@@ -14,7 +14,7 @@ from cohortry.llm.bpe import shipped, worker_codec
 from cohortry.llm.common import table
 
 #: Characters of text whose distinct words share one trie; bounds a worker's memory.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 2_000_000
 
 
 def encode(df: DataFrame, vocab_path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -35,7 +35,7 @@ def encode(df: DataFrame, vocab_path: str, text: str = "text", ids: str = "ids",
                 codes, texts = [], []
                 for runs in trie.encode(chunk):
                     codes.append(b"".join(runs))
-                    texts.append(trie.decode(runs))
+                    texts.append(trie.decode(codes[-1]))
                 yield pa.StructArray.from_arrays([pa.array(codes, pa.binary()), pa.array(texts, pa.string())], ["ids", "decoded"])
 
     columns = [df[c] for c in df.columns if c not in (ids, decoded)]
