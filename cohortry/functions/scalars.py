@@ -33,6 +33,12 @@ def cigar_steps(cigar: Column) -> Column:
     return F.when(cigar.rlike(r"^(\d+[MIDNSHP=X])+$"), F.zip_with(numbers, ops, lambda n, op: F.struct(n.cast("int").alias("n"), op.alias("op"))))
 
 
+def strict_cigar_steps(cigar: Column) -> Column:
+    """The same; text that is not made of steps alone fails the query."""
+    refused = F.raise_error(F.concat(F.lit("not a CIGAR: "), F.coalesce(cigar, F.lit("null")))).cast("array<struct<n:int,op:string>>")
+    return F.coalesce(cigar_steps(cigar), refused)
+
+
 def cigar_sum(steps: Column, ops: str) -> Column:
     return F.aggregate(F.filter(steps, lambda s: s["op"].isin(*ops)), F.lit(0), lambda t, s: t + s["n"])
 

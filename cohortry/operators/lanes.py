@@ -283,3 +283,27 @@ def counts_by_section(files: DataFrame, sections: dict[str, Column]) -> DataFram
     """Files by section and key, counted in one pass: section, key, n_files."""
     pairs = F.array(*[F.struct(F.lit(s).alias("section"), c.cast("string").alias("key")) for s, c in sections.items()])
     return files.select(F.inline(pairs)).groupBy("section", "key").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def community_counts(samples: DataFrame, pairs: DataFrame, by: list[str], *, least: int = 1) -> DataFrame:
+    """Each sample with its distinct producers, the neighbours assessed, and those with ``least`` prophages."""
+    n = pairs.groupBy(*by).agg(F.countDistinct("producer").alias("producers"), F.count(F.lit(1)).alias("assessed"), F.count_if(F.col("prophages") >= least).alias("with_prophages"))
+    return samples.join(n, by, "left").na.fill(0, ["producers", "assessed", "with_prophages"])
+
+
+def tier_movement(samples: DataFrame, before: str, after: str) -> DataFrame:
+    """Samples by tier before and after, beside all samples of the tier before."""
+    n = samples.groupBy(F.col(before).alias("before"), F.col(after).alias("after")).agg(F.count(F.lit(1)).alias("samples"))
+    return n.withColumn("of_before", F.sum("samples").over(Window.partitionBy("before")))
+
+
+def parameter_drift(runs: DataFrame, expected: dict[str, str]) -> DataFrame:
+    """Runs by parameter whose value is not the expected one."""
+    values = runs.sparkSession.createDataFrame(list(expected.items()), "name string, expected string")
+    return runs.join(F.broadcast(values), "name").where(~F.col("found").eqNullSafe(F.col("expected"))).groupBy("name", "expected", "found").agg(F.count(F.lit(1)).alias("runs"))
+
+
+def with_mix(counts: DataFrame, label: str) -> DataFrame:
+    """Counts by label, and whether there is more than one label; a fixed number of labels meets in one window."""
+    every = Window.partitionBy(F.lit(1))
+    return counts.withColumn("mixed", F.count(label).over(every) > 1)

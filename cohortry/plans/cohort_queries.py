@@ -83,11 +83,6 @@ def j27(spark, d):
     return each.join(reads.where("score < 10").select("read_id"), "read_id", "left_semi").groupBy("sample_id", "stage").agg(F.count(F.lit(1)).alias("reads"))
 
 
-@query("a28_community_counts", f"{R} SELECT sample_id, count(DISTINCT contig) FILTER (score > 40) AS producers, count(*) FILTER (nm > 5 AND score > 40) AS neighbours, coalesce(bool_or(flag & 1024 <> 0), false) AS any_duplicate FROM reads GROUP BY sample_id")
-def a28(spark, d):
-    return ad.reads(spark, d).groupBy("sample_id").agg(F.countDistinct(F.when(F.col("score") > 40, F.col("contig"))).alias("producers"), F.count_if((F.col("nm") > 5) & (F.col("score") > 40)).alias("neighbours"), F.bool_or(fn.flagged(F.col("flag"), 1024)).alias("any_duplicate"))
-
-
 @query("a29_span", f"{R}, k AS (SELECT sample_id, contig, start, \"end\" FROM reads WHERE score > 48) SELECT sample_id, count(DISTINCT contig) AS contigs, CASE WHEN count(DISTINCT contig) = 1 THEN max(\"end\") - min(start) END AS span FROM k GROUP BY sample_id")
 def a29(spark, d):
     k = ad.reads(spark, d).where("score > 48")

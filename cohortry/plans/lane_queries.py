@@ -785,8 +785,8 @@ def a33(spark, d):
     return lanes.counts_by_section(ad.table(spark, d, "orders"), sections)
 
 
-MASTER = {"r1_evidence_tier": "tier", "r4_robustness": "robustness", "r16_taxonomy_status": "status", "r17_terminal_state": "state", "r3_rates": "reads_per_million", "h2_recomputed_breadth": "source"}
 _sql = oracle_sql()
+MASTER = {"r1_evidence_tier": "tier", "r4_robustness": "robustness", "r16_taxonomy_status": "status", "r17_terminal_state": "state", "r3_rates": "reads_per_million", "h2_recomputed_breadth": "source"}
 
 
 @query("j21_master_summary", f"WITH q AS (SELECT sample_id, reads, mapped FROM ({CHAINS} SELECT * FROM q) AS x WHERE sample_id % 3 > 0) SELECT s_suppkey AS sample_id, q.reads, mapped, " + ", ".join(f"{n.split('_')[0]}.{c}" for n, c in MASTER.items()) + ", concat_ws(';', " + ", ".join(f"CASE WHEN {n.split('_')[0]}.sample_id IS NULL THEN '{n}' END" for n in MASTER) + ", CASE WHEN q.sample_id IS NULL THEN 'quality' END) AS missing FROM supplier " + " ".join(f"LEFT JOIN ({_sql[n]}) AS {n.split('_')[0]} ON {n.split('_')[0]}.sample_id = s_suppkey" for n in MASTER) + " LEFT JOIN q ON q.sample_id = s_suppkey")
@@ -795,3 +795,33 @@ def j21(spark, d):
     sources = {n: made[n](spark, d).select("sample_id", c) for n, c in MASTER.items()}
     sources["quality"] = _chain(spark, d).where("sample_id % 3 > 0").select("sample_id", "reads", "mapped")
     return lanes.report(ad.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample_id")), sources, "sample_id")
+
+
+@query("a28_community_counts", f"WITH x AS ({_sql['j15_interactions']}), f AS (SELECT pool, bool_or(nm = 10) AS integrase, bool_or(nm = 9) AS trna FROM (WITH {POOLED} SELECT * FROM pooled) AS y WHERE sample_id < 40 AND score = 50 GROUP BY pool) SELECT f.pool, count(DISTINCT producer) AS producers, count(producer) AS assessed, count(*) FILTER (prophages > 1) AS with_prophages, any_value(integrase) AS integrase, any_value(trna) AS trna FROM f LEFT JOIN x ON x.pool = f.pool GROUP BY f.pool")
+def a28(spark, d):
+    flags = pooled(spark, d).where("sample_id < 40 AND score = 50").groupBy("pool").agg(F.bool_or(F.col("nm") == 10).alias("integrase"), F.bool_or(F.col("nm") == 9).alias("trna"))
+    return lanes.community_counts(flags, j15(spark, d), ["pool"], least=2)
+
+
+@query("j20_carrier_scores", f"WITH {POOLED} SELECT pool, fragment_id, contig % 3 AS carrier, max(score) AS score FROM pooled WHERE contig < 6 AND flag & 4 = 0 GROUP BY ALL")
+def j20b(spark, d):
+    panel = spark.range(6).select(F.col("id").alias("contig"), (F.col("id") % 3).alias("carrier"))
+    met = pooled(spark, d).where(F.col("flag").bitwiseAND(4) == 0).join(F.broadcast(panel), "contig")
+    return met.groupBy("pool", "fragment_id", "carrier").agg(F.max("score").alias("score"))
+
+
+@query("a31_tier_movement", f"{VARIANTS}, m AS (SELECT raw AS before, dup_collapsed AS after, count(*) AS samples FROM t GROUP BY ALL) SELECT before, after, samples, CAST(sum(samples) OVER (PARTITION BY before) AS BIGINT) AS of_before FROM m")
+def a31c(spark, d):
+    return lanes.tier_movement(_variant_tiers(spark, d), "raw", "dup_collapsed")
+
+
+@query("a31_parameter_drift", "WITH e(name, expected) AS (VALUES ('1-URGENT', 'F'), ('2-HIGH', 'O'), ('3-MEDIUM', 'P')) SELECT o_orderpriority AS name, expected, o_orderstatus AS found, count(*) AS runs FROM orders JOIN e ON name = o_orderpriority WHERE o_orderstatus <> expected GROUP BY ALL")
+def a31d(spark, d):
+    runs = ad.table(spark, d, "orders").select(F.col("o_orderpriority").alias("name"), F.col("o_orderstatus").alias("found"))
+    return lanes.parameter_drift(runs, {"1-URGENT": "F", "2-HIGH": "O", "3-MEDIUM": "P"})
+
+
+@query("a31_depletion_stages", f"{CHAINS}, n AS (SELECT CASE WHEN passed IS NOT NULL THEN 'pangenome' ELSE 't2t_phix' END AS stage, count(*) AS samples FROM q GROUP BY 1) SELECT stage, samples, (SELECT count(*) FROM n) > 1 AS mixed FROM n")
+def a31e(spark, d):
+    n = r3(spark, d).groupBy(F.col("host_depleted_stage").alias("stage")).agg(F.count(F.lit(1)).alias("samples"))
+    return lanes.with_mix(n, "stage")

@@ -44,7 +44,9 @@ def sam(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     lines = spark.read.text(path).where(~F.col("value").startswith("@"))
     cut = fields(lines, 11, ["read_id", "flag", "contig", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual"], "\t", strict)
     whole = {c: F.col(c).cast("long") for c in ("flag", "pos", "mapq", "pnext", "tlen")}
-    return cut.withColumns(whole).withColumn("tags", tags(F.slice("_f", 12, F.greatest(F.size("_f") - 11, F.lit(0))))).withColumn("start", F.col("pos") - 1).drop("_f")
+    tagged = cut.withColumns(whole).withColumn("tags", tags(F.slice("_f", 12, F.greatest(F.size("_f") - 11, F.lit(0)))))
+    number = {out: F.col("tags")[tag].try_cast("int") for out, tag in (("score", "AS"), ("nm", "NM"))}
+    return tagged.withColumns(number | {"start": F.col("pos") - 1}).drop("_f")
 
 
 def paf(spark: SparkSession, path: str) -> DataFrame:

@@ -99,6 +99,8 @@ def test_tool_reports(spark, tmp_path):
 def test_headers_and_run_records(spark, tmp_path):
     sam = put(tmp_path / "h.sam", "@HD\tVN:1.6\n@SQ\tSN:chr1\tLN:10\n@PG\tID:bwa\tPN:bwa\tCL:bwa mem -R @RG:x ref\nr\t0\n")
     assert [(r.line, r.tags) for r in reports.header_records(spark, sam, "SQ").collect()] == [(1, {"SN": "chr1", "LN": "10"})]
+    row = text_tables.sam(spark, put(tmp_path / "t.sam", "@HD\tx\nr\t0\tc\t5\t9\t3M\t*\t0\t0\tACG\tIII\tNM:i:2\tAS:i:40\tXX:Z:a:b\nshort\t0\n")).first()
+    assert (row.score, row.nm, row.start, row.tags["XX"]) == (40, 2, 4, "a:b")
     assert reports.header_records(spark, sam, "PG").first().tags["CL"] == "bwa mem -R @RG:x ref"
     put(tmp_path / "r1.json", '{"invocation": {"params": {}, "parameters": {"mode": "wgs", "cap": 5}}, "params": {"mode": "old"}}')
     put(tmp_path / "r2.json", "PARAMETERS\n  mode   rna\n  other  x\n")
