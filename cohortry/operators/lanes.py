@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortry.operators import counting, intervals, ranking, rules
 
 
-def carrier_reads(records: DataFrame, panel: DataFrame, key: list[str], *, contig: str = "contig", score: str = "score", least_lead: int = 5, margin: int = 0) -> DataFrame:
+def carrier_reads(records: DataFrame, panel: DataFrame, key: list[str], *, contig: str = "contig", score: str = "score", least_lead: int = 1, margin: int = 0) -> DataFrame:
     """One row a read: the call of ``ranking.carrier_calls`` over its best score for each carrier of the panel (contig,
     carrier, genus), the genera of its tied carriers, or unmapped, or off_map if it aligned to contigs outside it only.
 
@@ -65,7 +65,7 @@ def retention(fates: DataFrame, by: list[str]) -> DataFrame:
     return out.withColumns({"retention": share("n_survived", "n_measured"), "retention_if_unmeasured_lost": share("n_survived", "n_evaluated")}).withColumn("unmeasured_fraction", F.coalesce(counting.share(F.col("n_evaluated") - F.col("n_measured"), F.col("n_evaluated")), F.lit(0.0)))
 
 
-def absorbers(lost: DataFrame, by: list[str], *, share: float = 0.5) -> DataFrame:
+def absorbers(lost: DataFrame, by: list[str], *, share: float = 0.2) -> DataFrame:
     """Decoys that lost reads went to (absorber, near): reads, those near the threshold, share of a sample's lost reads, and
     whether both ask for a look by hand. The sample's total comes from the counts, not from the reads."""
     counts = lost.groupBy(*by, "absorber").agg(F.count(F.lit(1)).alias("reads"), F.count_if("near").alias("near_threshold"))

@@ -30,7 +30,7 @@ def first_by(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
-def carrier_calls(best: DataFrame, key: list[str], label: str, score: str, *, least_lead: int = 5, margin: int = 0) -> DataFrame:
+def carrier_calls(best: DataFrame, key: list[str], label: str, score: str, *, least_lead: int = 1, margin: int = 0) -> DataFrame:
     """One call a key from its best score for each label: attributed if no other label is within ``margin`` of the top and the
     runner-up, if any, is ``least_lead`` behind; else ambiguous. Labels rank by score, then name. Columns: call, top,
     top_score, runner_up, runner_up_score, lead, within_margin, tied (sorted). A key's labels are those of the panel.

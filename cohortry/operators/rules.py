@@ -137,7 +137,7 @@ def allele_state(allele: Column) -> Column:
     return cascade([(allele.isNull() | F.trim(allele).isin("-", "", "?", "NA"), "missing"), (allele.startswith("~") | allele.endswith("?"), "inexact")], "exact")
 
 
-def carrier_verdict(attributed: Column, top: Column, genus_attributed: Column, top_genus: Column, mapped: Column, *, least: int = 10, share: float = 0.5) -> Column:
+def carrier_verdict(attributed: Column, top: Column, genus_attributed: Column, top_genus: Column, mapped: Column, *, least: int = 10, share: float = 0.8) -> Column:
     """Whether a sample's reads name a carrier, only its genus, neither, or are too few: reads attributed to one carrier,
     those of the first carrier, the same for genera, and reads that aligned to the panel at all."""
     enough = lambda n, first: (n >= least) & (first >= share * n)

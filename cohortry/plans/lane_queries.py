@@ -31,7 +31,7 @@ calls AS (SELECT pool, fragment_id, max(carrier) FILTER (place = 1) AS top, max(
   string_agg(DISTINCT CAST(carrier % 3 AS VARCHAR), '+' ORDER BY CAST(carrier % 3 AS VARCHAR)) FILTER (score = most) AS genera FROM ranked GROUP BY pool, fragment_id),
 every AS (SELECT pool, fragment_id, bool_or(flag & 4 = 0 AND contig = 6) AS off FROM pooled GROUP BY ALL),
 called AS (SELECT e.pool, e.fragment_id, top, top_score, runner_up, runner_up_score, top_score - runner_up_score AS lead, within_margin, tied, n_genera, genera,
-  CASE WHEN top IS NULL THEN CASE WHEN off THEN 'off_map' ELSE 'unmapped' END WHEN within_margin = 1 AND (runner_up IS NULL OR top_score - runner_up_score >= 5) THEN 'attributed' ELSE 'ambiguous' END AS call
+  CASE WHEN top IS NULL THEN CASE WHEN off THEN 'off_map' ELSE 'unmapped' END WHEN within_margin = 1 AND (runner_up IS NULL OR top_score - runner_up_score >= 1) THEN 'attributed' ELSE 'ambiguous' END AS call
   FROM every AS e LEFT JOIN calls AS c ON c.pool = e.pool AND c.fragment_id = e.fragment_id)"""
 
 
@@ -63,7 +63,7 @@ def a21(spark, d):
     return lanes.carrier_summary(_called(spark, d), ["pool"]).drop("verdict")
 
 
-@query("r10_carrier_verdict", f"WITH {SUMMARY} SELECT pool, CASE WHEN n_attributed >= 10 AND top_carrier_reads >= 0.5 * n_attributed THEN 'CARRIER_ATTRIBUTED' WHEN genus_attributed >= 10 AND top_genus_reads >= 0.5 * genus_attributed THEN 'CARRIER_GENUS_ONLY' WHEN n_mapped < 10 THEN 'CARRIER_UNDETERMINED' ELSE 'CARRIER_AMBIGUOUS' END AS verdict FROM s")
+@query("r10_carrier_verdict", f"WITH {SUMMARY} SELECT pool, CASE WHEN n_attributed >= 10 AND top_carrier_reads >= 0.8 * n_attributed THEN 'CARRIER_ATTRIBUTED' WHEN genus_attributed >= 10 AND top_genus_reads >= 0.8 * genus_attributed THEN 'CARRIER_GENUS_ONLY' WHEN n_mapped < 10 THEN 'CARRIER_UNDETERMINED' ELSE 'CARRIER_AMBIGUOUS' END AS verdict FROM s")
 def r10(spark, d):
     return lanes.carrier_summary(_called(spark, d), ["pool"]).select("pool", "verdict")
 
@@ -110,7 +110,7 @@ def a24(spark, d):
     return lanes.retention(_fates(spark, d), ["pool"])
 
 
-@query("a22_absorbers", f"WITH {FATES}, lost AS (SELECT pool, coalesce(CAST(decoy AS VARCHAR), CASE WHEN classification = 'confirmed_true' THEN 'arm_a_not_confirmed' ELSE 'no_decoy_alignment' END) AS absorber, classification = 'ambiguous' OR coalesce(abs(t - x) <= 5, FALSE) AS near FROM fates WHERE fate = 'lost'), n AS (SELECT pool, absorber, count(*) AS reads, count(*) FILTER (near) AS near_threshold FROM lost GROUP BY ALL) SELECT pool, absorber, reads, near_threshold, CAST(reads AS DOUBLE) / sum(reads) OVER (PARTITION BY pool) AS fraction, CAST(reads AS DOUBLE) / sum(reads) OVER (PARTITION BY pool) > 0.5 AND near_threshold > 0 AS flagged FROM n")
+@query("a22_absorbers", f"WITH {FATES}, lost AS (SELECT pool, coalesce(CAST(decoy AS VARCHAR), CASE WHEN classification = 'confirmed_true' THEN 'arm_a_not_confirmed' ELSE 'no_decoy_alignment' END) AS absorber, classification = 'ambiguous' OR coalesce(abs(t - x) <= 5, FALSE) AS near FROM fates WHERE fate = 'lost'), n AS (SELECT pool, absorber, count(*) AS reads, count(*) FILTER (near) AS near_threshold FROM lost GROUP BY ALL) SELECT pool, absorber, reads, near_threshold, CAST(reads AS DOUBLE) / sum(reads) OVER (PARTITION BY pool) AS fraction, CAST(reads AS DOUBLE) / sum(reads) OVER (PARTITION BY pool) > 0.2 AND near_threshold > 0 AS flagged FROM n")
 def a22(spark, d):
     lost = _fates(spark, d).where("fate = 'lost'")
     name = rules.absorber(F.col("decoy").cast("string"), F.lit(None).cast("string"), F.col("classification"))
