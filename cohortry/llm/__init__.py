@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cohortry.llm import bpe_codec, conversation_trie, decontaminate, html_text, jaccard_join, language_id, pii, quality_rules, secret_scan, span_dedup, token_counts, topk_search
+from cohortry.llm import bpe_codec, conversation_trie, decontaminate, html_text, jaccard_join, language_id, pii, quality_rules, secret_scan, span_dedup, spelling_variants, token_counts, topk_search
 
-_MODULES = (decontaminate, token_counts, quality_rules, pii, secret_scan, html_text, language_id, jaccard_join, bpe_codec, span_dedup, topk_search, conversation_trie)
+_MODULES = (decontaminate, token_counts, quality_rules, pii, secret_scan, html_text, language_id, jaccard_join, bpe_codec, span_dedup, topk_search, spelling_variants, conversation_trie)
 
 
 def queries() -> dict:
