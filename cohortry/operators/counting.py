@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,21 +63,57 @@ def share(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), F.nullif(whole.cast("double"), F.lit(0.0)))
 
 
-def bootstrap_share(df: DataFrame, by: list[str], order: str, outcome: str, *, seed: int = 1, rounds: int = 1000) -> DataFrame:
-    """95 % percentile interval of the share of true outcomes, resampled with a seeded generator.
+def hashed_draws(key: Column, rounds: int, seed: int) -> Column:
+    """``rounds`` uniform numbers from [0, 1), ascending: draw r is the first 52 bits of the SHA-256 of seed, key and r. They
+    depend on nothing else, so any engine that hashes draws the same ones."""
+    bits = lambda r: F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed)), key.cast("string"), r.cast("string")).cast("binary"), 256), 1, 13), 16, 10).cast("double")
+    return F.array_sort(F.transform(F.sequence(F.lit(1), F.lit(rounds)), lambda r: bits(r) / float(1 << 52)))
 
-    The hits among n draws with replacement from n outcomes are binomial, so only each group's n and hits are resampled, by
-    a generator seeded with ``seed`` and the group's key: no group's rows meet in a task, and ``order`` and partitions do
-    not matter. Null outcomes are not measured and not drawn; without measured ones both bounds are null.
-    """
 
-    @F.pandas_udf("low double, high double")
-    def interval(n: pd.Series, hits: pd.Series, key: pd.Series) -> pd.DataFrame:
-        bounds = []
-        for total, part, k in zip(n, hits, key, strict=True):
-            shares = np.sort(np.random.default_rng([seed, k % 2**64]).binomial(total, part / total, rounds)) / total if total else None
-            bounds.append((None, None) if shares is None else (shares[int(0.025 * rounds)], shares[min(rounds - 1, int(0.975 * rounds))]))
-        return pd.DataFrame(bounds, columns=["low", "high"], dtype=float)
+#: Standard deviations, and hits besides, on either side of the mode that a binomial distribution is summed over. What lies
+#: outside is less than the last bit of a double.
+BINOMIAL_REACH, BINOMIAL_LEAST = 10, 20
+
+
+def binomial_quantiles(n: Column, hits: Column, levels: list[Column]) -> Column:
+    """For each level u the least k for which the chance of at most k hits in n draws, each a hit with chance hits / n, is u
+    or more: an array of longs. Weights grow from the lower end by their ratios, so no factorial and no logarithm is taken,
+    and steps are in proportion to the square root of n. n is 1 or more."""
+    n, hits = n.cast("double"), hits.cast("double")
+    reach = F.ceil(F.sqrt(hits * (n - hits) / n) * BINOMIAL_REACH) + BINOMIAL_LEAST
+    low, high = F.greatest(hits - reach, F.lit(0.0)).cast("long"), F.least(hits + reach, n).cast("long")
+    odds = hits / (n - hits)
+    # the weight of k + 1 from that of k
+    grown = lambda w, k: w * ((n - k) / (k + 1) * odds)
+    steps = F.when(high > low, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))
+    total = F.aggregate(steps, F.struct(F.lit(1.0).alias("w"), F.lit(1.0).alias("t")), lambda s, k: F.struct(grown(s["w"], k).alias("w"), (s["t"] + grown(s["w"], k)).alias("t")))["t"]
+
+    def at(u: Column) -> Column:
+        goal = u * total  # held in the state: a lambda would sum it up again at every step
+        start = F.struct(F.lit(1.0).alias("w"), F.lit(1.0).alias("t"), F.when(F.lit(1.0) >= goal, low).alias("k"), goal.alias("goal"))
+
+        def step(s: Column, k: Column) -> Column:
+            w = grown(s["w"], k)
+            return F.struct(w.alias("w"), (s["t"] + w).alias("t"), F.coalesce(s["k"], F.when(s["t"] + w >= s["goal"], k + 1)).alias("k"), s["goal"].alias("goal"))
 
+        return F.coalesce(F.aggregate(steps, start, step)["k"], high)
+
+    sure = F.when(hits == 0, F.lit(0)).when(hits == n, n.cast("long"))
+    return F.array(*[F.coalesce(sure.cast("long"), at(u)) for u in levels])
+
+
+def bootstrap_share(df: DataFrame, by: list[str], order: str, outcome: str, *, seed: int = 1, rounds: int = 1000) -> DataFrame:
+    """95 % percentile interval of the share of true outcomes, resampled ``rounds`` times: by, low, high.
+
+    The hits among n draws with replacement from n outcomes are binomial, so only each group's n and hits matter. A round is
+    one uniform number (``hashed_draws`` of the group's key) put through the inverse of that distribution; as the inverse
+    does not fall, the bounds are the inverses of the 25th and 975th of 1000 sorted numbers, and two suffice. Null outcomes are
+    not measured and not drawn; without measured ones both bounds are null. No group's rows meet in a task, and ``order``, the
+    order in which outcomes would be drawn from, does not matter.
+    """
     counts = df.groupBy(*by).agg(F.count(outcome).alias("_n"), F.count_if(outcome).alias("_hits"))
-    return counts.select(*by, interval("_n", "_hits", F.xxhash64(*by)).alias("_b")).select(*by, "_b.low", "_b.high")
+    key = F.concat_ws("/", *[F.col(c).cast("string") for c in by])
+    some = counts.withColumn("_u", F.when(F.col("_n") > 0, hashed_draws(key, rounds, seed)))
+    levels = [F.get("_u", F.lit(int(0.025 * rounds))), F.get("_u", F.lit(min(rounds - 1, int(0.975 * rounds))))]
+    some = some.withColumn("_k", F.when(F.col("_n") > 0, binomial_quantiles(F.col("_n"), F.col("_hits"), levels)))
+    return some.select(*by, *[(F.col("_k")[i] / F.col("_n")).alias(name) for i, name in enumerate(("low", "high"))])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortry.functions import scalars as fn
 from cohortry.operators import checks, counting, intervals, ranking, rules
 from cohortry.plans import adapters as ad
-from cohortry.plans.registry import _assigned, query, r1
+from cohortry.plans.registry import TIER, _assigned, bootstrap_sql, query, r1
 
 R = f"WITH {ad.READS}"
 
@@ -53,7 +53,18 @@ def locus_verdicts(reads, tiers):
     return n.select("sample_id", "evaluated", "measured", "supporting", "retention", "low", "tier", "kept_tier", "drop", "other_genes", verdict.alias("verdict"))
 
 
-@query("r11_locus_verdict")
+R11 = f"""WITH {ad.OVERLAPS}, {ARMS[ARMS.index('x AS'):]}, spans AS (SELECT a.*, r.start, r."end", status FROM assigned AS a JOIN reads AS r USING (read_id) JOIN s ON s.sample_id = a.sample_id AND s.fragment_id = a.fragment_id),
+each AS (SELECT sample_id, gene, count(*) AS n, count(*) FILTER (status <> 'missing') AS m, count(*) FILTER (status = 'supporting') AS k FROM spans GROUP BY ALL),
+totals AS (SELECT sample_id, CAST(sum(n) AS BIGINT) AS evaluated, CAST(sum(m) AS BIGINT) AS measured, CAST(sum(k) AS BIGINT) AS supporting, count(*) FILTER (k > 0) AS genes, count(*) FILTER (k > 0 AND gene IN ('g01', 'g04', 'g07', 'g13', 'g16', 'g17', 'g19')) AS other_genes FROM each GROUP BY sample_id),
+c AS (SELECT sample_id, CAST(sample_id AS VARCHAR) AS key, measured AS n, supporting AS hits FROM totals), {bootstrap_sql()},
+kept AS (SELECT sample_id, CAST(sum(greatest("end" - greatest(start, coalesce(prev, start)), 0)) AS BIGINT) AS bases FROM (SELECT *, max("end") OVER (PARTITION BY sample_id ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM spans WHERE status = 'supporting') AS x GROUP BY 1),
+tiers AS (SELECT sample_id, {TIER} AS tier FROM (SELECT sample_id, reads, genes, coalesce(union_bases, 0) / {ad.ISLAND} AS breadth FROM (SELECT sample_id, count(*) AS reads, count(DISTINCT gene) AS genes FROM assigned GROUP BY 1) AS y LEFT JOIN (WITH {ad.UNIONS} SELECT * FROM unions) AS u USING (sample_id)) AS z),
+merged AS (SELECT s.*, CAST(supporting AS DOUBLE) / nullif(measured, 0) AS retention, low, tier, {TIER.replace('breadth', f'coalesce(bases, 0) / {ad.ISLAND}').replace('reads', 'supporting')} AS kept_tier FROM totals AS s JOIN bounds USING (sample_id) JOIN tiers USING (sample_id) LEFT JOIN kept USING (sample_id)),
+ranks AS (SELECT *, list_position(['negative', 'localized_indeterminate', 'multi_gene', 'broad_island', 'extensive_island'], tier) - list_position(['negative', 'localized_indeterminate', 'multi_gene', 'broad_island', 'extensive_island'], kept_tier) AS "drop" FROM merged)
+SELECT sample_id, evaluated, measured, supporting, retention, low, tier, kept_tier, "drop", other_genes, CASE WHEN evaluated < 10 OR measured < 10 THEN 'UNDERPOWERED' WHEN CAST(evaluated - measured AS DOUBLE) / evaluated > 0.05 THEN 'INCOMPLETE' WHEN retention >= 0.8 AND low >= 0.6 AND "drop" <= 1 AND other_genes >= 2 THEN 'SURVIVES' ELSE 'NOT_DISTINGUISHABLE' END AS verdict FROM ranks"""
+
+
+@query("r11_locus_verdict", R11)
 def r11_locus(spark, d):
     places = ad.reads(spark, d).select("read_id", "start", "end")
     assigned = _assigned(spark, d).select("sample_id", "fragment_id", "read_id", "gene").join(places, "read_id")
