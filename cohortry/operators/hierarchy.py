@@ -1,11 +1,15 @@
-"""Parent-child trees: ancestors, descendants and the nearest ancestor of a rank."""
+"""Parent-child trees: ancestors, the nearest marked one, places in depth-first order, and chains of records."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.staging import staged
+from cohortry.operators.numbering import numbered
+from cohortry.operators.skew import lookup
+from cohortry.staging import small, staged
 
 
 def ancestors(tree: DataFrame, node: str = "node", parent: str = "parent") -> DataFrame:
@@ -40,24 +44,80 @@ def below(closure: DataFrame, root) -> DataFrame:
     return closure.where(F.col("ancestor") == root).select("node").distinct()
 
 
+def nearest_marked(tree: DataFrame, marks: DataFrame, node: str = "node", parent: str = "parent") -> DataFrame:
+    """For each node the nearest of itself and its ancestors that ``marks`` (node) lists: node, found; null if none is.
+
+    By pointer jumping, with one row a node: after round k a row knows the nearest mark among 2^k ancestors and the ancestor
+    2^k above. A row that has found its mark, or has no ancestor left, is done; so there are as many rounds as the depth has
+    binary digits, and no table of nodes and ancestors. Roots point at themselves or at null. Nodes of a cycle are done once
+    they have jumped over all nodes. A parent that is no node is none.
+    """
+    marked = marks.select(F.col(marks.columns[0]).alias("node")).distinct().withColumn("found", F.col("node"))
+    step = tree.select(F.col(node).alias("node"), F.when(F.col(node) != F.col(parent), F.col(parent)).alias("up")).groupBy("node").agg(F.min("up").alias("up"))
+    state = step.join(marked, "node", "left").select("node", F.when(F.col("found").isNull(), F.col("up")).alias("up"), "found")
+    state, reach, fits, total = staged(state, "marks"), 1, None, 0
+    while (n := state.agg(F.count("up"), F.count(F.lit(1))).first())[0]:
+        if fits is None:
+            fits, total = small(state), n[1]
+        if reach > 2 * total:
+            break
+        open_rows = state.where("up IS NOT NULL")
+        above = state.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("found").alias("seen"))
+        if fits:
+            met = open_rows.join(F.broadcast(above), "up", "left")
+        else:  # one ancestor may be that of most nodes
+            met = lookup(open_rows, open_rows.groupBy("up").agg(F.count(F.lit(1)).alias("below")).join(above, "up", "left"), ["up"], "below", n[0], how="left")
+        moved = met.select("node", F.when(F.col("seen").isNull(), F.col("next")).alias("up"), F.col("seen").alias("found"))
+        state, reach = staged(state.where("up IS NULL").unionByName(moved), "marks"), 2 * reach
+    return state.select("node", "found")
+
+
+def tour(df: DataFrame, group: list[str], node: str, parent: str, order: list[str]) -> DataFrame:
+    """Places of all nodes of all groups' forests at once: ``group``, ``node``, ``enter`` and ``leave``, both from 0.
+
+    ``enter`` is the place in depth-first order, siblings and roots by ``order``; ``leave`` is one more than the last place
+    below the node, so b is below a if and only if a.enter < b.enter < a.leave. A parent that is not a node of the group makes
+    a root. A group without any root has its first node as one. Nodes that no root reaches have null places.
+
+    The tour goes down and up every edge; it is a list, ranked by recursive doubling: each round every element adds what its
+    successor has and jumps to where that one points. Rounds grow with the logarithm of the longest list, whatever the number of groups.
+    """
+    at = [F.col(c) for c in order]
+    rows = staged(df.select(*group, F.col(node).alias("_v"), F.col(parent).alias("_p"), F.struct(*at).alias("_o")), "forest")
+    nodes = rows.select(*group, F.col("_v").alias("_p")).distinct().withColumn("_known", F.lit(True))
+    rooted = rows.join(nodes, [*group, "_p"], "left").select(*group, "_v", F.when(F.col("_known"), F.col("_p")).alias("_p"), "_o")
+    # a group of cycles alone begins at its first node
+    first = rooted.groupBy(*group).agg(F.count_if(F.col("_p").isNull()).alias("_roots"), F.min_by("_v", "_o").alias("_first"))
+    rooted = rooted.join(first, group).withColumn("_p", F.when((F.col("_roots") == 0) & (F.col("_v") == F.col("_first")), None).otherwise(F.col("_p")))
+    placed = staged(numbered(rooted.select(*group, "_v", "_p", "_o"), ["_o"], by=[*group, "_p"], name="_i"), "placed")
+    right = placed.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col("_p").alias("_q"), (F.col("_i") - 1).alias("_j"), F.col("_v").alias("_right"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)], F.col("_p").eqNullSafe(F.col("_q")) & (F.col("_i") == F.col("_j")))
+    rooted = staged(placed.join(right, same, "left").select(*group, "_v", "_p", "_right", "_i"), "siblings")
+    child = rooted.where("_i = 1 AND _p IS NOT NULL").select(*group, F.col("_p").alias("_v"), F.col("_v").alias("_child"))
+    element = lambda v, up: F.struct(F.col(v).alias("v"), F.lit(up).alias("up"))
+    down = F.struct(element("_v", False).alias("e"), F.when(F.col("_child").isNotNull(), element("_child", False)).otherwise(element("_v", True)).alias("next"), F.lit(1).cast("long").alias("n"))
+    back = F.when(F.col("_right").isNotNull(), element("_right", False)).when(F.col("_p").isNotNull(), element("_p", True))
+    up = F.struct(element("_v", True).alias("e"), back.alias("next"), F.lit(0).cast("long").alias("n"))
+    state = staged(rooted.join(child, [*group, "_v"], "left").select(*group, F.explode(F.array(down, up)).alias("x")).select(*group, "x.*"), "tour")
+    limit, reach = 2 * state.count(), 1
+    while reach <= limit and state.where("next IS NOT NULL").limit(1).count():
+        ahead = state.select(*group, F.col("e").alias("next"), F.col("n").alias("_n"), F.col("next").alias("_next"))
+        moved = state.where("next IS NOT NULL").join(ahead, [*group, "next"]).select(*group, "e", F.col("_next").alias("next"), (F.col("n") + F.col("_n")).alias("n"))
+        state, reach = staged(state.where("next IS NULL").unionByName(moved), "tour"), 2 * reach
+    # what is left to the end of the list: all nodes of the group's tour less those before
+    found = state.where("next IS NULL")
+    ranks = found.groupBy(*group, F.col("e.v").alias(node)).agg(F.max(F.when(~F.col("e.up"), F.col("n"))).alias("_a"), F.max(F.when(F.col("e.up"), F.col("n"))).alias("_b"))
+    total = found.groupBy(*group).agg(F.max("n").alias("_all"))
+    placed = ranks.join(total, group).select(*group, node, (F.col("_all") - F.col("_a")).alias("enter"), (F.col("_all") - F.col("_b")).alias("leave"))
+    return rows.select(*group, F.col("_v").alias(node)).join(placed, [*group, node], "left")
+
+
 def chain_order(df: DataFrame, file: str, node: str, previous: str, ordinal: str) -> DataFrame:
     """Program records of each file along their links: place of each, roots first, each before those that follow it, and
-    records that no root reaches at the end, in input order. A file has few records."""
-
-    def ordered(rows):
-        rows = rows.sort_values(ordinal)
-        known, following = set(rows[node]), {}
-        for name, before in zip(rows[node], rows[previous], strict=True):
-            following.setdefault(before if before in known else None, []).append(name)
-        places, todo = {}, list(reversed(following.get(None, list(rows[node][:1]))))
-        while todo:
-            name = todo.pop()
-            if name not in places:
-                places[name] = len(places)
-                todo += reversed(following.get(name, []))
-        for name in rows[node]:
-            places.setdefault(name, len(places))
-        return rows[[file, node]].assign(place=[places[n] for n in rows[node]])
-
-    kinds = dict(df.dtypes)
-    return df.select(file, node, previous, ordinal).groupBy(file).applyInPandas(ordered, f"{file} {kinds[file]}, {node} {kinds[node]}, place long")
+    records that no root reaches at the end, in input order. All files are ordered at once, by ``tour``; of records with one name the
+    first counts."""
+    once = df.groupBy(file, node).agg(F.min_by(previous, ordinal).alias(previous), F.min(ordinal).alias(ordinal))
+    once = staged(once, "records")
+    placed = tour(once, [file], node, previous, [ordinal]).select(file, node, "enter").join(once.select(file, node, ordinal), [file, node])
+    in_file = numbered(placed, [F.col("enter").asc_nulls_last(), ordinal], by=[file], name="place")
+    return in_file.select(file, node, (F.col("place") - 1).alias("place"))

@@ -213,12 +213,41 @@ def r9(spark, d):
 @query("g3_rank_ancestor", f"WITH RECURSIVE {ad.TREE} SELECT node, arg_min(ancestor, distance) AS found FROM closure JOIN tree AS t ON t.node = ancestor AND t.rank = 'genus' GROUP BY closure.node".replace("SELECT node, arg_min", "SELECT closure.node, arg_min"))
 def g3(spark, d):
     tree = ad.tree(spark, d)
-    return hierarchy.rank_ancestor(hierarchy.ancestors(tree), tree, "genus")
+    return hierarchy.nearest_marked(tree, tree.where("rank = 'genus'").select("node")).where("found IS NOT NULL")
 
 
 @query("g2_descendants", f"WITH RECURSIVE {ad.TREE} SELECT DISTINCT node FROM closure WHERE ancestor = 3")
 def g2(spark, d):
-    return hierarchy.below(hierarchy.ancestors(ad.tree(spark, d)), 3)
+    root = ad.tree(spark, d).where("node = 3").select("node")
+    return hierarchy.nearest_marked(ad.tree(spark, d), root).where("found IS NOT NULL").select("node")
+
+
+TOUR = """walk AS (SELECT node, [node] AS path FROM tree WHERE node = parent UNION ALL SELECT t.node, list_append(path, t.node) FROM walk AS w JOIN tree AS t ON t.parent = w.node AND t.node <> t.parent),
+placed AS (SELECT node, path, row_number() OVER (ORDER BY path) - 1 AS enter FROM walk)"""
+
+
+@query("g2_tree_places", f"WITH RECURSIVE {ad.TREE}, {TOUR} SELECT p.node, p.enter, p.enter + (SELECT count(*) FROM closure AS c WHERE c.ancestor = p.node) AS leave FROM placed AS p")
+def g2_places(spark, d):
+    t = ad.tree(spark, d).select(F.lit(0).alias("all"), "node", F.when(F.col("node") != F.col("parent"), F.col("parent")).alias("parent"))
+    return hierarchy.tour(t, ["all"], "node", "parent", ["node"]).select("node", "enter", "leave")
+
+
+#: Parts as program records of 50 files: most follow the third of their number, some name a record that is not there, some follow
+#: each other or themselves, and in some files all do.
+RECORDS = """recs AS (SELECT p_partkey % 50 AS file, p_partkey // 50 AS id, CASE WHEN p_partkey // 50 % 23 = 7 THEN p_partkey // 50 + 1 WHEN p_partkey // 50 % 23 = 8 THEN p_partkey // 50 - 1 WHEN p_partkey // 50 % 17 = 5 THEN p_partkey // 50
+  WHEN p_partkey // 50 % 11 = 10 THEN -1 WHEN p_partkey // 50 = 0 THEN CASE WHEN p_partkey % 5 = 4 THEN 1 ELSE -1 END ELSE p_partkey // 50 // 3 END AS pp, (p_partkey // 50 * 37) % 1009 * 100000 + p_partkey AS n FROM part WHERE NOT (p_partkey % 5 = 4 AND p_partkey // 50 % 11 = 10))"""
+
+
+@query("g4_chain_order", f"""WITH RECURSIVE {RECORDS}, known AS (SELECT r.*, EXISTS (SELECT 1 FROM recs AS o WHERE o.file = r.file AND o.id = r.pp) AS linked FROM recs AS r),
+starts AS (SELECT file, id, n FROM known WHERE NOT linked UNION ALL SELECT file, arg_min(id, n), min(n) FROM known GROUP BY file HAVING bool_and(linked)),
+walk AS (SELECT file, id, [n] AS path FROM starts UNION ALL SELECT k.file, k.id, list_append(path, k.n) FROM walk AS w JOIN known AS k ON k.file = w.file AND k.pp = w.id AND k.linked WHERE NOT list_contains(path, k.n))
+SELECT k.file, k.id, row_number() OVER (PARTITION BY k.file ORDER BY w.path IS NULL, w.path, k.n) - 1 AS place FROM known AS k LEFT JOIN walk AS w ON w.file = k.file AND w.id = k.id""")
+def g4(spark, d):
+    k = F.col("p_partkey")
+    i = F.floor(k / 50).cast("long")
+    pp = F.when(i % 23 == 7, i + 1).when(i % 23 == 8, i - 1).when(i % 17 == 5, i).when(i % 11 == 10, F.lit(-1)).when((i == 0) & (k % 5 == 4), F.lit(1)).when(i == 0, F.lit(-1)).otherwise(F.floor(i / 3))
+    records = ad.table(spark, d, "part").where(~((k % 5 == 4) & (i % 11 == 10))).select((k % 50).alias("file"), i.alias("id"), pp.cast("long").alias("pp"), ((i * 37) % 1009 * 100_000 + k).alias("n"))
+    return hierarchy.chain_order(records, "file", "id", "pp", "n")
 
 
 @query("j8_clade_routing", f"WITH RECURSIVE {ad.READS}, {ad.TREE}, u AS (SELECT DISTINCT node FROM closure WHERE ancestor = 3) SELECT sample_id, count(*) FILTER (u.node IS NOT NULL) AS target, count(*) FILTER (u.node IS NULL) AS other FROM reads LEFT JOIN u ON part = u.node GROUP BY sample_id")
