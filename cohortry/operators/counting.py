@@ -64,10 +64,13 @@ def share(part: Column, whole: Column) -> Column:
 
 
 def hashed_draws(key: Column, rounds: int, seed: int) -> Column:
-    """``rounds`` uniform numbers from [0, 1), ascending: draw r is the first 52 bits of the SHA-256 of seed, key and r. They
-    depend on nothing else, so any engine that hashes draws the same ones."""
-    bits = lambda r: F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed)), key.cast("string"), r.cast("string")).cast("binary"), 256), 1, 13), 16, 10).cast("double")
-    return F.array_sort(F.transform(F.sequence(F.lit(1), F.lit(rounds)), lambda r: bits(r) / float(1 << 52)))
+    """``rounds`` uniform numbers from [0, 1), ascending: draws 4 b to 4 b + 3 are the four 52-bit pieces at the head of the SHA-256
+    of seed, key and b. They depend on nothing else, so any engine that hashes draws the same ones."""
+    digest = lambda b: F.sha2(F.concat_ws(":", F.lit(str(seed)), key.cast("string"), b.cast("string")).cast("binary"), 256)
+    digests = F.transform(F.sequence(F.lit(0), F.lit((rounds - 1) // 4)), digest)
+    bits = lambda h, i: F.conv(F.substring(h, 13 * i + 1, 13), 16, 10).cast("double") / float(1 << 52)
+    drawn = F.flatten(F.transform(digests, lambda h: F.array(*[bits(h, i) for i in range(4)])))
+    return F.sort_array(F.slice(drawn, 1, rounds))  # not array_sort, whose comparator is interpreted
 
 
 #: Standard deviations, and hits besides, on either side of the mode that a binomial distribution is summed over. What lies

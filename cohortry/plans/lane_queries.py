@@ -786,15 +786,6 @@ def a33(spark, d):
 
 
 _sql = oracle_sql()
-MASTER = {"r1_evidence_tier": "tier", "r4_robustness": "robustness", "r16_taxonomy_status": "status", "r17_terminal_state": "state", "r3_rates": "reads_per_million", "h2_recomputed_breadth": "source"}
-
-
-@query("j21_master_summary", f"WITH q AS (SELECT sample_id, reads, mapped FROM ({CHAINS} SELECT * FROM q) AS x WHERE sample_id % 3 > 0) SELECT s_suppkey AS sample_id, q.reads, mapped, " + ", ".join(f"{n.split('_')[0]}.{c}" for n, c in MASTER.items()) + ", concat_ws(';', " + ", ".join(f"CASE WHEN {n.split('_')[0]}.sample_id IS NULL THEN '{n}' END" for n in MASTER) + ", CASE WHEN q.sample_id IS NULL THEN 'quality' END) AS missing FROM supplier " + " ".join(f"LEFT JOIN ({_sql[n]}) AS {n.split('_')[0]} ON {n.split('_')[0]}.sample_id = s_suppkey" for n in MASTER) + " LEFT JOIN q ON q.sample_id = s_suppkey")
-def j21(spark, d):
-    made = {"r1_evidence_tier": r1, "r4_robustness": r4, "r16_taxonomy_status": r16, "r17_terminal_state": r17, "r3_rates": r3, "h2_recomputed_breadth": h2}
-    sources = {n: made[n](spark, d).select("sample_id", c) for n, c in MASTER.items()}
-    sources["quality"] = _chain(spark, d).where("sample_id % 3 > 0").select("sample_id", "reads", "mapped")
-    return lanes.report(ad.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample_id")), sources, "sample_id")
 
 
 @query("a28_community_counts", f"WITH x AS ({_sql['j15_interactions']}), f AS (SELECT pool, bool_or(nm = 10) AS integrase, bool_or(nm = 9) AS trna FROM (WITH {POOLED} SELECT * FROM pooled) AS y WHERE sample_id < 40 AND score = 50 GROUP BY pool) SELECT f.pool, count(DISTINCT producer) AS producers, count(producer) AS assessed, count(*) FILTER (prophages > 1) AS with_prophages, any_value(integrase) AS integrase, any_value(trna) AS trna FROM f LEFT JOIN x ON x.pool = f.pool GROUP BY f.pool")

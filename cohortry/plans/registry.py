@@ -335,8 +335,8 @@ def bootstrap_sql(rounds: int = 1000, seed: int = 1) -> str:
     state = "[{'w': 0.0::DOUBLE, 't': 0.0::DOUBLE, 'k': k, 'at': NULL::BIGINT} FOR k IN CASE WHEN high > low THEN range(low, high) ELSE [] END]"
     walk = lambda found, start: f"list_reduce({state}, lambda s, x: {{'w': {grown}, 't': s.t + {grown}, 'k': x.k, 'at': {found}}}, {{'w': 1.0::DOUBLE, 't': 1.0::DOUBLE, 'k': low, 'at': {start}}})"
     bound = lambda u: f"CASE WHEN n = 0 THEN NULL WHEN hits = 0 THEN 0 WHEN hits = n THEN n ELSE coalesce({walk(f'coalesce(s.at, CASE WHEN s.t + {grown} >= {u} * total THEN x.k + 1 END)', f'CASE WHEN 1.0::DOUBLE >= {u} * total THEN low END')}.at, high) END / CAST(n AS DOUBLE)"
-    reach = f"ceil(sqrt(CAST(hits AS DOUBLE) * (n - hits) / n) * {counting.BINOMIAL_REACH}) + {counting.BINOMIAL_LEAST}"
-    return f"""drawn AS (SELECT *, list_sort([CAST(CAST(concat('0x', substr(sha256(concat('{seed}:', key, ':', r)), 1, 13)) AS BIGINT) AS DOUBLE) / {1 << 52} FOR r IN range(1, {rounds + 1})]) AS us,
+    reach = f"ceil(sqrt(CAST(hits AS DOUBLE) * (n - hits) / nullif(n, 0)) * {counting.BINOMIAL_REACH}) + {counting.BINOMIAL_LEAST}"
+    return f"""drawn AS (SELECT *, list_sort([CAST(CAST(concat('0x', substr(sha256(concat('{seed}:', key, ':', i // 4)), 13 * (i % 4) + 1, 13)) AS BIGINT) AS DOUBLE) / {1 << 52} FOR i IN range(0, {rounds})]) AS us,
   CAST(greatest(hits - ({reach}), 0) AS BIGINT) AS low, CAST(least(hits + {reach}, n) AS BIGINT) AS high FROM c),
 summed AS (SELECT *, us[{int(0.025 * rounds) + 1}] AS u1, us[{min(rounds - 1, int(0.975 * rounds)) + 1}] AS u2, CASE WHEN 0 < hits AND hits < n THEN {walk('NULL::BIGINT', 'NULL::BIGINT')}.t END AS total FROM drawn),
 bounds AS (SELECT sample_id, {bound('u1')} AS low, {bound('u2')} AS high FROM summed)"""
@@ -390,4 +390,4 @@ def set_except(spark, d):
     return ad.table(spark, d, "part").select(F.col("p_partkey").alias("key")).subtract(ad.table(spark, d, "lineitem").where("l_quantity > 45").select("l_partkey"))
 
 
-from cohortry.plans import cohort_queries, lane_queries, scalar_queries  # noqa: E402, F401  they register their queries
+from cohortry.plans import cohort_queries, cohort_summary, lane_queries, scalar_queries  # noqa: E402, F401  they register their queries

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 
 def test_draws_are_digests(spark):
-    got = spark.range(3).select("id", counting.hashed_draws(F.col("id"), 20, 7).alias("u")).collect()
+    got = spark.range(3).select("id", counting.hashed_draws(F.col("id"), 21, 7).alias("u")).collect()
     for r in got:
-        assert r.u == sorted(int(hashlib.sha256(f"7:{r.id}:{i}".encode()).hexdigest()[:13], 16) / 2**52 for i in range(1, 21))
+        digests = [hashlib.sha256(f"7:{r.id}:{b}".encode()).hexdigest() for b in range(6)]
+        assert r.u == sorted([int(h[13 * i : 13 * i + 13], 16) / 2**52 for h in digests for i in range(4)][:21])
 
 
 def exact(n, hits, u):
