@@ -2,34 +2,74 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortry.staging import staged
+
 
 def overlap_bases(s1, e1, s2, e2) -> Column:
     return F.greatest(F.least(e1, e2) - F.greatest(s1, s2), F.lit(0))
 
 
-def overlap_join(left: DataFrame, right: DataFrame, on: list[str], *, start: str = "start", end: str = "end", right_start: str = "r_start", right_end: str = "r_end", width: int = 2_000, how: str = "inner", small_right: bool = False) -> DataFrame:
-    """Pairs with equal ``on`` that share a base.
+#: Each level's bins are so many times as wide as those of the level below; the widest hold all positions. Positions are shifted
+#: by SHIFT, so that none is negative.
+LEVEL_FACTOR, SHIFT = 8, 1 << 42
+#: Left rows of one bin that one task joins; a bin with more is dealt to several.
+ROWS_PER_TASK = 1_000_000
+
+
+def bin_widths(width: int) -> list[int]:
+    widths = [width]
+    while widths[-1] < 2 * SHIFT:
+        widths.append(widths[-1] * LEVEL_FACTOR)
+    return widths
+
+
+def overlap_join(left: DataFrame, right: DataFrame, on: list[str], *, start: str = "start", end: str = "end", right_start: str = "r_start", right_end: str = "r_end", width: int = 2_000, how: str = "inner", small_right: bool = False, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Pairs with equal ``on`` that share a base, or with left_semi the left rows that share one with any right row; equal rows
+    count as often as they stand there. Empty intervals share nothing.
 
-    Both sides are dealt into bins of ``width`` and joined on equality of ``on`` and bin, so that neither side is compared
-    whole; a pair counts in the bin of the later start. ``how`` may be inner or left_semi. ``small_right``
-    says that the right side is a fixed table of few rows, which is then broadcast.
+    A right interval lies in the one smallest bin that holds it whole, of widths ``width``, 8 ``width``, ...; a left one looks up
+    all bins that it touches on the levels that are in use, so a pair meets once, however long either is. Bins with more than
+    ``rows_per_task`` left rows are dealt to several tasks, their right rows to each. A semi join carries a number of the left row,
+    so that only numbers and positions are exploded. ``small_right`` says that the right side is a fixed table of few rows a key, which
+    is then broadcast, and met without bins.
     """
-    bins = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / width).cast("long"), F.floor((F.col(e) - 1) / width).cast("long")))
-    a = left.where(F.col(end) > F.col(start)).withColumn("_bin", bins(start, end))
-    b = right.where(F.col(right_end) > F.col(right_start)).withColumn("_bin", bins(right_start, right_end))
-    b = F.broadcast(b) if small_right else b
+    a, b = left.where(F.col(end) > F.col(start)), right.where(F.col(right_end) > F.col(right_start))
     meet = (F.col(start) < F.col(right_end)) & (F.col(end) > F.col(right_start))
+    if small_right:
+        few = F.broadcast(b)
+        same = reduce(lambda x, y: x & y, [a[c] == b[c] for c in on])
+        return a.join(few, same & meet, "left_semi") if how == "left_semi" else a.join(few, on).where(meet)
+    widths = bin_widths(width)
+    at = lambda position, w: F.floor((position + SHIFT) / F.lit(w)).cast("long")
+    level = F.coalesce(*[F.when(at(F.col(right_start), w) == at(F.col(right_end) - 1, w), F.lit(i)) for i, w in enumerate(widths)], F.lit(len(widths) - 1))
+    width_of = F.element_at(F.array(*[F.lit(w) for w in widths]), F.col("_level") + 1)
+    b = b.withColumn("_level", level).withColumn("_bin", F.floor((F.col(right_start) + SHIFT) / width_of).cast("long"))
+    used = sorted(r[0] for r in b.select("_level").distinct().collect())  # at most as many as there are widths
+    rows = staged(a.withColumn("_row", F.monotonically_increasing_id()), "rows") if how == "left_semi" else a
+    seen = rows.select("_row", *on, start, end) if how == "left_semi" else rows
+
+    def touched(i: int) -> Column:
+        """The bins of one level that a left row touches."""
+        return F.transform(F.sequence(at(F.col(start), widths[i]), at(F.col(end) - 1, widths[i])), lambda x: F.struct(F.lit(i).alias("_level"), x.alias("_bin")))
+
+    empty = F.array().cast("array<struct<_level:int,_bin:bigint>>")
+    seen = seen.withColumn("_b", F.explode(F.concat(empty, *map(touched, used)))).withColumns({"_level": F.col("_b._level"), "_bin": F.col("_b._bin")}).drop("_b")
+    key = [*on, "_level", "_bin"]
+    hot = staged(seen.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task).select(*key, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")), "hot_bins")
+    if hot.limit(1).count():  # there are at most as many hot bins as rows over rows_per_task
+        deal = F.pmod(F.xxhash64(*(["_row"] if how == "left_semi" else left.columns)), F.coalesce("_salts", F.lit(1))).cast("int")
+        seen = seen.join(F.broadcast(hot), key, "left").withColumn("_salt", deal).drop("_salts")
+        b = b.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+        key = [*key, "_salt"]
+    met = seen.join(b, key).where(meet)
     if how == "left_semi":
-        keys = [a[c] == b[c] for c in [*on, "_bin"]]
-        condition = keys[0]
-        for k in keys[1:]:
-            condition = condition & k
-        return a.join(b, condition & meet, "left_semi").drop("_bin").distinct()
-    first = F.col("_bin") == F.greatest(F.floor(F.col(start) / width), F.floor(F.col(right_start) / width))
-    return a.join(b, [*on, "_bin"]).where(meet & first).drop("_bin")
+        return rows.join(met.select("_row").distinct(), "_row", "left_semi").drop("_row")
+    return met.drop("_level", "_bin", "_salt")
 
 
 def union_length(df: DataFrame, by: list[str], start: str = "start", end: str = "end", out: str = "union_bases") -> DataFrame:
@@ -86,11 +126,11 @@ def weighted_depth(segments: DataFrame, by: list[str], low: int, high: int) -> D
 
 
 def near(features: DataFrame, anchors: DataFrame, on: list[str], reach: int, *, start: str = "start", end: str = "end", anchor_start: str = "r_start", anchor_end: str = "r_end") -> DataFrame:
-    """Features within ``reach`` bases of an anchor with equal ``on``, each once."""
+    """Features within ``reach`` bases of an anchor with equal ``on``, each row once."""
     wide = anchors.select(*on, (F.col(anchor_start) - reach).alias("r_start"), (F.col(anchor_end) + reach).alias("r_end"))
     return overlap_join(features, wide, on, start=start, end=end, width=max(2_000, reach), how="left_semi")
 
 
-def first_overlap(left: DataFrame, right: DataFrame, on: list[str], key: str, order: str) -> DataFrame:
+def first_overlap(left: DataFrame, right: DataFrame, on: list[str], key: str, order: str, *, small_right: bool = False) -> DataFrame:
     """For each ``key`` of the left side, the overlapping right row of least ``order``."""
-    return overlap_join(left, right, on).groupBy(key).agg(F.min(order).alias(order))
+    return overlap_join(left, right, on, small_right=small_right).groupBy(key).agg(F.min(order).alias(order))

@@ -15,7 +15,7 @@ R = f"WITH {ad.READS}"
 @query("j14_first_overlap", f"{R}, t(k, a, b) AS (VALUES (1, 1000, 9000), (2, 8000, 20000), (3, 19000, 50000)) SELECT read_id, min(k) AS k FROM reads JOIN t ON start < b AND \"end\" > a GROUP BY read_id")
 def j14(spark, d):
     t = spark.createDataFrame([(0, 1, 1_000, 9_000), (0, 2, 8_000, 20_000), (0, 3, 19_000, 50_000)], "island int, k int, r_start long, r_end long")
-    return intervals.first_overlap(ad.reads(spark, d).withColumn("island", F.lit(0)), t, ["island"], "read_id", "k")
+    return intervals.first_overlap(ad.reads(spark, d).withColumn("island", F.lit(0)), t, ["island"], "read_id", "k", small_right=True)
 
 
 ARMS = f"{ad.READS}, x AS (SELECT sample_id, fragment_id, max(CASE WHEN contig = 0 THEN score END) AS a, max(CASE WHEN contig = 1 THEN score END) AS b, max(mapq) AS q FROM reads GROUP BY ALL), s AS (SELECT sample_id, fragment_id, CASE WHEN a IS NULL AND b IS NULL THEN 'missing' WHEN a IS NULL THEN 'absorbed' WHEN b IS NULL OR a > b THEN CASE WHEN q >= 20 THEN 'supporting' ELSE 'unconfirmed' END ELSE 'absorbed' END AS status FROM x)"

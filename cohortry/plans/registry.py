@@ -45,7 +45,7 @@ def _assigned(spark: SparkSession, d: str) -> DataFrame:
 @query("j12_interval_overlap", f"WITH {ad.OVERLAPS} SELECT sample_id, gene, count(*) AS pairs, CAST(sum(bases) AS BIGINT) AS bases FROM pairs GROUP BY sample_id, gene")
 def j12(spark, d):
     left = ad.reads(spark, d).withColumn("island", F.lit(0))
-    met = intervals.overlap_join(left, ad.genes(spark).withColumn("island", F.lit(0)), ["island"], width=3_000)
+    met = intervals.overlap_join(left, ad.genes(spark).withColumn("island", F.lit(0)), ["island"], small_right=True)
     bases = intervals.overlap_bases(F.col("start"), F.col("end"), F.col("r_start"), F.col("r_end"))
     return met.groupBy("sample_id", "gene").agg(F.count(F.lit(1)).alias("pairs"), F.sum(bases).cast("long").alias("bases"))
 
@@ -306,7 +306,7 @@ def j23(spark, d):
 @query("j28_on_target", f"WITH {ad.READS} SELECT sample_id, count(*) AS on_target FROM reads WHERE (start < 9000 AND \"end\" > 8000) OR (start < 20500 AND \"end\" > 20000) OR (start < 20900 AND \"end\" > 20300) GROUP BY sample_id")
 def j28(spark, d):
     targets = spark.createDataFrame([(0, 8_000, 9_000), (0, 20_000, 20_500), (0, 20_300, 20_900)], "island int, r_start long, r_end long")
-    hit = intervals.overlap_join(ad.reads(spark, d).withColumn("island", F.lit(0)), targets, ["island"], how="left_semi")
+    hit = intervals.overlap_join(ad.reads(spark, d).withColumn("island", F.lit(0)), targets, ["island"], how="left_semi", small_right=True)
     return hit.groupBy("sample_id").agg(F.count(F.lit(1)).alias("on_target"))
 
 
