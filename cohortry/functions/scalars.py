@@ -171,3 +171,32 @@ def bwa_evidence(programs: Column) -> Column:
     is_bwa = lambda p: F.lower(p["pn"]).isin("bwa", "bwa-mem2")
     silent = lambda p: is_bwa(p) & (F.coalesce(p["cl"], F.lit("")) == "")
     return F.when(F.exists(programs, is_mem), "yes").when(F.exists(programs, silent), "no_cl").when(F.exists(programs, is_bwa), "not_mem").otherwise("no")
+
+
+def int_or_zero(text: Column) -> Column:
+    """A whole number with optional sign and single underscores between digits, white space around it ignored; anything else, null too, is 0."""
+    trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.coalesce(F.when(trimmed.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.regexp_replace(trimmed, "_", "").try_cast("long")), F.lit(0).cast("long"))
+
+
+def float_or_zero(text: Column) -> Column:
+    """A number with optional fraction and exponent, infinity or nan, white space around it ignored; anything else, null too, is 0."""
+    trimmed = F.lower(F.regexp_replace(text, r"^\s+|\s+$", ""))
+    plain = F.when(trimmed.rlike(r"^[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)(e[+-]?[0-9]+)?$"), F.regexp_replace(trimmed, "_", "").try_cast("double"))
+    named = F.when(trimmed.rlike(r"^[+-]?inf(inity)?$"), F.when(trimmed.startswith("-"), float("-inf")).otherwise(float("inf"))).when(trimmed.rlike(r"^[+-]?nan$"), float("nan"))
+    return F.coalesce(plain, named, F.lit(0.0))
+
+
+def bwa_min_score(command: Column) -> Column:
+    """The -T of the first ``bwa mem`` of a command line, also inside a wrapper: its number, ``default`` without one, ``unparsed`` if what
+    follows is no number; null if no ``bwa mem`` runs."""
+    tokens = F.filter(F.split(command, r"\s+"), lambda t: t != "")
+    program = lambda t: F.regexp_replace(F.regexp_replace(t, "^['\"]+|['\"]+$", ""), "^.*/", "")
+    after = F.slice(tokens, 2, F.greatest(F.size(tokens), F.lit(1)))
+    starts = F.zip_with(tokens, after, lambda t, n: F.coalesce(program(t).isin("bwa", "bwa-mem2") & (n == "mem"), F.lit(False)))
+    rest = F.slice(tokens, F.array_position(starts, F.lit(True)).cast("int") + 2, F.greatest(F.size(tokens), F.lit(1)))
+    flagged_at = F.array_position(F.transform(rest, lambda t: t.rlike("^-T(-?[0-9]+)?$")), F.lit(True)).cast("int")
+    flag = F.get(rest, flagged_at - 1)
+    value = F.when(flag == "-T", F.coalesce(F.get(rest, flagged_at), F.lit(""))).otherwise(F.substring(flag, 3, 100))
+    score = F.when(flagged_at == 0, "default").when(value.rlike("^-?[0-9]+$"), value).otherwise("unparsed")
+    return F.when(F.array_contains(starts, True), score)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from cohortry.staging import small, staged
+
 
 def duplicated(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
@@ -22,15 +25,45 @@ def unknown(df: DataFrame, column: str, allowed: list) -> DataFrame:
     return df.where(~F.col(column).isin(allowed)).groupBy(F.col(column).alias("label")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def missing(df: DataFrame, key: list[str], column: str, dimension: DataFrame, most: int = 10_000) -> DataFrame:
-    """Labels of the dimension that a group lacks. The dimension has ``most`` labels at most, else this raises."""
-    rows = dimension.select(column).distinct().limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} labels of {column}")
-    kind = dimension.schema[column].dataType.simpleString()
-    labels = F.array(*[F.lit(r[0]) for r in rows]).cast(f"array<{kind}>")
-    held = df.groupBy(*key).agg(F.collect_set(F.when(F.array_contains(labels, F.col(column)), F.col(column))).alias("_held"))
-    return held.select(*key, F.explode(F.array_except(labels, "_held")).alias(column))
+def missing(df: DataFrame, key: list[str], column: str, dimension: DataFrame) -> DataFrame:
+    """Labels of the dimension that a group lacks: all that each group should have, less those it has. Labels are dealt to parts
+    and every group asks every part, so neither a group nor a label is one task's; null keys are a group."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    labels = staged(dimension.select(column).distinct().withColumn("_part", F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")), "labels")
+    few = small(labels)
+    held = df.join(F.broadcast(labels) if few else labels, column, "left_semi").select(*key, column).distinct()
+    groups = df.select(*key).distinct().withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    wanted = groups.join(F.broadcast(labels) if few else labels, "_part").drop("_part")
+    same = reduce(lambda a, b: a & b, [F.col(f"w.{c}").eqNullSafe(F.col(f"h.{c}")) for c in [*key, column]])
+    return wanted.alias("w").join(held.alias("h"), same, "left_anti").select(*key, column)
+
+
+def id_problems(df: DataFrame, column: str, pattern: str) -> DataFrame:
+    """All that is wrong with ids, in one table: value, rows, problems (``malformed``, ``repeated`` or both). A null id is malformed; an id is
+    looked at once, however many rows have it."""
+    each = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    bad = ~F.coalesce(F.col("value").rlike(f"^(?:{pattern})$"), F.lit(False))
+    found = F.concat_ws(";", F.when(bad, "malformed"), F.when(F.col("rows") > 1, "repeated"))
+    return each.withColumn("problems", found).where(F.col("problems") != "")
+
+
+def broken_rules(df: DataFrame, key: list[str], rules: dict[str, Column]) -> DataFrame:
+    """key and rule, for each row and each rule that it breaks, in one pass; a rule that is null for a row is not broken."""
+    names = F.array_compact(F.array(*[F.when(broken, name) for name, broken in rules.items()]))
+    return df.select(*key, F.explode(names).alias("rule"))
+
+
+def passed(df: DataFrame, rules: dict[str, Column], name: str = "checked", shown: int = 5) -> DataFrame:
+    """``df``, written once and read back, if no row breaks a rule. The rules are counted while the table is written, by
+    observed metrics, so a table that is right costs no second pass; one that is not is refused with the count of every broken
+    rule and some of its rows, all rules together."""
+    watch = Observation(f"{name}-{uuid.uuid4().hex}")
+    held = {k: F.coalesce(broken, F.lit(False)) for k, broken in rules.items()}
+    out = staged(df.observe(watch, F.count(F.lit(1)).alias("rows of all"), *[F.count_if(broken).alias(k) for k, broken in held.items()]), name)
+    counts = {k: n for k, n in watch.get.items() if n and k != "rows of all"}
+    if counts:
+        raise ValueError("; ".join(f"{k}: {n} rows, such as {[r.asDict() for r in out.where(held[k]).limit(shown).collect()]}" for k, n in counts.items()))
+    return out
 
 
 def parts_over_total(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortry.operators.numbering import running
+from cohortry.operators.skew import lookup
+from cohortry.staging import staged
+
 
 def zero_filled(counts: DataFrame, dimension: DataFrame, on: list[str], value: str) -> DataFrame:
     """A row for each row of the dimension, 0 where there is no count. The dimension is small and goes to the counts' groups."""
@@ -37,25 +43,72 @@ def eav_wide(df: DataFrame, key: list[str], metric: str, value: str, metrics: li
     return wide, each.where(F.col("low") != F.col("high"))
 
 
+#: Distinct values of a group that one task may hold to pick its order statistics; of groups with more, no task holds the values.
+BUFFERED = 100_000
+
+
+def at_ranks(counts: DataFrame, by: list[str], value: str, ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """For each group the values at some places of its sorted values, from 0; ``ranks`` take the group's n and give the place.
+    ``counts`` have by, value and ``_c``, how often the value occurs.
+
+    Values are dealt out by range and their counts summed along it (``numbering.running``); the value at a place is the one whose
+    running count passes it. All groups and places are found in one pass, and a group of any size lies on all tasks.
+    """
+    counts = staged(counts, "counts")
+    sizes = counts.groupBy(*by).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_values"))
+    placed = staged(running(counts, by, [value], {"_upto": F.col("_c")}), "placed")
+    met = lookup(placed, sizes, by, "_values", counts.count())
+    here = lambda r: (F.col("_upto") > r) & (F.col("_upto") - F.col("_c") <= r)
+    return met.groupBy(*by).agg(*[F.max(F.when(here(r(F.col("_n"))), F.col(value))).alias(name) for name, r in ranks.items()], F.first("_n").alias("_n"))
+
+
+def _counted(df: DataFrame, by: list[str], value: str) -> tuple[DataFrame, bool]:
+    """How often each value occurs in each group, and whether the distinct values of every group are few."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    most = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("_v")).agg(F.max("_v")).first()[0]
+    return counts, (most or 0) <= BUFFERED
+
+
+def quantiles(df: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Interpolated quantiles (type 7) of each group by name, exact on whole numbers and doubles; nulls do not count and a group of
+    nulls alone is not listed."""
+    counts, few = _counted(df, by, value)
+    if few:
+        q = F.percentile(value, F.array(*map(F.lit, shares.values())), F.col("_c"))
+        return counts.groupBy(*by).agg(q.alias("_q")).select(*by, *[F.col("_q")[i].alias(name) for i, name in enumerate(shares)])
+    ends = {}
+    for name, q in shares.items():
+        ends[f"_lo_{name}"] = lambda n, q=q: F.floor(F.lit(q) * (n - 1))
+        ends[f"_hi_{name}"] = lambda n, q=q: F.ceil(F.lit(q) * (n - 1))
+    found = at_ranks(counts, by, value, ends)
+    between = lambda name, q: F.lit(q) * (F.col("_n") - 1) - F.floor(F.lit(q) * (F.col("_n") - 1))
+    mixed = lambda name, q: (1 - between(name, q)) * F.col(f"_lo_{name}") + between(name, q) * F.col(f"_hi_{name}")
+    return found.select(*by, *[mixed(name, q).cast("double").alias(name) for name, q in shares.items()])
+
+
 def five_numbers(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Minimum, interpolated quartiles (type 7) and maximum."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.groupBy(*by).agg(F.min(value).cast("double").alias("low"), q.alias("_q"), F.max(value).cast("double").alias("high")).select(*by, "low", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"), "high")
+    ends = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"))
+    return ends.join(quantiles(df, by, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}), by).select(*by, "low", "q1", "median", "q3", "high")
 
 
 def nearest_rank(df: DataFrame, by: list[str], value: str, q: float) -> DataFrame:
     """The value at place floor(q (n - 1)) of the sorted values: a truncating quantile, exact and without interpolation."""
+    counts, few = _counted(df, by, value)
+    place = lambda n: F.floor(F.lit(q) * (n - 1))
+    if not few:
+        return at_ranks(counts, by, value, {"quantile": place}).select(*by, "quantile")
     w = Window.partitionBy(*by)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))  # equal values as one row
     placed = counts.withColumns({"_upto": F.sum("_c").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)), "_n": F.sum("_c").over(w)})
-    at = F.floor(F.lit(q) * (F.col("_n") - 1))
+    at = place(F.col("_n"))
     return placed.where((F.col("_upto") > at) & (F.col("_upto") - F.col("_c") <= at)).select(*by, F.col(value).alias("quantile"))
 
 
 def summary_numbers(df: DataFrame, by: list[str], value: str, q: float) -> DataFrame:
     """Least, mean, interpolated median, truncating quantile and greatest value of each group; nulls do not count."""
-    plain = df.groupBy(*by).agg(F.min(value).alias("low"), F.avg(value).alias("mean"), F.percentile(value, F.lit(0.5)).alias("median"), F.max(value).alias("high"))
-    return plain.join(nearest_rank(df, by, value, q), by)
+    plain = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.min(value).alias("low"), F.avg(value).alias("mean"), F.max(value).alias("high"))
+    found = plain.join(quantiles(df, by, value, {"median": 0.5}), by).join(nearest_rank(df, by, value, q), by)
+    return found.select(*by, "low", "mean", "median", "high", "quantile")
 
 
 def share(part: Column, whole: Column) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortry.operators import counting, intervals, ranking, rules
+from cohortry.operators import counting, intervals, numbering, ranking, rules
 
 
 def carrier_reads(records: DataFrame, panel: DataFrame, key: list[str], *, contig: str = "contig", score: str = "score", least_lead: int = 1, margin: int = 0) -> DataFrame:
@@ -220,8 +220,10 @@ def typed_unit(units: DataFrame, by: list[str], order: str) -> DataFrame:
 
 
 def staged_order(manifest: DataFrame) -> DataFrame:
-    """Manifest rows (kind, sample, name) with the number under which each kind's files are staged."""
-    return manifest.withColumn("place", F.row_number().over(Window.partitionBy("kind").orderBy("sample", "name")))
+    """Manifest rows (kind, sample, name) with the number under which each kind's files are staged; a kind of any size is
+    numbered by many tasks."""
+    placed = numbering.numbered(manifest, ["sample", "name"], by=["kind"], name="place")
+    return placed.withColumn("place", F.col("place").cast("int"))
 
 
 def sensitivity(samples: DataFrame, floors: list[int], genes: Callable[[int], Column]) -> DataFrame:
@@ -263,9 +265,10 @@ def serial_depletion(reads: DataFrame, stages: dict[str, DataFrame], name: str,
 
 
 def cohort_order(samples: DataFrame, tier: str, counts: list[str], name: str) -> DataFrame:
-    """Samples by strongest tier, then counts, then name, with their place. One row a sample comes to one task: a report."""
+    """Samples by strongest tier, then counts, then name, with their place."""
     order = [F.desc_nulls_last("_t"), *[F.desc_nulls_last(c) for c in counts], F.col(name)]
-    return samples.withColumn("_t", rules.tier_rank(F.col(tier))).withColumn("place", F.row_number().over(Window.orderBy(*order))).drop("_t")
+    placed = numbering.numbered(samples.withColumn("_t", rules.tier_rank(F.col(tier))), order, name="place")
+    return placed.withColumn("place", F.col("place").cast("int")).drop("_t")
 
 
 def joined(on: list[str], *tables: DataFrame) -> DataFrame:

@@ -17,8 +17,10 @@ def largest_overlap(pairs: DataFrame, key: list[str], label: str, bases: str, *,
     return found.select(*key, F.col(f"_low.{label}").alias(label), F.col(f"_high.{bases}").alias(bases), *([alone.alias(mark)] if mark else []))
 
 
-def best_hit(hits: DataFrame, key: list[str], label: str, order: list[Column]) -> DataFrame:
-    """For each key the labels that rank first under ``order``: status assigned with one label, ambiguous with more."""
+def best_hit(hits: DataFrame, key: list[str], label: str, order: list[Column], *, qualifies: Column | None = None) -> DataFrame:
+    """For each key the labels that rank first under ``order``: status assigned with one label, ambiguous with more. Hits that do
+    not qualify (such as those over the greatest E-value) are left out before they are ranked; a key without any is not listed."""
+    hits = hits if qualifies is None else hits.where(qualifies)
     w = Window.partitionBy(*key).orderBy(*order)
     top = hits.withColumn("_r", F.rank().over(w)).where("_r = 1").groupBy(*key).agg(F.countDistinct(label).alias("labels"), F.min(label).alias("_l"))
     return top.select(*key, F.when(F.col("labels") == 1, F.col("_l")).alias(label), "labels", F.when(F.col("labels") == 1, "assigned").otherwise("ambiguous").alias("status"))

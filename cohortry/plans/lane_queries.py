@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortry.functions import scalars as fn
 from cohortry.operators import checks, counting, intervals, lanes, ranking, rules
 from cohortry.plans import adapters as ad
-from cohortry.plans.registry import _assigned, _pairs, oracle_sql, query, r1
+from cohortry.plans.registry import EVIDENCE, TIER, _assigned, _pairs, oracle_sql, query, r1
 
 R = f"WITH {ad.READS}"
 #: Samples are pooled in tens, so that a pool's fragment has several records.
@@ -440,17 +440,26 @@ def a13(spark, d):
     return lanes.species_matrix(counts, [], "species", "gene", LETTERS, "n")
 
 
-@query("a14_combined_support", f"{R}, c AS (SELECT sample_id, contig AS species, part % 19 AS g FROM reads WHERE sample_id < 5) SELECT sample_id, species, " + ", ".join(f"count(*) FILTER (g = {i}) AS {g}" for i, g in enumerate(LETTERS)) + ', count(*) AS "Total" FROM c GROUP BY sample_id, species')
+MATRIX = ", ".join(f"count(*) FILTER (g = {i}) AS {g}" for i, g in enumerate(LETTERS))
+
+
+def _support(spark, d):
+    gene = F.concat(F.lit("clb"), F.chr(65 + F.col("part") % 19))
+    counts = ad.reads(spark, d).groupBy("sample_id", F.col("contig").alias("species"), gene.alias("gene")).agg(F.count(F.lit(1)).alias("n"))
+    return lanes.species_matrix(counts, ["sample_id"], "species", "gene", LETTERS, "n")
+
+
+@query("a14_combined_support", f'{R}, c AS (SELECT sample_id, contig AS species, part % 19 AS g FROM reads) SELECT sample_id, species, {MATRIX}, count(*) AS "Total" FROM c GROUP BY sample_id, species')
 def a14(spark, d):
-    reads = ad.reads(spark, d)
-    tables = []
-    for sample in range(5):
-        counts = reads.where(F.col("sample_id") == sample).groupBy(F.col("contig").alias("species"), F.concat(F.lit("clb"), F.chr(65 + F.col("part") % 19)).alias("gene")).agg(F.count(F.lit(1)).alias("n"))
-        tables.append(lanes.species_matrix(counts, [], "species", "gene", LETTERS, "n").withColumn("sample_id", F.lit(sample).cast("long")))
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
+    reads = ad.reads(spark, d).groupBy("sample_id", F.col("contig").alias("species")).agg(F.count(F.lit(1)).alias("_reads"))
+    united = _support(spark, d).join(reads, ["sample_id", "species"])  # refused if a species' genes do not add up to its reads
+    return checks.passed(united, {"genes do not sum to Total": F.col("Total") != F.col("_reads")}, "support").drop("_reads")
+
+
+@query("v7_gene_totals", f'{R}, c AS (SELECT sample_id, contig AS species, part % 19 AS g FROM reads), m AS (SELECT sample_id, species, {MATRIX}, count(*) + CASE WHEN sample_id % 13 = species THEN 1 ELSE 0 END AS "Total" FROM c GROUP BY sample_id, species) SELECT sample_id, species, "Total" FROM m WHERE {" + ".join(LETTERS)} <> "Total"')
+def v7_genes(spark, d):
+    claimed = F.col("Total") + F.when(F.col("sample_id") % 13 == F.col("species"), 1).otherwise(0)
+    return checks.not_sum(_support(spark, d).withColumn("Total", claimed), LETTERS, "Total").select("sample_id", "species", "Total")
 
 
 @query("v7_row_totals", f"{R}, c AS (SELECT contig AS species, count(*) AS n, count(*) FILTER (part % 19 < 3) AS few FROM reads GROUP BY 1) SELECT species, n AS total FROM c WHERE few + CASE WHEN species % 2 = 0 THEN n - few ELSE 0 END <> n")
@@ -693,12 +702,9 @@ def a27(spark, d):
     return p.groupBy("pool").agg(best.alias("b")).select("pool", "b.*")
 
 
-@query("w13_cohort_order", f"{VARIANTS}, v2 AS (SELECT v.sample_id, t.raw AS tier, v.genes, v.raw AS reads FROM v JOIN t ON t.sample_id = v.sample_id) SELECT sample_id, tier, genes, reads, CAST(row_number() OVER (ORDER BY CASE tier WHEN 'extensive_island' THEN 4 WHEN 'broad_island' THEN 3 WHEN 'multi_gene' THEN 2 WHEN 'localized_indeterminate' THEN 1 ELSE 0 END DESC, genes DESC, reads DESC, sample_id) AS INTEGER) AS place FROM v2")
+@query("w13_cohort_order", f"WITH {EVIDENCE}, t AS (SELECT sample_id, reads, genes, breadth, {TIER} AS tier FROM evidence) SELECT sample_id, tier, genes, reads, breadth, CAST(row_number() OVER (ORDER BY CASE tier WHEN 'extensive_island' THEN 4 WHEN 'broad_island' THEN 3 WHEN 'multi_gene' THEN 2 WHEN 'localized_indeterminate' THEN 1 ELSE 0 END DESC, genes DESC, reads DESC, breadth DESC, sample_id) AS INTEGER) AS place FROM t")
 def w13(spark, d):
-    reads = ad.reads(spark, d).where("mapq >= 35 AND score > 40")
-    n = reads.groupBy("sample_id").agg(F.count(F.lit(1)).alias("reads"), F.countDistinct(F.col("part") % 19).alias("genes"))
-    n = n.withColumn("tier", rules.read_tier(F.col("reads"), F.col("genes"), F.lit(1.0)))
-    return lanes.cohort_order(n, "tier", ["genes", "reads"], "sample_id")
+    return lanes.cohort_order(r1(spark, d), "tier", ["genes", "reads", "breadth"], "sample_id").select("sample_id", "tier", "genes", "reads", "breadth", "place")
 
 
 @query("h12_count_buckets", f"{R} SELECT sample_id, contig, CASE WHEN count(*) FILTER (mapq >= 35) >= 10 THEN 'ten' WHEN count(*) FILTER (mapq >= 35) >= 3 THEN 'three' WHEN count(*) FILTER (mapq >= 35) >= 1 THEN 'one' ELSE 'none' END AS bucket FROM reads GROUP BY ALL")
@@ -721,6 +727,23 @@ def v1(spark, d):
     return checks.malformed(c, "c_mktsegment", "[A-M][A-Z]+").select("c_custkey", F.lit("malformed").alias("problem")).union(repeated)
 
 
+IDS = "ids AS (SELECT CASE WHEN c_custkey % 101 = 0 THEN NULL WHEN c_custkey % 97 = 0 THEN concat('bad id ', c_custkey) WHEN c_custkey % 89 = 0 THEN '-' WHEN c_custkey % 10 = 3 THEN concat('P', c_custkey // 20) ELSE concat('S-', c_custkey, '.a') END AS id FROM customer)"
+
+
+@query("v1_id_problems", f"WITH {IDS}, n AS (SELECT id AS value, count(*) AS rows FROM ids GROUP BY id) SELECT * FROM (SELECT value, rows, concat_ws(';', CASE WHEN NOT coalesce(regexp_full_match(value, '[A-Za-z0-9][A-Za-z0-9._-]*'), FALSE) THEN 'malformed' END, CASE WHEN rows > 1 THEN 'repeated' END) AS problems FROM n) AS x WHERE problems <> ''")
+def v1_ids(spark, d):
+    k = F.col("c_custkey")
+    made = F.when(k % 101 == 0, None).when(k % 97 == 0, F.concat(F.lit("bad id "), k.cast("string"))).when(k % 89 == 0, "-").when(k % 10 == 3, F.concat(F.lit("P"), F.floor(k / 20).cast("string"))).otherwise(F.concat(F.lit("S-"), k.cast("string"), F.lit(".a")))
+    return checks.id_problems(ad.table(spark, d, "customer").select(made.alias("id")), "id", "[A-Za-z0-9][A-Za-z0-9._-]*")
+
+
+@query("v5_broken_rules", f"{CHAINS}, r AS (SELECT sample_id, unnest([CASE WHEN island > passed THEN 'island>passed' END, CASE WHEN passed > mapped THEN 'passed>mapped' END, CASE WHEN genes NOT BETWEEN 0 AND 18 THEN 'genes' END, CASE WHEN passed IS NULL THEN 'passed is missing' END]) AS rule FROM q) SELECT * FROM r WHERE rule IS NOT NULL")
+def v5_rules(spark, d):
+    c = F.col
+    rules_ = {"island>passed": c("island") > c("passed"), "passed>mapped": c("passed") > c("mapped"), "genes": ~c("genes").between(0, 18), "passed is missing": c("passed").isNull()}
+    return checks.broken_rules(_chain(spark, d), ["sample_id"], rules_)
+
+
 @query("j6_without_bins", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 20 = 0)")
 def j6(spark, d):
     bins = ad.table(spark, d, "orders").where("o_orderkey % 20 = 0").select(F.col("o_custkey").alias("c_custkey"))

@@ -143,6 +143,12 @@ def w3(spark, d):
     return ranking.best_hit(hits, ["fragment_id"], "gene", [F.col("mapq"), F.col("score").desc(), F.col("len").desc()])
 
 
+@query("w3_qualifying_hits", f"WITH {ad.READS}, h AS (SELECT fragment_id, part % 19 AS gene, mapq AS e, score, \"end\" - start AS len FROM reads WHERE mapq <= 20), t AS (SELECT *, rank() OVER (PARTITION BY fragment_id ORDER BY e, score DESC, len DESC) AS k FROM h) SELECT fragment_id, CASE WHEN count(DISTINCT gene) = 1 THEN min(gene) END AS gene, count(DISTINCT gene) AS labels, CASE WHEN count(DISTINCT gene) = 1 THEN 'assigned' ELSE 'ambiguous' END AS status FROM t WHERE k = 1 GROUP BY fragment_id")
+def w3_qualifying(spark, d):
+    hits = ad.reads(spark, d).select("fragment_id", (F.col("part") % 19).alias("gene"), "mapq", "score", (F.col("end") - F.col("start")).alias("len"))
+    return ranking.best_hit(hits, ["fragment_id"], "gene", [F.col("mapq"), F.col("score").desc(), F.col("len").desc()], qualifies=F.col("mapq") <= 20)
+
+
 @query("w4_first_best_gene", f"WITH {ad.READS} SELECT fragment_id, min_by(part % 19, struct_pack(e := mapq, o := ordinal)) AS gene FROM reads GROUP BY fragment_id")
 def w4(spark, d):
     return ad.reads(spark, d).groupBy("fragment_id").agg(F.min_by(F.col("part") % 19, F.struct("mapq", "ordinal")).alias("gene"))
@@ -310,6 +316,29 @@ def j28(spark, d):
     return hit.groupBy("sample_id").agg(F.count(F.lit(1)).alias("on_target"))
 
 
+TWICE = f"{ad.READS}, twice AS (SELECT * FROM reads UNION ALL SELECT * FROM reads WHERE mapq >= 30)"
+
+
+def _twice(spark, d):
+    reads = ad.reads(spark, d)
+    return reads.unionByName(reads.where("mapq >= 30"))
+
+
+@query("j28_repeated_records", f"WITH {TWICE} SELECT sample_id, count(*) AS on_target FROM twice WHERE (start < 9000 AND \"end\" > 8000) OR (start < 20500 AND \"end\" > 20000) GROUP BY sample_id")
+def j28_repeated(spark, d):
+    targets = spark.createDataFrame([(0, 8_000, 9_000), (0, 20_000, 20_500)], "island int, r_start long, r_end long")
+    hit = intervals.overlap_join(_twice(spark, d).withColumn("island", F.lit(0)), targets, ["island"], how="left_semi")
+    return hit.groupBy("sample_id").agg(F.count(F.lit(1)).alias("on_target"))
+
+
+@query("j12_repeated_records", f"WITH {TWICE} SELECT s_suppkey AS sample_id, count(*) AS pairs, CAST(sum(least(\"end\", a + 1000) - greatest(start, a)) AS BIGINT) AS bases FROM twice JOIN (SELECT s_suppkey, (s_suppkey * 7919) % 50000 AS a FROM supplier) AS s ON s_suppkey = sample_id AND start < a + 1000 AND \"end\" > a GROUP BY 1")
+def j12_repeated(spark, d):
+    anchors = ad.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample_id"), ((F.col("s_suppkey") * 7919) % 50_000).alias("r_start")).withColumn("r_end", F.col("r_start") + 1_000)
+    met = intervals.overlap_join(_twice(spark, d).select("sample_id", "start", "end"), anchors, ["sample_id"])
+    bases = intervals.overlap_bases(F.col("start"), F.col("end"), F.col("r_start"), F.col("r_end"))
+    return met.groupBy("sample_id").agg(F.count(F.lit(1)).alias("pairs"), F.sum(bases).cast("long").alias("bases"))
+
+
 @query("a11_category_rollup", "SELECT p_brand AS category, count(*) AS sequences, CAST(sum(p_size) AS BIGINT) AS bases FROM part GROUP BY p_brand UNION ALL SELECT 'total', count(*), CAST(sum(p_size) AS BIGINT) FROM part")
 def a11(spark, d):
     p = ad.table(spark, d, "part").rollup("p_brand").agg(F.count(F.lit(1)).alias("sequences"), F.sum("p_size").cast("long").alias("bases"))

@@ -147,3 +147,26 @@ AUDITS = [("multi_gene", "positive"), ("extensive_island", "positive"), ("locali
 def j24b(spark, d):
     assert set(POSITIVE) == {name for name, *_ in rules.TIERS}
     return over(spark, d, AUDITS, ["string"], rules.audit_reason)
+
+
+#: Numbers as tables have them, made of the parts' columns.
+TEXTS = """t AS (SELECT p_partkey, CASE p_partkey % 9 WHEN 0 THEN CAST(p_size AS VARCHAR) WHEN 1 THEN concat(' -', p_size, ' ') WHEN 2 THEN concat(p_size, '.', p_partkey % 100) WHEN 3 THEN concat(p_size, 'e', p_partkey % 4) WHEN 4 THEN 'NA' WHEN 5 THEN concat(p_size, '_000') WHEN 6 THEN concat(p_size, '_') WHEN 7 THEN p_brand END AS text FROM part)"""
+
+
+@query("p24_or_zero", f"WITH {TEXTS} SELECT p_partkey, CASE WHEN regexp_full_match(trim(text), '[+-]?[0-9]+(_[0-9]+)*') THEN CAST(replace(trim(text), '_', '') AS BIGINT) ELSE 0 END AS whole, CASE WHEN regexp_full_match(trim(text), '[+-]?[0-9]+(_[0-9]+)*([.][0-9]+)?(e[0-9]+)?') THEN CAST(replace(trim(text), '_', '') AS DOUBLE) ELSE 0 END AS number FROM t")
+def p24_or_zero(spark, d):
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    kinds = [size, F.concat(F.lit(" -"), size, F.lit(" ")), F.concat(size, F.lit("."), (k % 100).cast("string")), F.concat(size, F.lit("e"), (k % 4).cast("string")), F.lit("NA"), F.concat(size, F.lit("_000")), F.concat(size, F.lit("_")), F.col("p_brand")]
+    text = F.get(F.array(*kinds), (k % 9).cast("int"))
+    return ad.table(spark, d, "part").select("p_partkey", fn.int_or_zero(text).alias("whole"), fn.float_or_zero(text).alias("number"))
+
+
+@query("p19_min_score", """WITH c AS (SELECT p_partkey, p_size AS n, CASE p_partkey % 7 WHEN 0 THEN concat('bwa mem -t 8 -T ', p_size, ' ref.fa') WHEN 1 THEN concat('/opt/bin/bwa-mem2 mem -T', p_size, ' ref.fa') WHEN 2 THEN concat('sentieon bwa mem -R ', p_brand, ' ref.fa') WHEN 3 THEN concat('bwa mem -T ', p_brand) WHEN 4 THEN concat('bwa aln -T ', p_size) WHEN 5 THEN concat('bwa mem ref.fa -T -', p_size, ' -T 3') ELSE 'minimap2 -x sr' END AS cl FROM part)
+SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN regexp_extract(cl, '-T (\\d+)', 1) WHEN 1 THEN regexp_extract(cl, '-T(\\d+)', 1) WHEN 2 THEN 'default' WHEN 3 THEN 'unparsed' WHEN 5 THEN regexp_extract(cl, '-T (-\\d+)', 1) END AS score FROM c""")
+def p19_min_score(spark, d):
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    lines = [
+        F.concat(F.lit("bwa mem -t 8 -T "), size, F.lit(" ref.fa")), F.concat(F.lit("/opt/bin/bwa-mem2 mem -T"), size, F.lit(" ref.fa")), F.concat(F.lit("sentieon bwa mem -R "), "p_brand", F.lit(" ref.fa")), F.concat(F.lit("bwa mem -T "), "p_brand"),
+        F.concat(F.lit("bwa aln -T "), size), F.concat(F.lit("bwa mem ref.fa -T -"), size, F.lit(" -T 3")), F.lit("minimap2 -x sr"),
+    ]
+    return ad.table(spark, d, "part").select("p_partkey", fn.bwa_min_score(F.get(F.array(*lines), (k % 7).cast("int"))).alias("score"))
