@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortry.sources.records import WHOLE_FILE, file_digests
 from cohortry.sources.text_tables import KRAKEN, numbered_lines, tsv
 
 #: Rank names of a taxonomy dump; the column that holds them is found by them.
@@ -186,12 +187,9 @@ def run_parameters(spark: SparkSession, path: str, names: list[str]) -> DataFram
     return whole.select("file", *[F.when(node.isNotNull(), F.get_json_object(node, f"$.{n}")).otherwise(line(n)).alias(n) for n in names])
 
 
-def output_digests(spark: SparkSession, path: str, largest: int = 256 << 20) -> DataFrame:
-    """path, bytes and sha256 of the files below a folder; of files larger than ``largest`` the digest is null. Contents are
-    read only for the smaller ones."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    small = files.where(F.col("length") <= largest).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-    return small.unionByName(files.where(F.col("length") > largest).select("path", F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256")))
+def output_digests(spark: SparkSession, path: str, largest: int = WHOLE_FILE) -> DataFrame:
+    """path, bytes and sha256 of the files below a folder; files larger than ``largest`` are streamed (``records.file_digests``)."""
+    return file_digests(spark, path, largest)
 
 
 def publish(df: DataFrame, path: str, by: str = "sample") -> None:

@@ -114,9 +114,9 @@ def fastq(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """name, header and sequence of each record."""
+    """name, header and sequence of each record, whatever its lines end with."""
     records = spark.read.text(path, lineSep="\n>").where(F.trim("value") != "")
-    header = F.regexp_replace(F.split("value", "\n", 2)[0], "^>", "")
+    header = F.regexp_replace(F.split("value", "\n", 2)[0], "^>|\r$", "")
     return records.select(F.split(header, r"\s+")[0].alias("name"), header.alias("header"), F.regexp_replace(F.get(F.split("value", "\n", 2), F.lit(1)), r"\s", "").alias("seq"))
 
 
