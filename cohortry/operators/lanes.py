@@ -271,6 +271,14 @@ def cohort_order(samples: DataFrame, tier: str, counts: list[str], name: str) ->
     return placed.withColumn("place", F.col("place").cast("int")).drop("_t")
 
 
+def audited(samples: DataFrame, tier: str, by: list[str], name: str, negatives: int, seed: str) -> DataFrame:
+    """Samples to audit with the reason: all positive and near-miss ones, and of the clean negatives of each group so many, drawn in
+    the order of a digest of name and seed, all if there are fewer."""
+    reasoned = samples.withColumn("reason", rules.audit_reason(F.col(tier)))
+    drawn = ranking.hashed_sample(reasoned.where(F.col(tier) == "negative"), by, name, seed, negatives).withColumn("reason", F.lit("clean_negative"))
+    return reasoned.where("reason IS NOT NULL").unionByName(drawn)
+
+
 def joined(on: list[str], *tables: DataFrame) -> DataFrame:
     """Samples that all tables have."""
     return reduce(lambda a, b: a.join(b, on), tables)

@@ -8,6 +8,7 @@ from cohortry.functions import scalars as fn
 from cohortry.operators import checks, counting, intervals, lanes, ranking, rules
 from cohortry.plans import adapters as ad
 from cohortry.plans.registry import EVIDENCE, TIER, _assigned, _pairs, oracle_sql, query, r1
+from cohortry.sources import records
 
 R = f"WITH {ad.READS}"
 #: Samples are pooled in tens, so that a pool's fragment has several records.
@@ -177,18 +178,24 @@ def a30(spark, d):
 # --- bins: a bin is a sample's contig; its genes are part % 19 with two reads at least
 
 GENE = "concat('clb', chr(CAST(65 + part % 19 AS INTEGER)))"
-BINS = f"""{POOLED}, bg AS (SELECT pool, contig AS bin, {GENE} AS gene FROM pooled WHERE mapq >= 30 AND sample_id < 40 GROUP BY ALL HAVING count(*) >= 2), bs AS (SELECT pool, bin, list_sort(list(gene)) AS genes FROM bg GROUP BY ALL),
-be AS (SELECT pool, contig AS bin, count(*) AS n, count(*) FILTER (score = 50) AS prophages, bool_or(nm = 10) AS protected, bool_or(part % 5 = 0) AS rec_a, bool_or(part % 7 = 0) AS lex_a FROM pooled WHERE sample_id < 40 GROUP BY ALL),
-b AS (SELECT be.*, coalesce(genes, []) AS genes, CASE WHEN n >= 60 THEN 'broad_island' WHEN n >= 20 THEN 'multi_gene' WHEN n > 0 THEN 'localized_indeterminate' ELSE 'negative' END AS tier FROM be LEFT JOIN bs ON bs.pool = be.pool AND bs.bin = be.bin)"""
+#: A bin is one sample's contig; the pool is the sample itself.
+ALONE = f"{ad.READS}, pooled AS (SELECT *, sample_id AS pool FROM reads)"
+BINS = f"""{ALONE}, bg AS (SELECT pool, contig AS bin, {GENE} AS gene FROM pooled WHERE mapq >= 30 GROUP BY ALL HAVING count(*) >= 2), bs AS (SELECT pool, bin, list_sort(list(gene)) AS genes FROM bg GROUP BY ALL),
+be AS (SELECT pool, contig AS bin, count(*) AS n, count(*) FILTER (score = 50) AS prophages, bool_or(nm = 10) AS protected, bool_or(part % 5 = 0) AS rec_a, bool_or(part % 7 = 0) AS lex_a FROM pooled GROUP BY ALL),
+b AS (SELECT be.*, coalesce(genes, []) AS genes, CASE WHEN n >= 92 THEN 'broad_island' WHEN n >= 84 THEN 'multi_gene' WHEN n > 0 THEN 'localized_indeterminate' ELSE 'negative' END AS tier FROM be LEFT JOIN bs ON bs.pool = be.pool AND bs.bin = be.bin)"""
 POSITIVE = [name for name, *_ in rules.TIERS]
 
 
+def _alone(spark, d):
+    return ad.reads(spark, d).withColumn("pool", F.col("sample_id"))
+
+
 def _bins(spark, d):
-    few = pooled(spark, d).where("sample_id < 40")
+    few = _alone(spark, d)
     gene = F.concat(F.lit("clb"), F.chr(65 + F.col("part") % 19))
     genes = few.where("mapq >= 30").groupBy("pool", F.col("contig").alias("bin"), gene.alias("gene")).count().where("count >= 2").groupBy("pool", "bin").agg(F.array_sort(F.collect_set("gene")).alias("genes"))
     each = few.groupBy("pool", F.col("contig").alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("score") == 50).alias("prophages"), F.bool_or(F.col("nm") == 10).alias("protected"), F.bool_or(F.col("part") % 5 == 0).alias("rec_a"), F.bool_or(F.col("part") % 7 == 0).alias("lex_a"))
-    tier = rules.cascade([(F.col("n") >= 60, "broad_island"), (F.col("n") >= 20, "multi_gene"), (F.col("n") > 0, "localized_indeterminate")], "negative")
+    tier = rules.cascade([(F.col("n") >= 92, "broad_island"), (F.col("n") >= 84, "multi_gene"), (F.col("n") > 0, "localized_indeterminate")], "negative")
     return each.join(genes, ["pool", "bin"], "left").withColumns({"genes": F.coalesce("genes", F.array().cast("array<string>")), "tier": tier})
 
 
@@ -535,17 +542,35 @@ def h11(spark, d):
     return c.withColumn("status", rules.panel_admission(F.col("coverage"), F.col("role")))
 
 
-@query("h13_prophage_regions", f"WITH {BINS}, i AS (SELECT pool, contig AS bin, count(*) AS regions FROM pooled WHERE score = 50 AND sample_id < 40 GROUP BY ALL) SELECT b.pool, b.bin, CASE WHEN b.bin = 6 THEN 'unbinned' ELSE 'bin' END AS unit, CASE WHEN n % 4 > 0 THEN CAST(n % 100 AS DOUBLE) END AS completeness, coalesce(regions, 0) AS regions FROM b LEFT JOIN i ON i.pool = b.pool AND i.bin = b.bin")
+CLUSTERS = """clusters AS (SELECT p_partkey, concat('LOCUS ', p_brand, ' ', p_type, CASE p_partkey % 8 WHEN 0 THEN ' NRPS' WHEN 1 THEN ' a polyketide synthase' WHEN 2 THEN ' T1PKS clbB' WHEN 3 THEN ' transAT' WHEN 4 THEN ' Colibactin, nonribosomal' WHEN 5 THEN ' clbZ PKS' WHEN 6 THEN ' NRPSlike' ELSE ' terpene' END) AS text, p_size * 220 AS length FROM part)"""
+
+
+@query("h11_cluster_status", f"WITH {CLUSTERS} SELECT p_partkey, CASE WHEN regexp_matches(text, '(?i)colibactin|\\bclb[A-S]\\b') THEN 'own_cluster' WHEN NOT regexp_matches(text, '(?i)\\bNRPS\\b|nonribosomal|polyketide|\\bPKS\\b|\\bT1PKS\\b|transAT') THEN 'other_class' WHEN length < 5000 THEN 'too_short' ELSE 'kept' END AS status FROM clusters")
+def h11_clusters(spark, d):
+    ends = F.array(*[F.lit(x) for x in (" NRPS", " a polyketide synthase", " T1PKS clbB", " transAT", " Colibactin, nonribosomal", " clbZ PKS", " NRPSlike", " terpene")])
+    text = F.concat(F.lit("LOCUS "), "p_brand", F.lit(" "), "p_type", F.get(ends, (F.col("p_partkey") % 8).cast("int")))
+    return ad.table(spark, d, "part").select("p_partkey", records.cluster_status(text, F.col("p_size") * 220).alias("status"))
+
+
+@query("j24_audit_draw", "WITH n AS (SELECT c_custkey, c_nationkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL), t AS (SELECT *, CASE WHEN n = 0 THEN 'negative' WHEN n >= 20 THEN 'multi_gene' WHEN n >= 5 THEN 'localized_indeterminate' ELSE 'untiered' END AS tier FROM n), d AS (SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY md5(concat(c_custkey, '42')), c_custkey) AS r FROM t WHERE tier = 'negative') SELECT c_custkey, CASE WHEN tier = 'multi_gene' THEN 'positive' ELSE 'near_miss' END AS reason FROM t WHERE tier IN ('multi_gene', 'localized_indeterminate') UNION ALL SELECT c_custkey, 'clean_negative' FROM d WHERE r <= 3")
+def j24_draw(spark, d):
+    orders = ad.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
+    t = ad.table(spark, d, "customer").select("c_custkey", "c_nationkey").join(orders, "c_custkey", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    t = t.withColumn("tier", rules.cascade([(F.col("n") == 0, "negative"), (F.col("n") >= 20, "multi_gene"), (F.col("n") >= 5, "localized_indeterminate")], "untiered"))
+    return lanes.audited(t, "tier", ["c_nationkey"], "c_custkey", 3, "42").select("c_custkey", "reason")
+
+
+@query("h13_prophage_regions", f"WITH {BINS}, i AS (SELECT pool, contig AS bin, count(*) AS regions FROM pooled WHERE score = 50 GROUP BY ALL) SELECT b.pool, b.bin, CASE WHEN b.bin = 6 THEN 'unbinned' ELSE 'bin' END AS unit, CASE WHEN n % 4 > 0 THEN CAST(n % 100 AS DOUBLE) END AS completeness, coalesce(regions, 0) AS regions FROM b LEFT JOIN i ON i.pool = b.pool AND i.bin = b.bin")
 def h13(spark, d):
     b = _bins(spark, d)
-    regions = pooled(spark, d).where("score = 50 AND sample_id < 40").groupBy("pool", F.col("contig").alias("bin")).agg(F.count(F.lit(1)).alias("regions"))
+    regions = _alone(spark, d).where("score = 50").groupBy("pool", F.col("contig").alias("bin")).agg(F.count(F.lit(1)).alias("regions"))
     met = b.join(regions, ["pool", "bin"], "left")
     return met.select("pool", "bin", F.when(F.col("bin") == 6, "unbinned").otherwise("bin").alias("unit"), F.when(F.col("n") % 4 > 0, (F.col("n") % 100).cast("double")).alias("completeness"), F.coalesce("regions", F.lit(0).cast("long")).alias("regions"))
 
 
-@query("h15_length_guard", "SELECT p_partkey AS name, p_size AS length FROM part WHERE p_partkey % 10 = 0 AND p_size <> p_partkey % 50 + 1")
+@query("h15_length_guard", "SELECT p_partkey AS name, p_size AS length FROM part WHERE p_size <> p_partkey % 50 + 1")
 def h15(spark, d):
-    p = ad.table(spark, d, "part").where("p_partkey % 10 = 0")
+    p = ad.table(spark, d, "part")
     here, there = p.select(F.col("p_partkey").alias("name"), F.col("p_size").alias("length")), p.select(F.col("p_partkey").alias("name"), (F.col("p_partkey") % 50 + 1).cast("int").alias("length"))
     return checks.disagreeing(here, there, ["name"], "length").select("name", F.col("one").alias("length"))
 
@@ -811,9 +836,9 @@ def a33(spark, d):
 _sql = oracle_sql()
 
 
-@query("a28_community_counts", f"WITH x AS ({_sql['j15_interactions']}), f AS (SELECT pool, bool_or(nm = 10) AS integrase, bool_or(nm = 9) AS trna FROM (WITH {POOLED} SELECT * FROM pooled) AS y WHERE sample_id < 40 AND score = 50 GROUP BY pool) SELECT f.pool, count(DISTINCT producer) AS producers, count(producer) AS assessed, count(*) FILTER (prophages > 1) AS with_prophages, any_value(integrase) AS integrase, any_value(trna) AS trna FROM f LEFT JOIN x ON x.pool = f.pool GROUP BY f.pool")
+@query("a28_community_counts", f"WITH x AS ({_sql['j15_interactions']}), f AS (SELECT pool, bool_or(nm = 10) AS integrase, bool_or(nm = 9) AS trna FROM (WITH {ALONE} SELECT * FROM pooled) AS y WHERE score = 50 GROUP BY pool) SELECT f.pool, count(DISTINCT producer) AS producers, count(producer) AS assessed, count(*) FILTER (prophages > 1) AS with_prophages, any_value(integrase) AS integrase, any_value(trna) AS trna FROM f LEFT JOIN x ON x.pool = f.pool GROUP BY f.pool")
 def a28(spark, d):
-    flags = pooled(spark, d).where("sample_id < 40 AND score = 50").groupBy("pool").agg(F.bool_or(F.col("nm") == 10).alias("integrase"), F.bool_or(F.col("nm") == 9).alias("trna"))
+    flags = _alone(spark, d).where("score = 50").groupBy("pool").agg(F.bool_or(F.col("nm") == 10).alias("integrase"), F.bool_or(F.col("nm") == 9).alias("trna"))
     return lanes.community_counts(flags, j15(spark, d), ["pool"], least=2)
 
 
