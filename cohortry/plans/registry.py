@@ -419,4 +419,4 @@ def set_except(spark, d):
     return ad.table(spark, d, "part").select(F.col("p_partkey").alias("key")).subtract(ad.table(spark, d, "lineitem").where("l_quantity > 45").select("l_partkey"))
 
 
-from cohortry.plans import cohort_queries, cohort_summary, lane_queries, scalar_queries  # noqa: E402, F401  they register their queries
+from cohortry.plans import cohort_queries, cohort_summary, column_queries, lane_queries, scalar_queries  # noqa: E402, F401  they register their queries
