@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortry.functions import scalars as fn
 from cohortry.operators import checks, counting, intervals, lanes, ranking, rules
 from cohortry.plans import adapters as ad
-from cohortry.plans.registry import EVIDENCE, TIER, _assigned, _pairs, oracle_sql, query, r1
+from cohortry.plans.registry import _ORACLE, EVIDENCE, TIER, _assigned, _pairs, query, r1
 from cohortry.sources import records
 
 R = f"WITH {ad.READS}"
@@ -833,7 +833,7 @@ def a33(spark, d):
     return lanes.counts_by_section(ad.table(spark, d, "orders"), sections)
 
 
-_sql = oracle_sql()
+_sql = dict(_ORACLE)
 
 
 @query("a28_community_counts", f"WITH x AS ({_sql['j15_interactions']}), f AS (SELECT pool, bool_or(nm = 10) AS integrase, bool_or(nm = 9) AS trna FROM (WITH {ALONE} SELECT * FROM pooled) AS y WHERE score = 50 GROUP BY pool) SELECT f.pool, count(DISTINCT producer) AS producers, count(producer) AS assessed, count(*) FILTER (prophages > 1) AS with_prophages, any_value(integrase) AS integrase, any_value(trna) AS trna FROM f LEFT JOIN x ON x.pool = f.pool GROUP BY f.pool")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +25,22 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+#: Modules whose queries are registered as they are imported.
+MODULES = ("cohort_queries", "lane_queries", "scalar_queries", "cohort_summary", "column_queries")
+
+
+def _load() -> None:
+    for name in MODULES:
+        import_module(f"cohortry.plans.{name}")
+
+
 def queries() -> dict:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_ORACLE)
 
 
@@ -417,6 +430,3 @@ def set_intersect(spark, d):
 @query("set_key_except", "SELECT p_partkey AS key FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 45")
 def set_except(spark, d):
     return ad.table(spark, d, "part").select(F.col("p_partkey").alias("key")).subtract(ad.table(spark, d, "lineitem").where("l_quantity > 45").select("l_partkey"))
-
-
-from cohortry.plans import cohort_queries, cohort_summary, column_queries, lane_queries, scalar_queries  # noqa: E402, F401  they register their queries
