@@ -16,8 +16,8 @@ GAP = r"[\x20\x09-\x0D]"
 FIT_ROWS = 20_000
 BINS = 32
 MAX_RULES, MAX_CONDITIONS = 8, 3
-#: A rule must be right this often, and cover so many rows, on rows that it was not grown on.
-MIN_PRECISION, MIN_COVER = 0.9, 10
+#: On rows that it was not grown on, a rule must be right this often, and surely right (``surely``) this often.
+MIN_PRECISION, MIN_SURE = 0.9, 0.7
 FEATURES = ["symbol_share", "upper_share", "digit_share", "repeat_share", "stutter_share", "dup_line_share", "word_length", "n_words"]
 
 
@@ -79,6 +79,14 @@ class Rule:
         return " and ".join(f"{n} {'>' if a else '<='} {t:.4g}" for n, a, t in self.conditions) + f" (precision {self.precision:.3f}, covers {self.covered})"
 
 
+def surely(right: int, covered: int, z: float = 1.645) -> float:
+    """The lower end of the one-sided 95 % Wilson interval of a share: what few rows can show, and many show better."""
+    if not covered:
+        return 0.0
+    p, w = right / covered, z * z / covered
+    return (p + w / 2 - z * math.sqrt(p * (1 - p) / covered + w / covered / 4)) / (1 + w)
+
+
 def _condition(edges: dict, name: str, above: bool, cut: int) -> Column:
     return F.col(name) > cut if above else F.col(name) <= cut
 
@@ -133,6 +141,7 @@ def _prune(rows: DataFrame, edges: dict, rule: list) -> tuple[list, float, int]:
 def learn_rules(labelled: DataFrame) -> list[Rule]:
     """An ordered list of rules for label 0 over FEATURES, learned from rows of FEATURES, ``label`` and ``part``.
 
+    A rule that held-back rows do not bear out is tried again without the feature that it began with, until no feature is left.
     ``part`` 0 and 1 grow rules, 2 prunes and accepts them. Each rule sees what the ones before left. Every step gets its
     statistics, sums by feature and bin, from Spark; only those come to the driver. No rows or one label give no rules.
     """
@@ -141,13 +150,16 @@ def learn_rules(labelled: DataFrame) -> list[Rule]:
         return []
     left = staged(binned(labelled, edges, ["label", "part"]), "labelled")
     rules: list[Rule] = []
+    starts = dict(edges)
     while len(rules) < MAX_RULES:
-        grown = _grow(left.where("part < 2"), edges)
+        grown = _grow(left.where("part < 2"), starts)
         if not grown:
             break
         kept, precision, covered = _prune(left.where("part = 2"), edges, grown)
-        if precision < MIN_PRECISION or covered < MIN_COVER:
-            break
+        if precision < MIN_PRECISION or surely(round(precision * covered), covered) < MIN_SURE:
+            del starts[grown[0][0]]  # the next best start, without the feature that this one began with
+            continue
+        starts = dict(edges)
         rules.append(Rule([(name, above, edges[name][cut]) for name, above, cut in kept], precision, covered))
         held = F.lit(True)
         for c in kept:
@@ -190,7 +202,8 @@ def quality_rules(df: DataFrame, rules: list[Rule], text: str = "text") -> DataF
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = fitted_rules(docs, table(spark, sf_dir, "labels"))
-    return quality_rules(docs, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    made = quality_rules(docs, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+    return made.withColumn("n_rules", F.lit(len(rules)).cast("long"))  # 0: nothing could be learned from the labels, and the base rules decide
 
 
 QUERIES = {"op3_quality_rules": op3_quality_rules}
