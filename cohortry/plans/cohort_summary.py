@@ -264,7 +264,7 @@ def j21(spark, d):
     return summary_of(spark, d)
 
 
-@query("a24_recomputed", f"WITH {FACTS} SELECT sample_id, evaluated, measured, survived, retention, low_bound AS low, recomputed_genes, recomputed_breadth, recomputed_tier, CAST(tier_drop AS INTEGER) AS tier_drop, locus_specificity FROM rec3")
+@query("a24_recomputed", f"WITH {FACTS} SELECT sample_id, evaluated, measured, survived, retention, low_bound AS low, CAST(recomputed_genes AS BIGINT) AS recomputed_genes, recomputed_breadth, recomputed_tier, CAST(tier_drop AS INTEGER) AS tier_drop, locus_specificity FROM rec3")
 def a24(spark, d):
     out = evidence_of(read_facts(spark, d, "fragment", "position"))
     names = ["evaluated", "measured", "survived", "retention", "low", "recomputed_genes", "recomputed_breadth", "recomputed_tier", "tier_drop", "locus_specificity"]

@@ -31,7 +31,7 @@ def p1(spark, d):
 STEPS = """c AS (SELECT l_orderkey, l_linenumber, l_linenumber % 3 AS h, l_linenumber % 4 * 5 AS s, CAST(l_quantity AS BIGINT) AS m1, CAST(round(l_discount * 100) AS BIGINT) AS i, l_suppkey % 90 + 1 AS m2, CAST(round(l_tax * 100) AS BIGINT) AS d, l_partkey % 7 AS e, l_partkey % 11 AS n, CASE WHEN l_shipdate < DATE '1994-01-01' THEN 4 ELSE 0 END AS t FROM lineitem)"""
 
 
-@query("p6_cigars_of_columns", f"WITH {STEPS} SELECT l_orderkey, l_linenumber, m1 + i + m2 + d + e AS columns, s + m1 + i + m2 + e + t + h AS length, m1 + m2 + d + n + e AS span, h + s AS leading, t AS trailing FROM c")
+@query("p6_cigars_of_columns", f"WITH {STEPS} SELECT l_orderkey, l_linenumber, m1 + i + m2 + d + e AS columns, s + m1 + i + m2 + e + t + h AS length, m1 + m2 + d + n + e AS span, CAST(h + s AS BIGINT) AS leading, CAST(t AS BIGINT) AS trailing FROM c")
 def p6(spark, d):
     li = ad.table(spark, d, "lineitem")
     whole = lambda c: F.round(F.col(c) * 100).cast("long")
