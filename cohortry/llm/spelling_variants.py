@@ -18,8 +18,8 @@ from cohortry.llm.common import ascii_lower, crc32_sql, staged, table
 SHARD_WORDS, SHARD_CHARS = 65_536, 1 << 20
 #: Bytes of packed shards that are broadcast at a time; further ones follow in further waves.
 WAVE_BYTES = 16 << 20
-#: Words whose automata run side by side.
-AUTOMATA = 1024
+#: Words whose automata run side by side, and words that a task is dealt.
+AUTOMATA, TASK_WORDS = 1024, 16_384
 #: A form occurs at least so many times as often as the word.
 RATIO = 10
 
@@ -213,7 +213,8 @@ def near_forms(words: DataFrame) -> DataFrame:
             held = 0
         waves[-1].append(least)
         held += size
-    found = None
+    found, parts = None, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // TASK_WORDS))
+    asked = words.select("word").repartitionByRange(parts, "word")  # neighbours in order walk the same nodes
     for wave in waves:
         chosen = made.where(F.col("least").between(wave[0], wave[-1])) if wave else made
         sent = spark.sparkContext.broadcast([bytes(r.trie) for r in chosen.select("trie").collect()])
@@ -229,7 +230,7 @@ def near_forms(words: DataFrame) -> DataFrame:
                 some = np.nonzero(near)[0]
                 yield pa.RecordBatch.from_arrays([batch.column("word").take(pa.array(some)), pa.array(near[some]), pa.array(most[some]), pa.array([best[i] for i in some], pa.string())], ["word", "near", "most", "best"])
 
-        part = staged(words.select("word").mapInArrow(run, "word string, near long, most long, best string"), "near")
+        part = staged(asked.mapInArrow(run, "word string, near long, most long, best string"), "near")
         sent.destroy()
         found = part if found is None else found.unionByName(part)
     return found
