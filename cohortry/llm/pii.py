@@ -33,7 +33,7 @@ GENERATORS = [
 #: Characters that a text must have for a pattern to be tried.
 NEEDS = {"email": r"@|at[)\]]", "ip": r"[0-9]\[?[.,:]", "card": "[0-9]", "phone": "[0-9]"}
 FEATURES = ["kind", "length", "digits", "letters", "dots", "spaces", "dashes", "brackets", "others", "longest_digits", "groups", "luhn", "octets", "left", "right"]
-#: Forms that the base patterns miss, by kind: (pattern, replacement) in turn. Base spans of the fitting sample are written
+#: Forms that the base patterns miss, by kind: (pattern, replacement) in turn. Base spans of the texts that are fitted on are written
 #: in one of these, or left as they are.
 FORMS = {
     "email": [[("@", " (at) ")], [("@", "[at]")], [("@", " @ ")], [("@", "(at)"), (r"\.(?=[^.]*$)", " [dot] ")]],
@@ -41,8 +41,6 @@ FORMS = {
     "card": [[("[^0-9]", ""), ("([0-9]{4})(?=[0-9])", "$1.")], [("[^0-9]", ""), ("([0-9]{4})(?=[0-9])", "$1/")], [("[^0-9]", ""), ("([0-9]{4})(?=[0-9])", "$1  ")]],
     "phone": [[(r"^\+", "")], [(r"^\+[0-9]+[^0-9]+", "")], [(r"[^0-9]+", "."), (r"^\.", "")], [(r"[^0-9+]+", " / ")]],
 }
-#: Documents whose candidates the trees are fitted on, by hash of their id; all if there are fewer.
-FIT_DOCS = 20_000
 ROUNDS = 12
 #: Held-out candidates above a kind's threshold must be right this often, and be so many.
 MIN_PRECISION, MIN_HELD_OUT = 0.98, 20
@@ -175,15 +173,13 @@ class Selector:
     thresholds: dict[int, float] = field(default_factory=dict)
 
 
-def fit_selector(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", fit_docs: int = FIT_DOCS) -> Selector:
-    """Trees fitted on the candidates of up to ``fit_docs`` documents, thresholds calibrated on a third of these documents
-    that no tree has seen. The labels: in these texts, the checked base spans are first written in forms that the base
-    patterns miss; a candidate that such a span covers is right, all others are not. So what is selected is what looks like
+def fit_selector(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> Selector:
+    """Trees fitted on the candidates of two thirds of all documents, thresholds calibrated on those of the other third, which
+    no tree has seen. The labels: in these texts, the checked base spans are first written in forms that the base patterns
+    miss; a candidate that such a span covers is right, all others are not. So what is selected is what looks like
     personal data in another form. Nulls in ``doc_id`` and empty tables fit nothing."""
-    ids = df.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(fit_docs)
-    chosen = df.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).where(F.col("text").rlike(r"[0-9@]|at[)\]]"))
-    # staged first: else filters on what is computed from the texts would be computed for all of them, below the join
-    chosen = staged(chosen.join(F.broadcast(ids), "_id"), "sample")
+    # texts without any of these characters have no base span and no candidate
+    chosen = df.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).where(F.col("_id").isNotNull() & F.col("text").rlike(r"[0-9@]|at[)\]]"))
     texts = staged(rewritten(base_spans(chosen, "text"), "text", "base", F.col("_id")), "rewritten")
     # explode_outer: from explode, the optimizer would infer a filter that computes all candidates twice
     made = candidates(texts, "text", "base").select("_id", F.explode_outer("found").alias("c")).where(F.col("c").isNotNull()).select("_id", "c.kind_at", "c.label", *[f"c.{f}" for f in FEATURES])
