@@ -81,35 +81,37 @@ def tour(df: DataFrame, group: list[str], node: str, parent: str, order: list[st
 
     The tour goes down and up every edge; it is a list, ranked by recursive doubling: each round every element adds what its
     successor has and jumps to where that one points. Rounds grow with the logarithm of the longest list, whatever the number of groups.
+    Tables of nodes are joined by shuffle: by the size of their files, which compress well, Spark would send them all to the driver
+    and broadcast them in each round.
     """
     at = [F.col(c) for c in order]
     rows = staged(df.select(*group, F.col(node).alias("_v"), F.col(parent).alias("_p"), F.struct(*at).alias("_o")), "forest")
     nodes = rows.select(*group, F.col("_v").alias("_p")).distinct().withColumn("_known", F.lit(True))
-    rooted = rows.join(nodes, [*group, "_p"], "left").select(*group, "_v", F.when(F.col("_known"), F.col("_p")).alias("_p"), "_o")
+    rooted = rows.join(nodes.hint("merge"), [*group, "_p"], "left").select(*group, "_v", F.when(F.col("_known"), F.col("_p")).alias("_p"), "_o")
     # a group of cycles alone begins at its first node
     first = rooted.groupBy(*group).agg(F.count_if(F.col("_p").isNull()).alias("_roots"), F.min_by("_v", "_o").alias("_first"))
     rooted = rooted.join(first, group).withColumn("_p", F.when((F.col("_roots") == 0) & (F.col("_v") == F.col("_first")), None).otherwise(F.col("_p")))
     placed = staged(numbered(rooted.select(*group, "_v", "_p", "_o"), ["_o"], by=[*group, "_p"], name="_i"), "placed")
     right = placed.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col("_p").alias("_q"), (F.col("_i") - 1).alias("_j"), F.col("_v").alias("_right"))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)], F.col("_p").eqNullSafe(F.col("_q")) & (F.col("_i") == F.col("_j")))
-    rooted = staged(placed.join(right, same, "left").select(*group, "_v", "_p", "_right", "_i"), "siblings")
+    rooted = staged(placed.join(right.hint("merge"), same, "left").select(*group, "_v", "_p", "_right", "_i"), "siblings")
     child = rooted.where("_i = 1 AND _p IS NOT NULL").select(*group, F.col("_p").alias("_v"), F.col("_v").alias("_child"))
     element = lambda v, up: F.struct(F.col(v).alias("v"), F.lit(up).alias("up"))
     down = F.struct(element("_v", False).alias("e"), F.when(F.col("_child").isNotNull(), element("_child", False)).otherwise(element("_v", True)).alias("next"), F.lit(1).cast("long").alias("n"))
     back = F.when(F.col("_right").isNotNull(), element("_right", False)).when(F.col("_p").isNotNull(), element("_p", True))
     up = F.struct(element("_v", True).alias("e"), back.alias("next"), F.lit(0).cast("long").alias("n"))
-    state = staged(rooted.join(child, [*group, "_v"], "left").select(*group, F.explode(F.array(down, up)).alias("x")).select(*group, "x.*"), "tour")
+    state = staged(rooted.join(child.hint("merge"), [*group, "_v"], "left").select(*group, F.explode(F.array(down, up)).alias("x")).select(*group, "x.*"), "tour")
     limit, reach = 2 * state.count(), 1
     while reach <= limit and state.where("next IS NOT NULL").limit(1).count():
         ahead = state.select(*group, F.col("e").alias("next"), F.col("n").alias("_n"), F.col("next").alias("_next"))
-        moved = state.where("next IS NOT NULL").join(ahead, [*group, "next"]).select(*group, "e", F.col("_next").alias("next"), (F.col("n") + F.col("_n")).alias("n"))
+        moved = state.where("next IS NOT NULL").join(ahead.hint("merge"), [*group, "next"]).select(*group, "e", F.col("_next").alias("next"), (F.col("n") + F.col("_n")).alias("n"))
         state, reach = staged(state.where("next IS NULL").unionByName(moved), "tour"), 2 * reach
     # what is left to the end of the list: all nodes of the group's tour less those before
     found = state.where("next IS NULL")
     ranks = found.groupBy(*group, F.col("e.v").alias(node)).agg(F.max(F.when(~F.col("e.up"), F.col("n"))).alias("_a"), F.max(F.when(F.col("e.up"), F.col("n"))).alias("_b"))
     total = found.groupBy(*group).agg(F.max("n").alias("_all"))
     placed = ranks.join(total, group).select(*group, node, (F.col("_all") - F.col("_a")).alias("enter"), (F.col("_all") - F.col("_b")).alias("leave"))
-    return rows.select(*group, F.col("_v").alias(node)).join(placed, [*group, node], "left")
+    return rows.select(*group, F.col("_v").alias(node)).join(placed.hint("merge"), [*group, node], "left")
 
 
 def chain_order(df: DataFrame, file: str, node: str, previous: str, ordinal: str) -> DataFrame:
@@ -118,6 +120,6 @@ def chain_order(df: DataFrame, file: str, node: str, previous: str, ordinal: str
     first counts."""
     once = df.groupBy(file, node).agg(F.min_by(previous, ordinal).alias(previous), F.min(ordinal).alias(ordinal))
     once = staged(once, "records")
-    placed = tour(once, [file], node, previous, [ordinal]).select(file, node, "enter").join(once.select(file, node, ordinal), [file, node])
+    placed = tour(once, [file], node, previous, [ordinal]).select(file, node, "enter").join(once.select(file, node, ordinal).hint("merge"), [file, node])
     in_file = numbered(placed, [F.col("enter").asc_nulls_last(), ordinal], by=[file], name="place")
     return in_file.select(file, node, (F.col("place") - 1).alias("place"))

@@ -38,7 +38,7 @@ def numbered(df: DataFrame, order: list, *, by: list[str] = [], name: str = "num
     if not by:
         return placed
     first = placed.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)]).agg(F.min(name).alias("_first"))
-    first = F.broadcast(first) if small(first) else first
+    first = F.broadcast(first) if small(first) else first.hint("merge")
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)])
     return placed.join(first, same).withColumn(name, F.col(name) - F.col("_first") + 1).drop("_first", *[f"_k{i}" for i in range(len(by))])
 
