@@ -55,6 +55,19 @@ def reference_span(steps: Column) -> Column:
     return cigar_sum(steps, "M=XDN")
 
 
+def strict_cigar(cigar: Column) -> Column:
+    """The text itself; what is not made of steps alone, null too, fails the query."""
+    refused = F.raise_error(F.concat(F.lit("not a CIGAR: "), F.coalesce(cigar, F.lit("null")))).cast("string")
+    return F.when(F.coalesce(cigar.rlike(r"^(?:\d++[MIDNSHP=X])++$"), F.lit(False)), cigar).otherwise(refused)
+
+
+def cigar_numbers(cigar: Column) -> dict[str, Column]:
+    """columns, length, span, leading and trailing of a text that is made of steps alone: the numbers before some letters are summed
+    where they stand, without an array of steps. Give it a column, as each number reads the text again."""
+    of = lambda ops: F.aggregate(F.regexp_extract_all(cigar, F.lit(rf"(\d++)[{ops}]"), F.lit(1)), F.lit(0), lambda t, n: t + n.cast("int"))
+    return {"columns": of("M=XID"), "length": of("M=XISH"), "span": of("M=XDN"), "leading": clip(cigar, "left"), "trailing": clip(cigar, "right")}
+
+
 def clip(cigar: Column, end: str) -> Column:
     """Summed soft and hard clips at the left or right end."""
     run = F.regexp_extract(cigar, r"^((?:\d+[SH])+)" if end == "left" else r"((?:\d+[SH])+)$", 1)

@@ -40,9 +40,9 @@ def p6(spark, d):
         (F.when(F.col("l_shipdate") < F.lit("1994-01-01").cast("date"), 4).otherwise(0), "S"),
     ]
     cigar = F.concat(*[F.when(n > 0, F.concat(n.cast("long").cast("string"), F.lit(op))).otherwise("") for n, op in counts])
-    steps = fn.strict_cigar_steps(cigar)
-    made = {"columns": fn.columns_of(steps), "length": fn.read_length(steps), "span": fn.reference_span(steps), "leading": fn.clip(cigar, "left"), "trailing": fn.clip(cigar, "right")}
-    return li.select("l_orderkey", "l_linenumber", *[c.cast("long").alias(k) for k, c in made.items()])
+    # made and checked once a row, then read by each number
+    rows = li.select("l_orderkey", "l_linenumber", fn.strict_cigar(cigar).alias("cigar"))
+    return rows.select("l_orderkey", "l_linenumber", *[c.cast("long").alias(k) for k, c in fn.cigar_numbers(F.col("cigar")).items()])
 
 
 @query("r2_locus_tiers", f"WITH {FACTS}, {BIN_SQL} SELECT sample_id, contig, n_genes, breadth, tier FROM b")

@@ -1,8 +1,15 @@
 """What goes to the driver or into one task does not grow with the tables: seen in the plans of small ones."""
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
+from cohortry.functions import scalars as fn
 from cohortry.operators import hierarchy
+from cohortry.plans import registry
+
+SF = "/root/testdata/sf0.001"
 
 
 def physical(df):
@@ -26,3 +33,20 @@ def test_tables_of_nodes_are_not_broadcast(spark, monkeypatch):
         assert "SortMergeJoin" in plan or "Union" not in plan and "Join" not in plan
         assert "BroadcastHashJoin" not in plan
     assert sorted(r.enter for r in places.where("g = 1").collect()) == list(range(100))
+
+
+def test_a_cigar_is_made_and_checked_once_a_row(spark):
+    """Not once for each number that is read from it, and without an array of steps."""
+    plan = physical(registry.queries()["p6_cigars_of_columns"](spark, SF))
+    assert plan.count("raise_error") == 1 and "zip_with" not in plan
+    texts = ["5S10M2I3D4=1X2H", "12M", "3H4S7M100N8M1P2S9H", "2S3H"]
+    df = spark.createDataFrame([(t,) for t in texts], "cigar string")
+    got = {r.cigar: tuple(r)[1:] for r in df.select("cigar", *[c.alias(k) for k, c in fn.cigar_numbers(F.col("cigar")).items()]).collect()}
+    for t in texts:
+        steps = [(int(n), op) for n, op in re.findall(r"(\d+)(.)", t)]
+        total = lambda ops: sum(n for n, op in steps if op in ops)  # noqa: E731, B023
+        ends = [sum(int(n) for n in re.findall(r"\d+", m[0])) if (m := re.search(p, t)) else 0 for p in (r"^(\d+[SH])+", r"(\d+[SH])+$")]
+        assert got[t] == (total("M=XID"), total("M=XISH"), total("M=XDN"), *ends)
+    for bad in ("12M3", "", "M", "12M*", None):
+        with pytest.raises(Exception, match="not a CIGAR"):
+            spark.createDataFrame([(bad,)], "c string").select(fn.strict_cigar(F.col("c"))).collect()
