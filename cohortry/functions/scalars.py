@@ -200,16 +200,16 @@ def float_or_zero(text: Column) -> Column:
     return F.coalesce(plain, named, F.lit(0.0))
 
 
+#: ``bwa mem`` as two words of a command line, the program also with a path or in quotes, and what follows; and the first -T in that, its
+#: number written to it or as the next word.
+BWA_MEM = r"""(?s)(?<!\S)['"]*+(?:\S*/)?bwa(?:-mem2)?['"]*+\s++mem(?!\S)(.*)$"""
+MIN_SCORE = r"(?<!\S)-T(?:-?[0-9]++(?!\S)|(?!\S)\s*+\S*+)"
+
+
 def bwa_min_score(command: Column) -> Column:
     """The -T of the first ``bwa mem`` of a command line, also inside a wrapper: its number, ``default`` without one, ``unparsed`` if what
-    follows is no number; null if no ``bwa mem`` runs."""
-    tokens = F.filter(F.split(command, r"\s+"), lambda t: t != "")
-    program = lambda t: F.regexp_replace(F.regexp_replace(t, "^['\"]+|['\"]+$", ""), "^.*/", "")
-    after = F.slice(tokens, 2, F.greatest(F.size(tokens), F.lit(1)))
-    starts = F.zip_with(tokens, after, lambda t, n: F.coalesce(program(t).isin("bwa", "bwa-mem2") & (n == "mem"), F.lit(False)))
-    rest = F.slice(tokens, F.array_position(starts, F.lit(True)).cast("int") + 2, F.greatest(F.size(tokens), F.lit(1)))
-    flagged_at = F.array_position(F.transform(rest, lambda t: t.rlike("^-T(-?[0-9]+)?$")), F.lit(True)).cast("int")
-    flag = F.get(rest, flagged_at - 1)
-    value = F.when(flag == "-T", F.coalesce(F.get(rest, flagged_at), F.lit(""))).otherwise(F.substring(flag, 3, 100))
-    score = F.when(flagged_at == 0, "default").when(value.rlike("^-?[0-9]+$"), value).otherwise("unparsed")
-    return F.when(F.array_contains(starts, True), score)
+    follows is no number; null if no ``bwa mem`` runs. Two searches of the text; it is not taken apart into words."""
+    flag = F.regexp_extract(F.regexp_extract(command, BWA_MEM, 1), MIN_SCORE, 0)
+    value = F.regexp_replace(flag, r"^-T\s*", "")
+    score = F.when(flag == "", "default").when(value.rlike(r"^-?[0-9]+\z"), value).otherwise("unparsed")
+    return F.when(command.rlike(BWA_MEM), score)

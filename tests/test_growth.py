@@ -50,3 +50,27 @@ def test_a_cigar_is_made_and_checked_once_a_row(spark):
     for bad in ("12M3", "", "M", "12M*", None):
         with pytest.raises(Exception, match="not a CIGAR"):
             spark.createDataFrame([(bad,)], "c string").select(fn.strict_cigar(F.col("c"))).collect()
+
+
+def test_a_command_line_is_searched_and_not_taken_apart(spark):
+    plan = physical(registry.queries()["p19_min_score"](spark, SF))
+    assert "lambda" not in plan and "split(" not in plan
+
+    def brute(line):
+        words = line.split()
+        bare = lambda w: w.strip("'\"").rsplit("/", 1)[-1]
+        at = next((i for i in range(len(words) - 1) if bare(words[i]) in ("bwa", "bwa-mem2") and words[i + 1] == "mem"), None)
+        if at is None:
+            return None
+        rest = words[at + 2 :]
+        flag = next((i for i, w in enumerate(rest) if re.fullmatch(r"-T(-?[0-9]+)?", w)), None)
+        if flag is None:
+            return "default"
+        value = rest[flag][2:] or (rest[flag + 1] if flag + 1 < len(rest) else "")
+        return value if re.fullmatch(r"-?[0-9]+", value) else "unparsed"
+
+    heads = ["bwa mem", "/a/b/bwa mem", "'bwa' mem", "'/a/bwa-mem2'  mem", "x/'bwa mem", "sh -c /o/bwa\tmem", "bwa aln bwa mem", "bwa bwa mem", "xbwa mem", "bwa mem2", "bwa-mem2 'mem", "bwa", "bwax/bwa mem", "bwa mem mem"]
+    tails = ["", " ", " -T 3", " -T3", " -T", " -T ", " -T -4 x", " -T-4", " -Tx -T 5", " -T x -T 5", " -T -T3", " a-T 7", " -T 3x", " -T3 -T 9", " -t 8 r.fa -T\t\t12", " ref.fa", "\n-T 6", " -T " + "9" * 120, " -T" + "9" * 120]
+    lines = [h + t for h in heads for t in tails]
+    got = {r.cl: r.s for r in spark.createDataFrame([(x,) for x in lines], "cl string").select("cl", fn.bwa_min_score(F.col("cl")).alias("s")).collect()}
+    assert got == {x: brute(x) for x in lines}
