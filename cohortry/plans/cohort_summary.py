@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from cohortry.operators import cohort, intervals, lanes, rules
 from cohortry.plans import adapters as ad
 from cohortry.plans.cohort_queries import OTHER_GENES
-from cohortry.plans.registry import TIER, bootstrap_sql, query
+from cohortry.plans.registry import GENE_TABLE, TIER, bootstrap_sql, query
 from cohortry.staging import staged
 
 NAMES = [f"g{i + 1:02d}" for i in range(ad.GENES)]
-GENE_TABLE = [(n, i * ad.SPACING, i * ad.SPACING + ad.GENE) for i, n in enumerate(NAMES)]
 #: Contigs 0 to 5 are carriers and contig 6 holds what no bin has; the genus of a carrier is its number modulo 3.
 PANEL = {str(c): f"G{c % 3}" for c in range(6)}
 RESCUED = {"rescued_all": 0, "rescued_10": 10, "rescued_20": 20, "rescued_30": 30}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortry.functions import scalars as fn
 from cohortry.operators import checks, counting, intervals, lanes, ranking, rules
 from cohortry.plans import adapters as ad
-from cohortry.plans.registry import _ORACLE, EVIDENCE, TIER, _assigned, _pairs, query, r1
+from cohortry.plans.registry import _ORACLE, EVIDENCE, TIER, _assigned, query, r1
 from cohortry.sources import records
 
 R = f"WITH {ad.READS}"
@@ -689,7 +689,7 @@ def a20(spark, d):
 @query("a8_four_countings", f"WITH {ad.OVERLAPS}, strict AS (SELECT read_id, gene FROM (SELECT *, rank() OVER (PARTITION BY read_id ORDER BY bases DESC) AS k, count(*) OVER (PARTITION BY read_id, bases) AS n FROM sums) AS x WHERE k = 1 AND n = 1), w AS (SELECT a.*, s.gene IS NOT NULL AS once FROM assigned AS a LEFT JOIN strict AS s ON s.read_id = a.read_id) SELECT sample_id, gene, count(*) FILTER (once) AS raw, count(*) FILTER (flag & 1024 = 0) AS dup_marked, count(DISTINCT fragment_id) AS fragment, count(DISTINCT CASE WHEN flag & 1024 = 0 THEN fragment_id END) AS dup_collapsed FROM w GROUP BY sample_id, gene")
 def a8(spark, d):
     """The raw count leaves ties out, as its own assignment does; the other three take the first gene."""
-    reads = ranking.largest_overlap(_pairs(spark, d), ["sample_id", "fragment_id", "read_id", "flag"], "gene", "bases", mark="once")
+    reads = _assigned(spark, d, mark="once")
     dup = fn.flagged(F.col("flag"), 1024)
     return reads.groupBy("sample_id", "gene").agg(
         F.count_if("once").alias("raw"), F.count_if(~dup).alias("dup_marked"), F.countDistinct("fragment_id").alias("fragment"), F.countDistinct(F.when(~dup, F.col("fragment_id"))).alias("dup_collapsed")

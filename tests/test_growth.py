@@ -74,3 +74,22 @@ def test_a_command_line_is_searched_and_not_taken_apart(spark):
     lines = [h + t for h in heads for t in tails]
     got = {r.cl: r.s for r in spark.createDataFrame([(x,) for x in lines], "cl string").select("cl", fn.bwa_min_score(F.col("cl")).alias("s")).collect()}
     assert got == {x: brute(x) for x in lines}
+
+
+def test_reads_meet_genes_in_place(spark):
+    """A read is shuffled once, for its place in its fragment, and no pairs of reads and genes are grouped."""
+    plan = physical(registry.queries()["w2_largest_overlap_no_ties"](spark, SF))
+    assert plan.count("Exchange hashpartitioning") == 1 and "HashAggregate" not in plan and "Join" not in plan
+
+
+def test_ties_are_marked_in_place(spark):
+    table = [("a", 0, 100), ("b", 50, 150), ("c", 120, 300)]
+    spans = {(0, 40): True, (60, 90): False, (60, 120): True, (130, 140): False, (125, 150): False, (40, 60): True, (300, 310): None}
+    df = spark.createDataFrame([tuple(map(int, s)) for s in spans], "start long, end long")
+    from cohortry.operators import cohort
+
+    got = {(r.start, r.end): r.b and (r.b.label, r.b.once) for r in df.select("start", "end", cohort.best_interval(F.col("start"), F.col("end"), table, mark="once").alias("b")).collect()}
+    for (s, e), _ in spans.items():
+        shared = {n: min(e, y) - max(s, x) for n, x, y in table if min(e, y) > max(s, x)}
+        most = [n for n in sorted(shared) if shared[n] == max(shared.values())]
+        assert got[(s, e)] == ((most[0], len(most) == 1) if most else None)
