@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortry.functions import scalars as fn
-from cohortry.operators import checks, counting, intervals, ranking, rules
+from cohortry.operators import checks, cohort, counting, intervals, ranking, rules
 from cohortry.plans import adapters as ad
-from cohortry.plans.registry import TIER, _assigned, bootstrap_sql, query, r1
+from cohortry.plans.registry import GENE_TABLE, TIER, bootstrap_sql, query, r1
+from cohortry.staging import staged
 
 R = f"WITH {ad.READS}"
 
@@ -24,9 +26,12 @@ ARMS = f"{ad.READS}, x AS (SELECT sample_id, fragment_id, max(CASE WHEN contig =
 def _statuses(spark, d):
     best = lambda c: F.max(F.when(F.col("contig") == c, F.col("score")))
     x = ad.reads(spark, d).groupBy("sample_id", "fragment_id").agg(best(0).alias("a"), best(1).alias("b"), F.max("mapq").alias("q"))
+    return x.select("sample_id", "fragment_id", _status().alias("status"))
+
+
+def _status():
     a, b = F.col("a"), F.col("b")
-    status = rules.cascade([(a.isNull() & b.isNull(), "missing"), (a.isNull(), "absorbed"), ((b.isNull() | (a > b)) & (F.col("q") >= 20), "supporting"), (b.isNull() | (a > b), "unconfirmed")], "absorbed")
-    return x.select("sample_id", "fragment_id", status.alias("status"))
+    return rules.cascade([(a.isNull() & b.isNull(), "missing"), (a.isNull(), "absorbed"), ((b.isNull() | (a > b)) & (F.col("q") >= 20), "supporting"), (b.isNull() | (a > b), "unconfirmed")], "absorbed")
 
 
 #: Genes A, D, G, M, P, Q and S of the nineteen, which are not megasynthases.
@@ -66,9 +71,13 @@ SELECT sample_id, evaluated, measured, supporting, retention, low, tier, kept_ti
 
 @query("r11_locus_verdict", R11)
 def r11_locus(spark, d):
-    places = ad.reads(spark, d).select("read_id", "start", "end")
-    assigned = _assigned(spark, d).select("sample_id", "fragment_id", "read_id", "gene").join(places, "read_id")
-    return locus_verdicts(assigned.join(_statuses(spark, d), ["sample_id", "fragment_id"]), r1(spark, d))
+    # a fragment's few reads meet once: its status goes to each in place, and each keeps its gene and its interval
+    best = cohort.best_interval(F.col("start"), F.col("end"), GENE_TABLE)
+    reads = ad.reads(spark, d).select("sample_id", "fragment_id", "contig", "score", "mapq", "start", "end", best["label"].alias("gene"))
+    w = Window.partitionBy("sample_id", "fragment_id")
+    best_of = lambda c: F.max(F.when(F.col("contig") == c, F.col("score"))).over(w)
+    reads = reads.withColumns({"a": best_of(0), "b": best_of(1), "q": F.max("mapq").over(w)}).withColumn("status", _status())
+    return locus_verdicts(staged(reads.where("gene IS NOT NULL").select("sample_id", "gene", "start", "end", "status"), "spans"), r1(spark, d))
 
 
 @query("j20_off_map", "SELECT count(*) FILTER (n_nationkey IS NULL) AS off_map, count(*) FILTER (n_nationkey IS NOT NULL) AS mapped FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey AND n_regionkey < 4")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortry.functions import scalars as fn
 from cohortry.operators import hierarchy
-from cohortry.plans import registry
+from cohortry.plans import cohort_queries, registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,3 +93,11 @@ def test_ties_are_marked_in_place(spark):
         shared = {n: min(e, y) - max(s, x) for n, x, y in table if min(e, y) > max(s, x)}
         most = [n for n in sorted(shared) if shared[n] == max(shared.values())]
         assert got[(s, e)] == ((most[0], len(most) == 1) if most else None)
+
+
+def test_reads_meet_their_fragments_once(spark, monkeypatch):
+    """r11 joins reads with nothing: genes and statuses are found in place, and one shuffle brings a fragment together."""
+    plans, real = {}, cohort_queries.staged
+    monkeypatch.setattr(cohort_queries, "staged", lambda df, name: plans.update({name: physical(df)}) or real(df, name))
+    registry.queries()["r11_locus_verdict"](spark, SF)
+    assert plans["spans"].count("Exchange hashpartitioning") == 1 and "Join" not in plans["spans"]
