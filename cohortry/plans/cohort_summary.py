@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from cohortry.operators import cohort, intervals, lanes, rules
@@ -17,7 +19,8 @@ RESCUED = {"rescued_all": 0, "rescued_10": 10, "rescued_20": 20, "rescued_30": 3
 
 
 def read_facts(spark, d, *wanted):
-    """The reads by fragment, by place on a contig, and by gene on a contig: all that the summary knows of them."""
+    """The reads by sample, by fragment, by place on a contig, and by gene on a contig: all that the summary knows of them. As most
+    fragments have one read, their rows are kept narrow: what is summed over a sample is counted by sample, yes or no is a bit."""
     reads = ad.reads(spark, d)
     c, mapped, score = F.col("contig"), F.col("flag").bitwiseAND(4) == 0, F.col("score")
     reads = reads.withColumn("best", cohort.best_interval(F.col("start"), F.col("end"), GENE_TABLE))
@@ -29,20 +32,27 @@ def read_facts(spark, d, *wanted):
     target = lambda s, e: (F.col("start") < e) & (F.col("end") > s)
     ok = F.col("mapped") & (F.col("mapq") >= 20)
     genes = F.coalesce(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))), F.lit(0).cast("long"))
+    marks = {"hit": hit, "hit_unmarked": hit & F.col("unmarked"), "mate_1": F.col("mate") == 1, "mate_2": F.col("mate") == 2, "in_a": c.isin(0, 3), "listed": c.isin(1, 2, 4, 5), "off": F.col("mapped") & (c == 6)}
     sets = {
-        "fragment": (["sample_id", "fragment_id"], {
+        "sample": (["sample_id"], {
             "n": F.count(F.lit(1)), "primary": F.count_if(F.col("flag").bitwiseAND(2304) == 0), "unmapped": F.count_if(~F.col("mapped")), "aligned": F.count_if("mapped"), "low_score": F.count_if(low), "passed": F.count_if(ok),
             **{k: F.count_if(low & (F.col("mapq") >= q)) for k, q in RESCUED.items()}, "on_target": F.count_if(target(8_000, 9_000) | target(20_000, 20_500) | target(20_300, 20_900)),
-            "hits": F.count_if(hit), "hits_unmarked": F.count_if(hit & F.col("unmarked")), "genes": genes, "bases": F.coalesce(F.sum("bases"), F.lit(0)).cast("long"), "mate_1": F.bool_or(F.col("mate") == 1), "mate_2": F.bool_or(F.col("mate") == 2),
+            "hits": F.count_if(hit), "hits_unmarked": F.count_if(hit & F.col("unmarked")), "gene_bits": genes,
+        }),
+        "fragment": (["sample_id", "fragment_id"], {
+            "marks": F.bit_or(reduce(lambda a, b: a + b, [F.when(m, 1 << i).otherwise(0) for i, m in enumerate(marks.values())])), "genes": genes, "bases": F.coalesce(F.sum("bases"), F.lit(0)).cast("long"),
             **{f"best_{k}": F.max(F.when(F.col("mapped") & (c == int(k)), score)) for k in PANEL},
-            "clade": arm(F.max, F.col("part") % 3, 0, 3), "confidence": arm(F.max, F.col("mapq"), 0, 3), "kmers": arm(F.max, F.col("nm"), 0, 3), "in_a": F.bool_or(c.isin(0, 3)), "listed": F.bool_or(c.isin(1, 2, 4, 5)), "off": F.bool_or(F.col("mapped") & (c == 6)),
+            "clade": arm(F.max, F.col("part") % 3, 0, 3), "confidence": arm(F.max, F.col("mapq"), 0, 3), "kmers": arm(F.max, F.col("nm"), 0, 3),
         }),
         "position": (["sample_id", "contig", "start"], {"end": F.max("end")}),
         "gene": (["sample_id", "contig", "gene"], {
             "n": F.count(F.lit(1)), "q30": F.count_if(F.col("mapq") >= 30), "genes": genes, "prophages": F.count_if(score == 50), "protected": F.bool_or(F.col("nm") == 10), "trna": F.bool_or(F.col("nm") == 9),
         }),
     }
-    return cohort.grouped(reads, {name: sets[name] for name in wanted or sets})
+    facts = cohort.grouped(reads, {name: sets[name] for name in wanted or sets})
+    if "fragment" in facts:
+        facts["fragment"] = facts["fragment"].withColumns({name: F.col("marks").bitwiseAND(1 << i) != 0 for i, name in enumerate(marks)}).drop("marks")
+    return facts
 
 
 def fragment_fates(fragments):
@@ -60,12 +70,12 @@ def of_samples(facts):
     """Counts, depths, countings and challenge of each sample, from its fragments."""
     f = fragment_fates(facts["fragment"])
     kept = F.col("fate") == "survived"
-    sums = ["n", "primary", "unmapped", "aligned", "low_score", "passed", *RESCUED, "on_target", "hits", "hits_unmarked"]
-    return f.groupBy("sample_id").agg(
-        *[F.sum(c).cast("long").alias(c) for c in sums], F.bit_or("genes").alias("gene_bits"), F.count_if(F.col("hits") > 0).alias("fragments"), F.count_if(F.col("hits_unmarked") > 0).alias("fragments_dedup"),
+    challenged = f.groupBy("sample_id").agg(
+        F.count_if("hit").alias("fragments"), F.count_if("hit_unmarked").alias("fragments_dedup"),
         F.count(F.lit(1)).alias("recruited_fragments"), F.count_if(F.col("mate_1") & F.col("mate_2")).alias("paired_fragments"), F.count(F.lit(1)).alias("evaluated"), F.count_if(F.col("fate").isin("survived", "lost")).alias("measured"), F.count_if(kept).alias("survived"),
         F.coalesce(F.bit_or(F.when(kept, F.col("genes"))), F.lit(0).cast("long")).alias("survived_genes"), F.coalesce(F.sum(F.when(kept, F.col("bases"))), F.lit(0)).cast("long").alias("survived_bases"),
     )
+    return facts["sample"].join(challenged, "sample_id")
 
 
 def of_places(facts):
@@ -131,18 +141,32 @@ def typing_of(spark, d):
     return lanes.typed_unit(units, ["sample_id"], "ordinal").select("sample_id", F.col("unit.status").alias("typing_status"), F.when(F.col("unit.status") == "typed", F.col("unit.sequence_type")).alias("sequence_type"))
 
 
-def evidence_of(facts):
-    """Reads, genes, breadth and first tier beside the counts of a sample, and the challenge's outcome."""
+def tiered_of(facts):
+    """Reads, genes, breadth and first tier beside the counts of a sample."""
     s = of_samples(facts).join(of_places(facts), "sample_id")
     s = s.withColumns({"genes_detected": F.bit_count("gene_bits").cast("long"), "breadth": F.col("union_bases") / F.lit(float(ad.ISLAND))})
-    s = s.withColumn("tier", rules.read_tier(F.col("hits"), F.col("genes_detected"), F.col("breadth")))
-    return cohort.recomputed(s, genes=NAMES, others=OTHER_GENES, length=ad.ISLAND, key="sample_id")
+    return s.withColumn("tier", rules.read_tier(F.col("hits"), F.col("genes_detected"), F.col("breadth")))
+
+
+def evidence_of(facts):
+    """The same with the challenge's outcome."""
+    return cohort.recomputed(tiered_of(facts), genes=NAMES, others=OTHER_GENES, length=ad.ISLAND, key="sample_id")
+
+
+def transcripts_of(facts):
+    """How many genes of a sample have five reads or more."""
+    return facts["gene"].where("gene IS NOT NULL").groupBy("sample_id", "gene").agg(F.sum("n").alias("n")).groupBy("sample_id").agg(F.count_if(F.col("n") >= 5).alias("transcripts"))
+
+
+#: Sources of the summary that the counts and tiers of a sample suffice for, and the groups of reads that these come from.
+COUNTED, COUNTED_FROM = ("read profiling", "low-score rescue", "tier robustness"), ("sample", "fragment", "position")
 
 
-def summary_of(spark, d):
-    """A row a sample with all sources of the summary. Modes go by the sample's number; so does which sources a sample lacks."""
-    facts = read_facts(spark, d)
-    s = staged(evidence_of(facts), "evidence")
+def summary_of(spark, d, wanted=None):
+    """A row a sample with all sources of the summary, or those ``wanted`` of COUNTED, for which nothing else is made. Modes go by
+    the sample's number; so does which sources a sample lacks."""
+    facts = read_facts(spark, d, *(COUNTED_FROM if wanted else ()))
+    s = staged(tiered_of(facts) if wanted else evidence_of(facts), "evidence")
     k, tier = F.col("sample_id"), F.col("tier")
     mode = F.element_at(F.array(*map(F.lit, ["wgs", "metagenome", "wes", "rna"])), (k % 4 + 1).cast("int"))
     s = s.withColumns({"mode": mode, "extraction": F.element_at(F.array(*map(F.lit, ["on_auto_bwa_mem", "off_requested", "NA"])), (k % 3 + 1).cast("int"))})
@@ -160,8 +184,7 @@ def summary_of(spark, d):
         "structure": rules.structural_call(F.col("bases_one") / F.lit(40_000.0), F.col("bases_two") / F.lit(40_000.0)),
     })
     counted = counted.withColumns({"tier_robustness": F.when(F.col("mode") == "wgs", rules.robustness(tier, [F.col(c) for c in ("tier_if_fragments", "tier_if_dedup", "tier_if_fragments_dedup")])), "final_structural_evidence": F.col("structure.call"), "assembler_agreement": F.col("structure.agreement")}).drop("structure")
-    transcripts = facts["gene"].where("gene IS NOT NULL").groupBy("sample_id", "gene").agg(F.sum("n").alias("n")).groupBy("sample_id").agg(F.count_if(F.col("n") >= 5).alias("transcripts"))
-    tables = [counted, of_bins(bins_of(facts)), carriers_of(facts), absorbers_of(facts), typing_of(spark, d), transcripts]
+    more = [] if wanted else [of_bins(bins_of(facts)), carriers_of(facts), absorbers_of(facts), typing_of(spark, d), transcripts_of(facts)]
     known, is_mode = F.col("n").isNotNull(), lambda *m: F.col("mode").isin(*m)
     sources = {
         "mode": (known, ["mode", "evidence_label"]), "terminal state": (known, ["terminal_state"]),
@@ -175,7 +198,7 @@ def summary_of(spark, d):
         "locus specificity": (known & is_mode("wgs"), ["locus_specificity", "retention", "recomputed_tier", "flagged_absorbers"]), "carrier attribution": (F.col("carrier_attribution").isNotNull(), ["carrier_attribution", "carrier_top", "carrier_top_fraction", "carrier_top_genus", "carrier_runner_up"]),
     }
     expected = ad.table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample_id"))
-    return cohort.summary(expected, "sample_id", tables, sources)
+    return cohort.summary(expected, "sample_id", [counted, *more], {name: source for name, source in sources.items() if not wanted or name in wanted})
 
 
 # --- the same in SQL
@@ -265,7 +288,7 @@ def j21(spark, d):
 
 @query("a24_recomputed", f"WITH {FACTS} SELECT sample_id, evaluated, measured, survived, retention, low_bound AS low, CAST(recomputed_genes AS BIGINT) AS recomputed_genes, recomputed_breadth, recomputed_tier, CAST(tier_drop AS INTEGER) AS tier_drop, locus_specificity FROM rec3")
 def a24(spark, d):
-    out = evidence_of(read_facts(spark, d, "fragment", "position"))
+    out = evidence_of(read_facts(spark, d, *COUNTED_FROM))
     names = ["evaluated", "measured", "survived", "retention", "low", "recomputed_genes", "recomputed_breadth", "recomputed_tier", "tier_drop", "locus_specificity"]
     return out.withColumn("tier_drop", F.col("tier_drop").cast("int")).select("sample_id", *names)
 
@@ -279,4 +302,4 @@ def a27(spark, d):
 
 @query("a34_qc_rollup", f"WITH s AS ({SUMMARY_SQL}) SELECT count(rescued_all) AS traced, " + ", ".join(f"CAST(coalesce(sum({k}) FILTER (rescued_all IS NOT NULL), 0) AS BIGINT) AS sum_{k}" for k in RESCUED) + ", count(*) FILTER (extraction <> 'NA') AS with_mode, count(*) FILTER (prefix(extraction, 'on')) AS rescued, count(*) FILTER (prefix(extraction, 'off')) AS not_rescued, count(*) FILTER (prefix(extraction, 'on')) > 0 AND count(*) FILTER (prefix(extraction, 'off')) > 0 AS mixed, count(tier_robustness) AS tiered, count(*) FILTER (tier_robustness = 'stable') AS stable, count(*) FILTER (tier_robustness = 'unstable') AS unstable FROM s")
 def a34(spark, d):
-    return cohort.tallied(summary_of(spark, d), list(RESCUED), "extraction", "tier_robustness")
+    return cohort.tallied(summary_of(spark, d, COUNTED), list(RESCUED), "extraction", "tier_robustness")

@@ -52,7 +52,7 @@ def r2(spark, d):
 
 @query("r8_assembly_states", f"WITH {FACTS}, s AS (SELECT sample_id, CASE WHEN sample_id % 5 < 4 THEN paired_fragments - CASE WHEN sample_id % 3 = 0 THEN paired_fragments ELSE 0 END END AS supporting, CASE WHEN sample_id % 2 = 0 THEN bases_one ELSE 0 END AS bases FROM evid) SELECT sample_id, CASE WHEN supporting IS NULL THEN 'recruitment_classes_unavailable' WHEN supporting = 0 THEN 'no_island_supporting_fragments' WHEN bases > 0 THEN 'island_contigs_recovered' ELSE 'island_fragments_no_contig' END AS state FROM s")
 def r8(spark, d):
-    facts, k = read_facts(spark, d, "fragment", "position"), F.col("sample_id")
+    facts, k = read_facts(spark, d, "sample", "fragment", "position"), F.col("sample_id")
     s = of_samples(facts).join(of_places(facts), "sample_id")
     supporting = F.when(k % 5 < 4, F.when(k % 3 == 0, 0).otherwise(F.col("paired_fragments")))
     return s.select("sample_id", rules.assembly_diagnostic(supporting, F.when(k % 2 == 0, F.col("bases_one")).otherwise(0)).alias("state"))

@@ -101,3 +101,18 @@ def test_reads_meet_their_fragments_once(spark, monkeypatch):
     monkeypatch.setattr(cohort_queries, "staged", lambda df, name: plans.update({name: physical(df)}) or real(df, name))
     registry.queries()["r11_locus_verdict"](spark, SF)
     assert plans["spans"].count("Exchange hashpartitioning") == 1 and "Join" not in plans["spans"]
+
+
+def test_rows_of_fragments_are_narrow(spark, monkeypatch):
+    """What is summed over a sample does not go through its fragments, of which there are about as many as reads; the roll-up makes
+    no bins, carriers or draws."""
+    from cohortry.operators import cohort
+    from cohortry.plans import cohort_summary
+
+    held = {}
+    real = cohort.grouped
+    monkeypatch.setattr(cohort, "grouped", lambda df, sets: held.update({k: list(v[1]) for k, v in sets.items()}) or real(df, sets))
+    monkeypatch.setattr(cohort, "recomputed", lambda *_, **__: pytest.fail("draws of the challenge"))
+    assert registry.queries()["a34_qc_rollup"](spark, SF).count() == 1
+    assert set(held) == {"sample", "fragment", "position"}
+    assert len(held["fragment"]) <= 12 and not {"n", "passed", *cohort_summary.RESCUED} & set(held["fragment"])
