@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortry.operators.numbering import dealt
 from cohortry.staging import staged
 
 
@@ -17,7 +18,7 @@ def overlap_bases(s1, e1, s2, e2) -> Column:
 #: Each level's bins are so many times as wide as those of the level below; the widest hold all positions. Positions are shifted
 #: by SHIFT, so that none is negative.
 LEVEL_FACTOR, SHIFT = 8, 1 << 42
-#: Left rows of one bin that one task joins; a bin with more is dealt to several.
+#: Left rows of one bin that one task joins, a bin with more is dealt to several; segments whose depths one task sums.
 ROWS_PER_TASK = 1_000_000
 
 
@@ -112,11 +113,25 @@ def breadth(segments: DataFrame, by: list[str], length: int, levels: list[int])
     return segments.groupBy(*by).agg(*[(F.sum(F.when(F.col("depth") >= k, size).otherwise(0)) / length).alias(f"breadth_{k}x") for k in levels])
 
 
-def binned_depth(segments: DataFrame, by: list[str], width: int) -> DataFrame:
-    """Summed depth of each bin that has any: segments are cut at bin edges first."""
-    cut = segments.withColumn("bin", F.explode(F.sequence(F.floor(F.col("seg_start") / width), F.floor((F.col("seg_end") - 1) / width))))
-    size = F.least("seg_end", (F.col("bin") + 1) * width) - F.greatest("seg_start", F.col("bin") * width)
-    return cut.groupBy(*by, "bin").agg(F.sum(size * F.col("depth")).cast("long").alias("depth_sum"))
+#: Neighbouring bins whose sums one row holds side by side.
+BINS_PER_ROW = 16
+
+
+def binned_depth(segments: DataFrame, by: list[str], width: int, *, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Summed depth of each bin that has any. Segments may overlap: intervals of depth 1 do as well as the runs of a sweep.
+
+    Segments are dealt out by group and start, ``rows_per_task`` to a task, and summed there before the sums are shuffled: so a task
+    holds the bins of its own stretch of groups, and a group of any depth lies on several tasks. Sums are kept in a row for
+    each ``BINS_PER_ROW`` bins; a segment is copied only to each such block of bins that it touches.
+    """
+    reach, depth = width * BINS_PER_ROW, F.col("depth")
+    block = F.sequence(F.floor(F.col("seg_start") / reach), F.floor((F.col("seg_end") - 1) / reach))
+    some = segments.where(F.col("seg_end") > F.col("seg_start")).select(*by, "seg_start", "seg_end", "depth")
+    cut = dealt(some, [*by, "seg_start"], rows_per_task).withColumn("_block", F.explode(block))
+    low = [F.col("_block") * reach + i * width for i in range(BINS_PER_ROW)]
+    sums = cut.groupBy(*by, "_block").agg(*[F.sum(overlap_bases(F.col("seg_start"), F.col("seg_end"), x, x + width) * depth).cast("long").alias(f"_{i}") for i, x in enumerate(low)])
+    each = F.explode(F.array(*[F.struct((F.col("_block") * BINS_PER_ROW + i).alias("bin"), F.col(f"_{i}").alias("depth_sum")) for i in range(BINS_PER_ROW)]))
+    return sums.select(*by, each.alias("_b")).select(*by, "_b.bin", "_b.depth_sum").where(F.col("depth_sum") > 0)
 
 
 def weighted_depth(segments: DataFrame, by: list[str], low: int, high: int) -> DataFrame:

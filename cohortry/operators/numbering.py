@@ -21,6 +21,17 @@ def _ranged(df: DataFrame, order: list) -> DataFrame:
     return tied.repartitionByRange(n, *order, "_tie")
 
 
+def dealt(df: DataFrame, order: list, rows_per_task: int) -> DataFrame:
+    """The rows, dealt out by range to tasks of about ``rows_per_task`` rows or fewer: what a task groups by ``order`` is then bounded
+    and lies close together, in whatever order the files are and however large. Rows are counted first; if they are no more than
+    that, they are left as they are."""
+    rows = df.count()
+    if rows <= rows_per_task:
+        return df
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_per_task))
+    return df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *order, "_tie").drop("_tie")
+
+
 def numbered(df: DataFrame, order: list, *, by: list[str] = [], name: str = "number") -> DataFrame:  # noqa: B006
     """Adds ``name``: the place, from 1, of each row of its group (of all rows without ``by``) under ``order``.
 

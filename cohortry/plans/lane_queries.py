@@ -740,7 +740,8 @@ def h12(spark, d):
 
 @query("a5_binned_depth", f"""{R}, b AS (SELECT sample_id, unnest(range(start // 50, ("end" - 1) // 50 + 1)) AS bin, start, "end" FROM reads) SELECT sample_id, bin, CAST(sum(least("end", (bin + 1) * 50) - greatest(start, bin * 50)) AS BIGINT) / 50.0::DOUBLE AS depth FROM b GROUP BY sample_id, bin""")
 def a5(spark, d):
-    summed = intervals.binned_depth(intervals.depth_segments(ad.reads(spark, d), ["sample_id"]), ["sample_id"], 50)
+    each = ad.reads(spark, d).select("sample_id", F.col("start").alias("seg_start"), F.col("end").alias("seg_end"), F.lit(1).alias("depth"))
+    summed = intervals.binned_depth(each, ["sample_id"], 50)
     return summed.select("sample_id", "bin", (F.col("depth_sum").cast("double") / 50).alias("depth"))
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortry.functions import scalars as fn
-from cohortry.operators import hierarchy
+from cohortry.operators import hierarchy, intervals
 from cohortry.plans import cohort_queries, registry
 
 SF = "/root/testdata/sf0.001"
@@ -116,3 +116,15 @@ def test_rows_of_fragments_are_narrow(spark, monkeypatch):
     assert registry.queries()["a34_qc_rollup"](spark, SF).count() == 1
     assert set(held) == {"sample", "fragment", "position"}
     assert len(held["fragment"]) <= 12 and not {"n", "passed", *cohort_summary.RESCUED} & set(held["fragment"])
+
+
+def test_depths_of_bins_are_summed_without_a_sweep(spark):
+    """No rows for positions and no window over a sample; in tasks of bounded numbers of reads that lie together, whatever order the
+    files have, before the sums are shuffled; and in rows of many bins."""
+    plan = physical(registry.queries()["a5_binned_depth"](spark, SF))
+    assert "Window" not in plan and plan.count("Exchange") == 1 and "_block" in re.search(r"hashpartitioning\((.*?)\)", plan)[1]
+    k = F.col("id")
+    reads = spark.range(1000).select((k % 50).alias("sample_id"), (k * 7919 % 5000).alias("seg_start"), (k * 7919 % 5000 + 120).alias("seg_end"), F.lit(1).alias("depth"))
+    bins = intervals.binned_depth(reads, ["sample_id"], 50, rows_per_task=100)
+    assert re.search(r"rangepartitioning\(sample_id.*, seg_start.*, 10\)", physical(bins))
+    assert bins.agg(F.sum("depth_sum")).first()[0] == 120_000

@@ -33,3 +33,18 @@ def test_near_keeps_rows_that_stand_twice(spark):
     a = spark.createDataFrame([(1, 100, 200), (1, 100, 200), (1, 5_000, 5_100)], "k int, start long, end long")
     anchors = spark.createDataFrame([(1, 250, 300), (1, 260, 310)], "k int, r_start long, r_end long")
     assert [tuple(r) for r in intervals.near(a, anchors, ["k"], 100).collect()] == [(1, 100, 200)] * 2
+
+
+@pytest.mark.parametrize("few", [dict(), dict(rows_per_task=25)])
+def test_binned_depth_equals_brute_force(spark, few):
+    """Intervals that overlap, are empty, lie below 0, on the edges of blocks of bins, or without an end or a group."""
+    left, _ = sides()
+    left += [(None, 5, 17), ("a", 790, 810), ("a", 800, 800), ("a", 1600, 1610), ("b", 10, None), ("b", None, 20), ("b", 90, 60)]
+    want = Counter()
+    for k, s, e in left:
+        if s is not None and e is not None:
+            for x in range(s, e):
+                want[k, x // 10] += 3
+    df = spark.createDataFrame([(*x, 3) for x in left], "k string, seg_start long, seg_end long, depth int").repartition(3)
+    got = [tuple(r) for r in intervals.binned_depth(df, ["k"], 10, **few).collect()]
+    assert len(got) == len(want) and {(k, b): n for k, b, n in got} == want
