@@ -18,7 +18,7 @@ def overlap_bases(s1, e1, s2, e2) -> Column:
 #: Each level's bins are so many times as wide as those of the level below; the widest hold all positions. Positions are shifted
 #: by SHIFT, so that none is negative.
 LEVEL_FACTOR, SHIFT = 8, 1 << 42
-#: Left rows of one bin that one task joins, a bin with more is dealt to several; segments whose depths one task sums.
+#: Left rows of one bin that one task joins, a bin with more is dealt to several; intervals whose depths or ends one task counts.
 ROWS_PER_TASK = 1_000_000
 
 
@@ -98,9 +98,11 @@ def supporting(df: DataFrame, by: list[str], part: str, floor: int, low: int, hi
     return united.where(F.col("union_bases") >= floor).groupBy(*by).agg(F.count(F.lit(1)).alias("parts"), F.sum("union_bases").cast("long").alias("bases"))
 
 
-def depth_segments(df: DataFrame, by: list[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Runs of equal depth: seg_start, seg_end, depth, by a sweep over starts and ends. Depth 0 is not listed."""
-    events = df.select(*by, F.explode(F.array(F.struct(F.col(start).alias("pos"), F.lit(1).alias("step")), F.struct(F.col(end).alias("pos"), F.lit(-1).alias("step")))).alias("e"))
+def depth_segments(df: DataFrame, by: list[str], start: str = "start", end: str = "end", *, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Runs of equal depth: seg_start, seg_end, depth, by a sweep over starts and ends. Depth 0 is not listed.
+
+    Intervals are dealt out by group and start, ``rows_per_task`` to a task, before a task counts the starts and ends at each position."""
+    events = dealt(df.select(*by, start, end), [*by, start], rows_per_task).select(*by, F.explode(F.array(F.struct(F.col(start).alias("pos"), F.lit(1).alias("step")), F.struct(F.col(end).alias("pos"), F.lit(-1).alias("step")))).alias("e"))
     steps = events.groupBy(*by, "e.pos").agg(F.sum("e.step").alias("step"))
     w = Window.partitionBy(*by).orderBy("pos")
     swept = steps.select(*by, F.col("pos").alias("seg_start"), F.lead("pos").over(w).alias("seg_end"), F.sum("step").over(w).cast("long").alias("depth"))

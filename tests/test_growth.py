@@ -128,3 +128,16 @@ def test_depths_of_bins_are_summed_without_a_sweep(spark):
     bins = intervals.binned_depth(reads, ["sample_id"], 50, rows_per_task=100)
     assert re.search(r"rangepartitioning\(sample_id.*, seg_start.*, 10\)", physical(bins))
     assert bins.agg(F.sum("depth_sum")).first()[0] == 120_000
+
+
+def test_a_sweep_counts_ends_in_tasks_of_bounded_rows(spark):
+    """Starts and ends are counted in tasks of so many intervals, not of as many as a file's split holds; runs are the same."""
+    k = F.col("id")
+    reads = spark.range(1000).select((k % 3).alias("g"), (k * 7919 % 900).alias("start"), (k * 7919 % 900 + k % 40).alias("end"))
+    runs = intervals.depth_segments(reads, ["g"], rows_per_task=100)
+    assert re.search(r"rangepartitioning\(g.*, start.*, 10\)", physical(runs))
+    depth = {}
+    for r in reads.collect():
+        for x in range(r.start, r.end):
+            depth[r.g, x] = depth.get((r.g, x), 0) + 1
+    assert {(r.g, x): r.depth for r in runs.collect() for x in range(r.seg_start, r.seg_end)} == depth
