@@ -15,8 +15,10 @@ from cohortry.llm.common import staged, table
 
 #: Vectors in a tile, queries in a block, dimensions that are summed at a time.
 TILE, BLOCK, DIMENSIONS = 1024, 128, 16
-#: Tiles, and blocks of queries, that meet in one cell of the grid that pairs are dealt by.
-CELL_TILES, CELL_BLOCKS = 4, 32
+#: Tiles, and blocks of queries, in a file.
+FILE_TILES, FILE_BLOCKS = 8, 32
+#: Bytes of scores, the k best of each query, that a task keeps.
+SCORES = 64 << 20
 #: While more than this share of a block's pairs is left, whole columns are multiplied; below it, the pairs that are left.
 DENSE = 0.25
 #: Beyond this, sums of doubles are not exact and Python's whole numbers take over.
@@ -30,9 +32,9 @@ def whole_components(vector: Column) -> Column:
     return F.when(~F.coalesce(bad, F.lit(False)), F.transform(doubles, lambda x: F.floor(x * 1024).cast("long")))
 
 
-def packed(rows: DataFrame, count: int, size: int, width: int, name: str, group: str, cell: int) -> DataFrame:
-    """Rows (uid, id, whole) as tiles of about ``size``: ``name`` (number of the tile), ``group`` (which cells it goes to), uids, ids,
-    and the components as a matrix of 64-bit numbers, one dimension after another."""
+def packed(rows: DataFrame, count: int, size: int, width: int, name: str, together: int) -> DataFrame:
+    """Rows (uid, id, whole) as tiles of about ``size``, staged with about ``together`` in a file: ``name`` (number of the tile), uids,
+    ids, and the components as a matrix of the narrowest numbers that hold them, one dimension after another."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -52,12 +54,17 @@ def packed(rows: DataFrame, count: int, size: int, width: int, name: str, group:
         matrix = np.zeros((width, rows.num_rows), np.int64)
         row = np.repeat(np.arange(rows.num_rows), lengths)
         matrix[np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths), row] = whole.flatten().to_numpy()
-        uid = rows.column("uid").to_numpy()
+        kind = next((k for k in (np.int16, np.int32) if matrix.size and np.iinfo(k).min <= matrix.min() and matrix.max() <= np.iinfo(k).max), np.int64)
+        matrix, uid = matrix.astype(kind), rows.column("uid").to_numpy()
         return pa.RecordBatch.from_arrays([pa.array([int(uid[0])]), pa.array([uid.tobytes()], pa.binary()), pa.array([rows.column("id").to_pylist()], pa.list_(pa.int64())), pa.array([matrix.tobytes()], pa.binary())], [name, "uids", "ids", "matrix"])
 
-    parts = max(1, -(-count // size))
-    made = rows.repartition(parts).mapInArrow(pack, f"{name} long, uids binary, ids array<bigint>, matrix binary")
-    return made.withColumn(group, F.pmod(F.xxhash64(name), F.lit(-(-parts // cell))).cast("int"))
+    parts = max(1, -(-count // (size * together)))
+    return staged(rows.repartition(parts).mapInArrow(pack, f"{name} long, uids binary, ids array<bigint>, matrix binary"), f"{name}s")
+
+
+def unpacked(matrix: pa.Scalar, width: int, n: int) -> np.ndarray:
+    """The matrix of ``n`` vectors, of the width of number that it was packed in."""
+    return np.frombuffer(matrix.as_buffer(), np.dtype(f"i{len(matrix.as_buffer()) // (width * n)}") if width else np.int64).reshape(width, n)
 
 
 def norms(matrix: np.ndarray, block: int) -> np.ndarray:
@@ -116,7 +123,7 @@ def search(pairs: DataFrame, k: int, width: int) -> DataFrame:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i] for c in batch.schema.names}
                 uq, ut = (np.frombuffer(row[c].as_buffer(), np.int64) for c in ("q_uids", "uids"))
-                queries, tile = (np.frombuffer(row[c].as_buffer(), np.int64).reshape(width, len(u)) for c, u in (("q_matrix", uq), ("matrix", ut)))
+                queries, tile = unpacked(row["q_matrix"], width, len(uq)), unpacked(row["matrix"], width, len(ut))
                 name = row["block"].as_py()
                 top = best.pop(name, None)
                 top = np.full((len(uq), k), -np.inf) if top is None else top
@@ -133,7 +140,7 @@ def search(pairs: DataFrame, k: int, width: int) -> DataFrame:
                 grown = np.concatenate([top, np.full((len(uq), k), -np.inf)], axis=1)
                 grown[q, k + within[within < k]] = np.array(score, np.float64)
                 best[name] = np.sort(grown, axis=1)[:, k:]
-                if len(best) > 2 * CELL_BLOCKS:
+                if len(best) > 1 and len(best) * BLOCK * k * 8 > SCORES:
                     best.popitem(last=False)
                 score = np.array([min(max(int(s), -(1 << 63)), (1 << 63) - 1) for s in score], np.int64) if score.dtype == object else score
                 found = row["ids"].values.to_numpy(zero_copy_only=False) if row["ids"].values.null_count == 0 else None
@@ -151,20 +158,19 @@ def topk_search(df: DataFrame, is_query: Column, *, vec_id: str = "vec_id", vect
     components count as 0. Rows with equal ids are rows of their own: each may be found, and each searches. Scores are
     exact; beyond a long they are the nearest long. Other columns are not read; an empty table gives an empty one.
 
-    Blocks of queries meet tiles on a grid: a cell has a few of each, so a task holds one pair at a time and the
-    scores of the cell's queries.
+    Every tile meets every block of queries: both are staged, and each part of one is read with each part of the other, so nothing is
+    broadcast or copied to bring pairs together. A task streams its tiles and holds its blocks and their queries' scores.
     Each pair of a block and a tile returns at most k rows a query, which a ranked window with a limit before its shuffle merges.
     """
     rows = df.select(F.col(vec_id).cast("long").alias("id"), whole_components(F.col(vector)).alias("whole"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = staged(rows.where(F.col("whole").isNotNull()).withColumn("uid", F.monotonically_increasing_id()), "vectors")
     count, asking, width = rows.agg(F.count(F.lit(1)), F.count_if("asks"), F.max(F.size("whole"))).first()
     width = width or 0
-    tiles = packed(rows.select("uid", "id", "whole"), count, TILE, width, "tile", "tiles", CELL_TILES)
-    blocks = packed(rows.where("asks").select("uid", "id", "whole"), asking, BLOCK, width, "block", "blocks", CELL_BLOCKS)
-    blocks = blocks.select("block", F.col("uids").alias("q_uids"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), "blocks")
-    n_tiles, n_blocks = (-(-max(1, -(-n // size)) // cell) for n, size, cell in ((count, TILE, CELL_TILES), (asking, BLOCK, CELL_BLOCKS)))
-    pairs = tiles.withColumn("blocks", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(blocks.withColumn("tiles", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1)))), ["blocks", "tiles"])
-    found = search(pairs.select("block", "q_uids", "q_ids", "q_matrix", "uids", "ids", "matrix"), k, width)
+    tiles = packed(rows.select("uid", "id", "whole"), count, TILE, width, "tile", FILE_TILES)
+    blocks = packed(rows.where("asks").select("uid", "id", "whole"), asking, BLOCK, width, "block", FILE_BLOCKS)
+    blocks = blocks.select("block", F.col("uids").alias("q_uids"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
+    pairs = tiles.drop("tile").hint("shuffle_replicate_nl").crossJoin(blocks)
+    found = search(pairs, k, width)
     ranked = Window.partitionBy("q_uid").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
