@@ -21,8 +21,8 @@ FILE_TILES, FILE_BLOCKS = 8, 32
 SCORES = 64 << 20
 #: While more than this share of a block's pairs is left, whole columns are multiplied; below it, the pairs that are left.
 DENSE = 0.25
-#: Beyond this, sums of doubles are not exact and Python's whole numbers take over.
-EXACT = float(1 << 53)
+#: Below the first, sums of floats are exact; beyond the second, sums of doubles are not and Python's whole numbers take over.
+SINGLE, EXACT = float(1 << 24), float(1 << 53)
 
 
 def whole_components(vector: Column) -> Column:
@@ -78,40 +78,45 @@ def best_in_tile(queries: np.ndarray, tile: np.ndarray, known: np.ndarray, own:
     ``known`` (the query's k-th best so far) that at least k others in the tile do not surely beat.
 
     Matrices have a row for each dimension. ``own``: pairs that do not count. The bound of a pair is its sum so far and, for
-    each block still to come, the product of both norms there. Blocks go by the queries' mass, the largest first.
+    each block still to come, the product of both norms there. Blocks go by the queries' mass, the largest first. What others
+    in the tile surely reach is only asked while a query has no k-th best. Vectors that no query needs are compacted away.
     """
     n_q, n_t, width = queries.shape[1], tile.shape[1], len(tile)
     if not width:
         q, t = np.nonzero(~own)
         return q, t, np.zeros(len(q), np.int64)
     norm_q, norm_t = norms(queries, block), norms(tile, block)
-    if not (norm_q.sum(0).max() * norm_t.sum(0).max() < EXACT):
+    most = norm_q.sum(0).max() * norm_t.sum(0).max()
+    if not (most < EXACT):
         q, t = np.nonzero(~own)  # sums of doubles would not be exact
         return q, t, np.einsum("ij,ij->j", queries[:, q].astype(object), tile[:, t].astype(object)) if len(q) else np.zeros(0, np.int64)
-    as_q, as_t = queries.astype(np.float64), tile.astype(np.float64)
+    kind = np.float32 if most < SINGLE else np.float64
     order = np.argsort(-norm_q.sum(1), kind="stable")
-    rest, floor, total = norm_q.T @ norm_t + 1e-6, known.astype(np.float64), n_q * n_t
-    alive = (rest >= floor[:, None]) & ~own
-    sums, done = np.zeros((n_q, n_t)), 0
-    while done < len(order) and np.count_nonzero(alive) > DENSE * total:
-        b = order[done]
-        rows, columns = slice(b * block, (b + 1) * block), alive.any(0)  # vectors that no query needs are left out
-        sums[:, columns] += as_q[rows].T @ as_t[rows][:, columns]
-        rest -= np.outer(norm_q[b], norm_t[b])
-        least = np.where(alive, sums - rest, -np.inf)
-        if n_t > k:
-            floor = np.maximum(floor, np.partition(least, n_t - k, axis=1)[:, n_t - k])
-        alive &= sums + rest >= floor[:, None]
+    norm_q = (norm_q[order] * (1 + (len(order) + 4) * np.finfo(kind).eps)).astype(kind)  # above what rounding takes off
+    as_q, as_t, norm_t = queries.astype(kind), tile.astype(kind), norm_t[order].astype(kind)
+    place, sums, done, floor, open_ended = np.arange(n_t), np.zeros((n_q, n_t), kind), 0, known.astype(kind)[:, None], np.isneginf(known).any()
+    alive = (norm_q.T @ norm_t + 2 >= floor) & ~own
+    while done < len(order) and np.count_nonzero(alive) > DENSE * n_q * n_t:
+        columns = alive.any(0)
+        if 2 * np.count_nonzero(columns) < len(columns):
+            place, sums, alive, as_t, norm_t = place[columns], sums[:, columns], alive[:, columns], as_t[:, columns], norm_t[:, columns]
+        rows = slice(order[done] * block, (order[done] + 1) * block)
+        sums += as_q[rows].T @ as_t[rows]
         done += 1
-    q, t = np.nonzero(alive)
-    score, left = sums[q, t], rest[q, t]
-    for b in order[done:]:  # few are left: pair by pair
-        rows = slice(b * block, (b + 1) * block)
+        rest = norm_q[done:].T @ norm_t[done:] + 2 if done < len(order) else 0  # sums are exact, so 2 is above the rounding of both
+        if open_ended and len(place) > k:
+            least = np.where(alive, sums - rest, -np.inf)
+            floor = np.maximum(floor, np.partition(least, len(place) - k, axis=1)[:, len(place) - k, None])
+        alive &= sums + rest >= floor
+    q, t = np.divmod(np.flatnonzero(alive), len(place))
+    score = sums[q, t]
+    for b in range(done, len(order)):  # few are left: pair by pair
+        rows = slice(order[b] * block, (order[b] + 1) * block)
         score += np.einsum("ij,ij->j", as_q[rows][:, q], as_t[rows][:, t])
-        left -= norm_q[b, q] * norm_t[b, t]
-        stay = score + left >= floor[q]
-        q, t, score, left = q[stay], t[stay], score[stay], left[stay]
-    return q, t, np.rint(score).astype(np.int64)
+        rest = np.einsum("ij,ij->j", norm_q[b + 1 :, q], norm_t[b + 1 :, t]) + 2 if b + 1 < len(order) else 0
+        stay = score + rest >= floor[q, 0]
+        q, t, score = q[stay], t[stay], score[stay]
+    return q, place[t], np.rint(score).astype(np.int64)
 
 
 def search(pairs: DataFrame, k: int, width: int) -> DataFrame:
@@ -132,7 +137,7 @@ def search(pairs: DataFrame, k: int, width: int) -> DataFrame:
                 mine = np.nonzero((at < len(ut)) & (sorted_t[np.minimum(at, len(ut) - 1)] == uq))[0]
                 own[mine, np.argsort(ut, kind="stable")[at[mine]]] = True
                 q, t, score = best_in_tile(queries, tile, top[:, 0], own, k)
-                ids = np.array([np.iinfo(np.int64).max if v is None else v for v in row["ids"].as_py()], np.int64)
+                ids = row["ids"].values.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
                 turn = np.lexsort((ids[t], -score, q)) if score.dtype != object else np.array(sorted(range(len(q)), key=lambda j: (q[j], -score[j], ids[t[j]])), np.int64)
                 q, t, score = q[turn], t[turn], score[turn]
                 within = np.arange(len(q)) - np.searchsorted(q, q)
